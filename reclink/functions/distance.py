@@ -7,6 +7,7 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import DoubleType
 
 from reclink.functions.text import as_column
 
@@ -79,7 +80,7 @@ def gap_costs(left: pd.Series, right: pd.Series) -> pd.Series:
     return out
 
 
-@pandas_udf("double")
+@pandas_udf(DoubleType())
 def affine_gap(left: pd.Series, right: pd.Series) -> pd.Series:
     """Normalised affine gap distance; call it on distinct value pairs. Null when a text is missing or empty."""
     return gap_costs(left, right)

@@ -13,7 +13,7 @@ from reclink.operators.blocking import cap_blocks
 from reclink.schemas import CLUSTER_THRESHOLD, IDENTITY
 
 # Largest block whose records are paired one by one; beyond it records must also share a name segment.
-MAX_BLOCK = 200
+MAX_BLOCK = 100
 
 # Starting weights of the logistic score; train_pair_model learns others.
 DEFAULT_WEIGHTS = {

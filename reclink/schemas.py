@@ -204,34 +204,50 @@ KIND_TYPES = {
 
 DISCLOSURE = T.StructType([T.StructField(name, KIND_TYPES[kind]) for name, kind in DISCLOSURE_KINDS.items()])
 
-EMPLOYER = T.StructType.fromDDL(
+_TYPES = {
+    "string": T.StringType(),
+    "bigint": T.LongType(),
+    "double": T.DoubleType(),
+    "boolean": T.BooleanType(),
+    "timestamp_ntz": T.TimestampNTZType(),
+    "array<string>": T.ArrayType(T.StringType()),
+}
+
+
+def _table(columns: str) -> T.StructType:
+    """A schema from "name type" pairs; unlike the DDL parser it needs no running session."""
+    pairs = [column.split() for column in columns.split(",")]
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
+
+
+EMPLOYER = _table(
     "id string, name string, trade_name_dba string, city string, state string, country string, phone string, "
     "slug string, trade_name_slug string, first_seen timestamp_ntz, last_seen timestamp_ntz, source string, "
     "unique_employer_id string"
 )
-LISTING = T.StructType.fromDDL(
+LISTING = _table(
     "dol_id string, title string, link string, description string, pub_date string, scraped boolean, "
     "scraped_data string, pdf string, employer_name string, trade_name_dba string, employer_city string, "
     "employer_state string, employer_postal_code string, employer_phone string, employer_country string, "
     "first_seen timestamp_ntz, last_seen timestamp_ntz, source string, employer_record_id string"
 )
-ADDRESS = T.StructType.fromDDL(
+ADDRESS = _table(
     "id string, address_1 string, address_2 string, city string, state string, postal_code string, country string, "
     "normalized_address string"
 )
-EMPLOYER_ADDRESS_LINK = T.StructType.fromDDL(
+EMPLOYER_ADDRESS_LINK = _table(
     "employer_record_id string, address_record_id string, address_type string, first_seen timestamp_ntz, "
     "last_seen timestamp_ntz, source string"
 )
-ORDER_ADDRESS_LINK = T.StructType.fromDDL("disclosure_id bigint, address_record_id string")
-ENTITY_MAP = T.StructType.fromDDL(
+ORDER_ADDRESS_LINK = _table("disclosure_id bigint, address_record_id string")
+ENTITY_MAP = _table(
     "employer_record_id string, canon_id string, cluster_score double, is_valid_cluster boolean, "
     "review_date timestamp_ntz, processed boolean"
 )
-UNIQUE_EMPLOYER = T.StructType.fromDDL(
+UNIQUE_EMPLOYER = _table(
     "id string, name string, trade_name_dba string, city string, state string, country string, phone string, "
     "sources array<string>, first_seen timestamp_ntz, last_seen timestamp_ntz"
 )
-IMPORTS = T.StructType.fromDDL(
+IMPORTS = _table(
     "bucket string, object string, status string, created timestamp_ntz, modified timestamp_ntz"
 )
