@@ -11,9 +11,11 @@ def clean(x: str) -> str:
     return f"nullif(regexp_replace({bare}, '^[nN]/[aA]$', ''), '')"
 
 
+WHITE_CHARS = "chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' ' || chr(133) || chr(160) || chr(8239) || chr(12288)"
+
+
 def strip(x: str) -> str:
-    # The pattern engine's \s is ASCII; the other white space of the test texts is named.
-    return f"regexp_replace({x}, '^[\\s\\p{{{{Z}}}}]+|[\\s\\p{{{{Z}}}}]+$', '', 'g')"
+    return f"trim({x}, {WHITE_CHARS})"
 
 
 def phone(x: str, country: str) -> str:

@@ -2,3 +2,6 @@
 
 import checks.scalars  # noqa: F401
 import checks.ingest  # noqa: F401
+import checks.exact  # noqa: F401
+import checks.fuzzy  # noqa: F401
+import checks.golden  # noqa: F401

@@ -228,10 +228,10 @@ def clean_address_sql(source: str) -> str:
     parts |= {c: f"upper({D.clean(c)})" for c in ("state", "country")}
     line = D.address("address_1", "address_2", "city", "state", "postal_code", "country")
     return f"""
-select *, coalesce({D.title(line)}, '') as normalized_address
-from (select * replace ({D.country('country', 'state')} as country)
-  from (select * replace ({D.state('state')} as state)
-    from (select * replace ({', '.join(f'{text} as {c}' for c, text in parts.items())}) from {source}) a) b) c
+select * from (with a as materialized (select * replace ({', '.join(f'{text} as {c}' for c, text in parts.items())}) from {source}),
+b as materialized (select * replace ({D.state('state')} as state) from a),
+c as materialized (select * replace ({D.country('country', 'state')} as country) from b)
+select *, coalesce({D.title(line)}, '') as normalized_address from c) z
 """
 
 

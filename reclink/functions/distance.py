@@ -28,8 +28,8 @@ def edit_budget(length: Column, similarity: float) -> Column:
 def levenshtein_ratio(left: Column | str, right: Column | str) -> Column:
     """1 for equal texts, 0 for texts without a common character; null when one is missing."""
     left, right = as_column(left), as_column(right)
-    size = longest(left, right)
-    return F.when(size == 0, F.lit(1.0)).otherwise(1 - F.levenshtein(left, right) / size)
+    # The distance is null when a text is missing; the length alone would skip the null.
+    return 1 - F.levenshtein(left, right) / F.greatest(longest(left, right), F.lit(1))
 
 
 def token_jaccard(left: Column | str, right: Column | str) -> Column:

@@ -27,13 +27,19 @@ STATES = {
     "united states minor outlying islands": "UM", "u.s. virgin islands": "VI",
 }
 
+# All characters that count as white space.
+WHITE = (
+    "\t\n\v\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+
 # Letters without a canonical decomposition.
 PLAIN_LETTERS = {"ø": "o", "Ø": "O", "ł": "l", "Ł": "L", "đ": "d", "Đ": "D", "ħ": "h", "Ħ": "H", "ı": "i"}
 DOUBLE_LETTERS = {"ß": "ss", "æ": "ae", "Æ": "AE", "œ": "oe", "Œ": "OE"}
 # --------------------------------------------------------------------------------------------------------------------
 
-_EDGE_SPACE = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
-_LETTER_RUNS = r"([\p{Lu}\p{Ll}\p{Lt}]+|[^\p{Lu}\p{Ll}\p{Lt}]+)"
+_WORD_START = r"([^\p{Lu}\p{Ll}\p{Lt}])(?=[\p{Lu}\p{Ll}\p{Lt}])"
+_MARK = "\ue000"
 
 
 def _accent_table() -> tuple[str, str]:
@@ -54,29 +60,27 @@ def as_column(value: Column | str) -> Column:
 
 
 def empty_to_null(value: Column | str) -> Column:
-    value = as_column(value)
-    return F.when(value != "", value)
+    return F.nullif(as_column(value), F.lit(""))
 
 
 def strip_space(value: Column) -> Column:
     """Remove white space of every kind from both ends."""
-    return F.regexp_replace(value, _EDGE_SPACE, "")
+    return F.btrim(value, F.lit(WHITE))
 
 
 def clean_string(value: Column | str) -> Column:
     """Collapse spaces, flatten lines, drop outer quotes; empty or not-available text becomes null."""
     text = F.regexp_replace(as_column(value), " {2,}", " ")
     text = strip_space(F.translate(text, "\n", " "))
-    text = strip_space(F.regexp_replace(F.regexp_replace(text, '^"+|"+$', ""), "^'+|'+$", ""))
-    return F.when(~F.lower(text).isin("", NOT_AVAILABLE), text)
+    text = strip_space(F.btrim(F.btrim(text, F.lit('"')), F.lit("'")))
+    return empty_to_null(F.regexp_replace(text, f"(?i)^{NOT_AVAILABLE}$", ""))
 
 
 def clean_phone(value: Column | str, country: Column | str) -> Column:
     """Digits only; a ten-digit number of the USA or of an unknown country gets the prefix 1."""
-    country = as_column(country)
-    digits = F.regexp_replace(as_column(value), "[^0-9]", "")
-    domestic = (F.length(digits) == 10) & (country.isNull() | (country == USA))
-    return F.when(domestic, F.concat(F.lit("1"), digits)).otherwise(empty_to_null(digits))
+    digits = empty_to_null(F.regexp_replace(as_column(value), "[^0-9]", ""))
+    prefix = F.when(F.coalesce(as_column(country), F.lit(USA)) == USA, F.lit("1$0")).otherwise(F.lit("$0"))
+    return F.regexp_replace(digits, F.lit("^[0-9]{10}$"), prefix)
 
 
 def strip_dba(value: Column | str) -> Column:
@@ -87,26 +91,26 @@ def strip_dba(value: Column | str) -> Column:
 def state_abbrev(value: Column | str) -> Column:
     """Full state or territory name, in any case, to its abbreviation; other text stays as it is."""
     value = as_column(value)
-    names = F.create_map(*[F.lit(part) for pair in STATES.items() for part in pair])
+    names = F.str_to_map(F.lit(",".join(f"{name}:{short}" for name, short in STATES.items())))
     return F.coalesce(names[F.lower(value)], value)
 
 
 def is_state(value: Column | str) -> Column:
-    return F.coalesce(F.upper(as_column(value)).isin(*STATES.values()), F.lit(False))
+    """Whether the text is a known abbreviation, in any case."""
+    return F.coalesce(F.find_in_set(F.upper(as_column(value)), F.lit(",".join(STATES.values()))) > 0, F.lit(False))
 
 
 def default_country(country: Column | str, state: Column | str) -> Column:
     """The USA where no country is given and the state is a known abbreviation."""
     country = as_column(country)
-    return F.when(F.coalesce(country, F.lit("")) == "", F.when(is_state(state), F.lit(USA)).otherwise(country)).otherwise(
-        country
-    )
+    return F.when((F.coalesce(country, F.lit("")) == "") & is_state(state), F.lit(USA)).otherwise(country)
 
 
 def title_case(value: Column | str) -> Column:
     """Upper-case every letter that follows a non-letter, lower-case the rest."""
-    runs = F.regexp_extract_all(F.lower(as_column(value)), F.lit(_LETTER_RUNS), F.lit(1))
-    return F.array_join(F.transform(runs, F.initcap), "")
+    # initcap starts a word after a space only, so a marked space goes in front of every word for its sake.
+    marked = F.regexp_replace(as_column(value), _WORD_START, f"$1{_MARK} ")
+    return F.replace(F.initcap(marked), F.lit(f"{_MARK} "), F.lit(""))
 
 
 def format_address(address_1, address_2, city, state, postal_code, country) -> Column:
@@ -147,8 +151,7 @@ def slugify(value: Column | str) -> Column:
 def format_phone(value: Column | str) -> Column:
     """Print form of a phone number; null becomes empty text."""
     digits = F.regexp_replace(F.regexp_replace(as_column(value), r"^\+?1?", ""), "[ ()-]", "")
-    dashed = F.concat_ws("-", F.substring(digits, 1, 3), F.substring(digits, 4, 3), F.substring(digits, 7, 4))
-    return F.coalesce(F.when(F.length(digits) == 10, dashed).otherwise(digits), F.lit(""))
+    return F.coalesce(F.regexp_replace(digits, r"(?s)^(.{3})(.{3})(.{4})$", "$1-$2-$3"), F.lit(""))
 
 
 def short_country(value: Column | str) -> Column:

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reclink.functions.text import address_hash, address_is_null
+from reclink.functions.text import address_hash
 from reclink.operators.clean import ADDRESS_PARTS, clean_address
 from reclink.schemas import JOBSITE, OFFICE
 
@@ -23,33 +23,45 @@ JOBSITE_COLUMNS = {
     "state": "worksite_state",
     "postal_code": "worksite_postal_code",
 }
+COLUMNS = {OFFICE: OFFICE_COLUMNS, JOBSITE: JOBSITE_COLUMNS}
 ORDER_COLUMNS = ["employer_record_id", "first_seen", "last_seen", "source"]
 LINK_KEY = ["employer_record_id", "address_record_id", "address_type"]
 
 
-def _address_struct(kind: str, columns: dict[str, str]) -> Column:
+def _mentions(orders: DataFrame, *kinds: str) -> DataFrame:
+    """Cleaned addresses of the given kinds, one row each.
+
+    Both addresses are cleaned side by side and unpivoted last, so that filters and joins on the result are not pushed
+    down into the cleaning and evaluated twice.
+    """
     parts = [
-        (F.col(columns[p]) if p in columns else F.lit(None)).cast("string").alias(p) for p in ADDRESS_PARTS
+        (F.col(COLUMNS[kind][part]) if part in COLUMNS[kind] else F.lit(None)).cast("string").alias(f"{kind}/{part}")
+        for kind in kinds
+        for part in ADDRESS_PARTS
     ]
-    return F.struct(F.lit(kind).alias("address_type"), *parts)
-
-
-def _mentions(orders: DataFrame, *kinds: Column) -> DataFrame:
-    raw = orders.select(F.col("id").alias("disclosure_id"), *ORDER_COLUMNS, F.inline(F.array(*kinds)))
-    return clean_address(raw).where(~address_is_null(*[F.col(p) for p in ADDRESS_PARTS]))
+    wide = orders.select(F.col("id").alias("disclosure_id"), *ORDER_COLUMNS, *parts)
+    for kind in kinds:
+        wide = clean_address(wide, f"{kind}/")
+    rows = []
+    for kind in kinds:
+        cells = [F.col(f"{kind}/{part}").alias(part) for part in [*ADDRESS_PARTS, "normalized_address"]]
+        # Cleaned parts are never blank, so a row of nulls is an empty address.
+        filled = F.coalesce(*[F.col(f"{kind}/{part}") for part in ADDRESS_PARTS]).isNotNull()
+        rows.append(F.when(filled, F.struct(F.lit(kind).alias("address_type"), *cells)))
+    return wide.select("disclosure_id", *ORDER_COLUMNS, F.inline(F.array_compact(F.array(*rows))))
 
 
 def office_addresses(orders: DataFrame) -> DataFrame:
-    return _mentions(orders, _address_struct(OFFICE, OFFICE_COLUMNS))
+    return _mentions(orders, OFFICE)
 
 
 def jobsite_addresses(orders: DataFrame) -> DataFrame:
-    return _mentions(orders, _address_struct(JOBSITE, JOBSITE_COLUMNS))
+    return _mentions(orders, JOBSITE)
 
 
 def address_mentions(orders: DataFrame) -> DataFrame:
     """Both addresses of every order, cleaned, from one scan."""
-    return _mentions(orders, _address_struct(OFFICE, OFFICE_COLUMNS), _address_struct(JOBSITE, JOBSITE_COLUMNS))
+    return _mentions(orders, OFFICE, JOBSITE)
 
 
 def orders_without_address(orders: DataFrame, links: DataFrame, n: int = -1) -> DataFrame:

@@ -42,16 +42,18 @@ def clean_listing(df: DataFrame) -> DataFrame:
     return repaired.withColumns({c: F.when(has, value).otherwise(F.col(c)) for c, value in lifted.items()})
 
 
-def clean_address(df: DataFrame) -> DataFrame:
-    """Clean the six address parts and set the match key."""
-    cleaned = {c: X.clean_string(X.title_case(c)) for c in ("address_1", "address_2", "city")}
-    cleaned["postal_code"] = X.clean_string("postal_code")
-    cleaned |= {c: F.upper(X.clean_string(c)) for c in ("state", "country")}
+def clean_address(df: DataFrame, prefix: str = "") -> DataFrame:
+    """Clean the six address parts and set the match key. `prefix` names another set of part columns."""
+    name = {part: prefix + part for part in [*ADDRESS_PARTS, "normalized_address"]}
+    cleaned = {name[c]: X.clean_string(X.title_case(name[c])) for c in ("address_1", "address_2", "city")}
+    cleaned[name["postal_code"]] = X.clean_string(name["postal_code"])
+    cleaned |= {name[c]: F.upper(X.clean_string(name[c])) for c in ("state", "country")}
+    line = X.format_address(*[F.col(name[c]) for c in ADDRESS_PARTS])
     return (
         df.withColumns(cleaned)
-        .withColumn("state", X.state_abbrev("state"))
-        .withColumn("country", X.default_country("country", "state"))
-        .withColumn("normalized_address", X.normalize_address(X.format_address(*[F.col(c) for c in ADDRESS_PARTS])))
+        .withColumn(name["state"], X.state_abbrev(name["state"]))
+        .withColumn(name["country"], X.default_country(name["country"], name["state"]))
+        .withColumn(name["normalized_address"], X.normalize_address(line))
     )
 
 
@@ -59,11 +61,12 @@ def reclean(df: DataFrame, cleaner=clean_disclosure) -> tuple[DataFrame, DataFra
     """Clean stored rows again. The second table holds the rows that one more run would still change."""
     once = cleaner(df)
     touched = [c for c in df.columns if c in DISCLOSURE_TEXTS + ["employer_phone", "phone_to_apply", "scraped_data"]]
-    watched = once.withColumn("_before", F.struct(*touched))
-    unsettled = cleaner(watched).where(~F.col("_before").eqNullSafe(F.struct(*touched))).select("_before.*", *[
-        c for c in df.columns if c not in touched
-    ])
-    return once, unsettled.select(*df.columns)
+    before = F.struct(*touched)
+    twice = cleaner(once.withColumn("_before", before))
+    # Unpivoting the changed rows keeps the comparison from being pushed down into both runs of the cleaner.
+    first_run = [F.col(f"_before.{c}").alias(c) if c in touched else F.col(c) for c in df.columns]
+    changed = F.when(~F.col("_before").eqNullSafe(before), F.array(F.struct(*first_run)))
+    return once, twice.select(F.inline(changed))
 
 
 def cleaning_report(df: DataFrame, cleaner=clean_disclosure, columns: list[str] | None = None) -> DataFrame:

@@ -44,7 +44,9 @@ def least_name_similarity(weights: Mapping[str, float] = DEFAULT_WEIGHTS, thresh
 
 
 def name_key(field: str) -> Column:
-    return F.lower(F.trim(F.col(field)))
+    """Text as it is compared; empty text counts as missing."""
+    text = F.lower(F.trim(F.col(field)))
+    return F.when(text != "", text)
 
 
 def collapse_copies(df: DataFrame, fields: list[str] = IDENTITY, id_col: str = "id") -> DataFrame:
@@ -119,7 +121,7 @@ def candidate_pairs(
     similarity = least_name_similarity() if similarity is None else similarity
     if similarity <= 0:
         raise ValueError("these weights let any two names match; blocking needs a name similarity above 0")
-    names = records.select(F.col(id_col).alias("id"), name_key(name_field).alias("name")).where("name != ''")
+    names = records.select(F.col(id_col).alias("id"), name_key(name_field).alias("name")).where("name is not null")
     members = cap_blocks(blocks, max_block).join(names, "id")
     small = members.where(~F.col("oversized"))
     a = small.select("block_key", F.col("id").alias("left_id"), F.col("name").alias("a_name"))
@@ -142,34 +144,36 @@ def pair_records(pairs: DataFrame, records: DataFrame, fields: list[str] = IDENT
     )
 
 
-def _sides(field: str) -> tuple[Column, Column]:
-    return name_key(f"left_{field}"), name_key(f"right_{field}")
-
-
 def _flag(condition: Column) -> Column:
     return F.coalesce(condition, F.lit(False)).cast("double")
 
 
 def compare_pairs(paired: DataFrame, gap: bool = False) -> DataFrame:
     """Comparison vector of each pair; every feature lies between 0 and 1. `gap` adds the affine gap distance."""
-    name, trade = _sides("name"), _sides("trade_name_dba")
+    compared = paired.select("left_id", "right_id", *[name_key(c).alias(c) for c in paired.columns[2:]])
+
+    def sides(field: str) -> tuple[Column, Column]:
+        return F.col(f"left_{field}"), F.col(f"right_{field}")
+
+    name, trade, country = sides("name"), sides("trade_name_dba"), sides("country")
     features = {
         "name_sim": F.coalesce(levenshtein_ratio(*name), F.lit(0.0)),
         "name_jaccard": F.coalesce(token_jaccard(*name), F.lit(0.0)).cast("double"),
         "trade_sim": F.coalesce(levenshtein_ratio(*trade), F.lit(0.0)),
         "trade_missing": _flag(trade[0].isNull() | trade[1].isNull()),
+        "country_missing": _flag(country[0].isNull() | country[1].isNull()),
     }
     for field in ("city", "state", "country", "phone"):
-        left, right = _sides(field)
+        left, right = sides(field)
         features[f"{field}_eq"] = _flag(left == right)
-    country = _sides("country")
-    features["country_missing"] = _flag(country[0].isNull() | country[1].isNull())
-    vectors = paired.select("left_id", "right_id", *[features[f].alias(f) for f in FEATURES])
+    # One struct per pair, unpacked again: a filter on the score then stops at the unpacked numbers, instead of being
+    # pushed down with a second evaluation of every distance.
+    vector = F.struct(*[features[f].alias(f) for f in FEATURES])
+    vectors = compared.select("left_id", "right_id", F.inline(F.array(vector)))
     if not gap:
         return vectors
-    values = paired.select(F.least(*name).alias("_a"), F.greatest(*name).alias("_b")).distinct()
-    gaps = values.withColumn("name_gap", affine_gap("_a", "_b"))
-    keyed = paired.select("left_id", "right_id", F.least(*name).alias("_a"), F.greatest(*name).alias("_b"))
+    keyed = compared.select("left_id", "right_id", F.least(*name).alias("_a"), F.greatest(*name).alias("_b"))
+    gaps = keyed.select("_a", "_b").distinct().withColumn("name_gap", affine_gap("_a", "_b"))
     named = keyed.join(gaps, ["_a", "_b"]).drop("_a", "_b")
     return vectors.join(named, ["left_id", "right_id"], "left")
 

@@ -44,7 +44,8 @@ def update_addresses(
     orders: DataFrame, addresses: DataFrame, order_links: DataFrame, employer_links: DataFrame, n: int = -1
 ) -> AddressTables:
     """Link the orders that have no address yet; unknown addresses become records."""
-    mentions = A.address_mentions(A.orders_without_address(orders, order_links, n))
+    # Four tables are made from the mentions; written once, the cleaning runs once.
+    mentions = cut(A.address_mentions(A.orders_without_address(orders, order_links, n)), "mentions")
     grown = addresses.select(*A.ADDRESS_PARTS, "id", "normalized_address").unionByName(
         A.new_addresses(mentions, addresses).select(*A.ADDRESS_PARTS, "id", "normalized_address")
     )

@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from reclink.session import cut
+
 BASE = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
 ).split()
@@ -303,6 +305,11 @@ def dependencies(sql: str) -> list[str]:
     return list(dict.fromkeys(name for _, name, _, _ in Formatter().parse(sql) if name))
 
 
+# Adapters kept as written tables for the session, like the raw tables of a running system.
+STORED = ("disclosures", "employers", "payload_listings")
+_written: dict[tuple[str, str, str], DataFrame] = {}
+
+
 class Tables:
     """Base tables and adapters of one data folder, as lazy DataFrames."""
 
@@ -313,6 +320,16 @@ class Tables:
     def __call__(self, name: str) -> DataFrame:
         if name in BASE:
             return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in STORED:
+            return self._derived(name)
+        key = (self.spark.sparkContext.applicationId, self.folder, name)
+        if key not in _written:
+            # Spread over the cores, because a small base table is a single file.
+            spread = self._derived(name).repartition(self.spark.sparkContext.defaultParallelism)
+            _written[key] = cut(spread, name)
+        return _written[key]
+
+    def _derived(self, name: str) -> DataFrame:
         sql = ADAPTERS[name]
         df = self.spark.sql(sql, **{d: self(d) for d in dependencies(sql)})
         zoned = [f.name for f in df.schema if isinstance(f.dataType, T.TimestampType)]
