@@ -291,7 +291,7 @@ left join {entity_map} m on m.employer_record_id = e.id
     "entity_map": """
 select concat('e', lpad(cast(n as string), 12, '0')) as employer_record_id,
   concat('e', lpad(cast(2 * (custkey - custkey % 3) as string), 12, '0')) as canon_id,
-  cast(case when n % 2 = 0 then 0.90 else 0.55 + (custkey % 40) / 100.0 end as double) as cluster_score,
+  cast(case when n % 2 = 0 then 90 else 55 + custkey % 40 end as double) / 100 as cluster_score,
   case when n % 2 = 0 then null when custkey % 10 = 1 then true when custkey % 10 = 2 then false end as is_valid_cluster,
   case when n % 2 = 1 and custkey % 10 in (1, 2, 3) then cast('2024-02-01' as timestamp) end as review_date,
   custkey % 12 in (0, 1, 2) or (custkey % 12 = 3 and n % 2 = 0) as processed

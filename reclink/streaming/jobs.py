@@ -49,14 +49,18 @@ def stream_files(
     checkpoint: str,
     fmt: str = "csv",
     per_batch: int = 100,
+    folder_names: bool = False,
     once: bool = True,
     every: str = "30 minutes",
 ) -> StreamingQuery:
-    """Load each new file once: tag, clean, append. The checkpoint remembers the files."""
+    """Load each new file once: tag, clean, append. The checkpoint remembers the files.
+
+    With `folder_names` a delivery is a folder of part files and its name counts as the file name.
+    """
     reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", per_batch)
     if fmt == "csv":
         reader = reader.options(header=True, escape='"')
-    name = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1)
+    name = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2 if folder_names else -1)
     rows = reader.format(fmt).load(source).withColumn("file_name", name)
     tagged = clean_disclosure(rows.withColumn("visa_class", visa_class("file_name")))
     return _start(tagged.writeStream.format("parquet").option("path", out).outputMode("append"), checkpoint, once, every)
@@ -73,17 +77,17 @@ def stream_feed(entries: DataFrame, out: str, checkpoint: str, once: bool = True
 
     def step(batch: DataFrame) -> DataFrame:
         valid = feed.feed_valid(batch)
-        values = F.struct(*feed.FEED_FIELDS, "position")
-        latest = valid.groupBy("dol_id").agg(F.max_by(values, "position").alias("e"))
+        values = F.struct(*feed.FEED_FIELDS, "published", "position")
+        latest = valid.groupBy("dol_id").agg(F.max_by(values, F.struct("published", "position")).alias("e"))
         return latest.select("dol_id", "e.*")
 
     return _start(entries.writeStream.foreachBatch(_per_batch(out, step)), checkpoint, once, every)
 
 
 def read_feed(spark: SparkSession, out: str, now) -> DataFrame:
-    """Listings from the batches so far: the latest batch of an id gives its values."""
+    """Listings from the batches so far: the latest published entry of an id gives its values."""
     entry = F.struct(*feed.FEED_FIELDS)
-    order = F.struct("batch", "position")
+    order = F.struct("published", "position", "batch")
     latest = read_batches(spark, out).groupBy("dol_id").agg(F.max_by(entry, order).alias("e")).select("dol_id", "e.*")
     known = latest.withColumns(
         {
@@ -115,7 +119,7 @@ def read_seen(spark: SparkSession, out: str) -> DataFrame:
 
 
 def stream_addresses(orders: DataFrame, out: str, checkpoint: str, once: bool = True, every: str = "30 minutes"):
-    """Address mentions of new job orders, reduced per batch to distinct rows. Address ids come from the text itself."""
+    """Address mentions of new job orders, batch by batch. Address ids come from the text itself, so no lookup is needed."""
 
     def step(batch: DataFrame) -> DataFrame:
         return A.address_mentions(batch).withColumn("address_record_id", F.md5("normalized_address"))
