@@ -12,12 +12,7 @@ from reclink.operators import training as L
 from reclink.plans.resolution import link_pipeline, link_records
 from reclink.schemas import CLUSTER_THRESHOLD, ENTITY_MAP, IDENTITY
 
-RULES = (
-    B.Rule("phone", (B.Part("phone", "tail", 7), B.Part("state"))),
-    B.Rule("words", (B.Part("name", "tokens"),)),
-    B.Rule("start", (B.Part("name", "prefix", 6), B.Part("city"), B.Part("state"))),
-    B.Rule("rare", (B.Part("name", "rare", 4), B.Part("country"))),
-)
+RULES = (*B.EMPLOYER_RULES, B.Rule("rare", (B.Part("name", "rare", 4), B.Part("country"))))
 SIMILARITY = P.least_name_similarity()
 
 
@@ -32,12 +27,16 @@ group by token having count(*) <= 4
 """
 STEPS["blocks"] = f"""
 select distinct block_key, id from (
-  select 'phone:' || right(phone, 7) || '|' || lower(state) as block_key, id from {{employers}} where phone != ''
+  select 'phone:' || lower(trim(phone)) || '|' || substr(lower(trim(name)), 1, 1) as block_key, id from {{employers}}
+  where phone != ''
   union all
-  select 'words:' || array_to_string(list_sort({words('name')}), ' '), id from {{employers}}
+  select 'words:' || array_to_string(list_sort({words('name')}), ' ') || '|' || lower(state), id from {{employers}}
   union all
   select 'start:' || substr(lower(name), 1, 6) || '|' || lower(city) || '|' || lower(state), id from {{employers}}
   union all
+  select 'trade:' || array_to_string(list_sort({words('trade_name_dba')}), ' ') || '|' || substr(lower(name), 1, 3)
+    || '|' || lower(state), id from {{employers}} where trim(trade_name_dba) != ''
+  union all
   select 'rare:' || e.token || '|' || lower(e.country), e.id
   from (select id, country, unnest({words('name')}) as token from {{employers}}) e
   join {{rare_words}} r on r.token = e.token

@@ -7,6 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from reclink.functions.text import text_key
+
 WORD = r"\s+"
 
 
@@ -27,12 +29,12 @@ class Rule:
     parts: tuple[Part, ...]
 
 
-# Each rule joins the name with an exact field, so that a frequent name or a frequent place alone makes no block.
+# Every rule joins at least two fields, so that a frequent name, place or phone alone makes no block.
 EMPLOYER_RULES = (
-    Rule("phone", (Part("phone", "tail", 7), Part("state"))),
-    Rule("words", (Part("name", "tokens"),)),
+    Rule("phone", (Part("phone"), Part("name", "prefix", 1))),
+    Rule("words", (Part("name", "tokens"), Part("state"))),
     Rule("start", (Part("name", "prefix", 6), Part("city"), Part("state"))),
-    Rule("sound", (Part("name", "soundex"), Part("phone", "tail", 4))),
+    Rule("trade", (Part("trade_name_dba", "tokens"), Part("name", "prefix", 3), Part("state"))),
 )
 
 
@@ -66,36 +68,65 @@ def token_index(df: DataFrame, field: str, max_df: int) -> DataFrame:
     return words.groupBy("token").agg(F.count("*").alias("df")).where(F.col("df") <= max_df)
 
 
-def _rare_keys(df: DataFrame, id_col: str, rule: Rule) -> DataFrame:
+def _joined(rule: Rule, keys: list[Column]) -> Column:
+    complete = F.lit(True)
+    for key in keys:
+        complete = complete & key.isNotNull()
+    return F.when(complete, F.concat(F.lit(rule.name + ":"), F.concat_ws("|", *keys)))
+
+
+def _variant(rule: Rule, same: list[str] | None, id_col: str) -> Column:
+    """What a record counts as within the rule's blocks: itself, or its values of `same` and of the rule's fields."""
+    own = F.concat(F.lit("id:"), F.col(id_col).cast("string"))
+    if not same:
+        return own
+    fields = dict.fromkeys([*same, *[p.field for p in rule.parts]])
+    shared = text_key(*[F.lower(F.trim(F.col(f))) for f in fields])
+    filled = F.lit(True)
+    for field in same:
+        filled = filled & (F.coalesce(F.trim(F.col(field)), F.lit("")) != "")
+    return F.when(filled, shared).otherwise(own)
+
+
+def _rare_keys(df: DataFrame, id_col: str, rule: Rule, same: list[str] | None) -> DataFrame:
     """Keys of a rule whose first part is a rare word; the other parts are plain."""
     rare, rest = rule.parts[0], rule.parts[1:]
     words = df.select(
         F.col(id_col).alias("id"),
+        _variant(rule, same, id_col).alias("variant"),
         *[part_key(p).alias(f"_{i}") for i, p in enumerate(rest)],
         F.explode(tokens(F.col(rare.field))).alias("token"),
     )
     kept = words.join(token_index(df, rare.field, rare.size).select("token"), "token", "left_semi")
     names = ["token"] + [f"_{i}" for i in range(len(rest))]
-    return kept.select(_joined(rule, [F.col(n) for n in names]).alias("block_key"), "id")
+    return kept.select(_joined(rule, [F.col(n) for n in names]).alias("block_key"), "variant", "id")
 
 
-def _joined(rule: Rule, keys: list[Column]) -> Column:
-    complete = F.lit(True)
-    for key in keys:
-        complete = complete & key.isNotNull()
-    return F.when(complete, F.concat(F.lit(rule.name + ":"), F.concat_ws("|", *keys)))
-
+def block_keys(df: DataFrame, rules=EMPLOYER_RULES, id_col: str = "id", same: list[str] | None = None) -> DataFrame:
+    """(block_key, id), once per record and key. All plain rules share one scan.
 
-def block_keys(df: DataFrame, rules=EMPLOYER_RULES, id_col: str = "id") -> DataFrame:
-    """(block_key, id), once per record and key. All plain rules share one scan."""
+    `same` names fields whose agreement alone makes two records a match. Records that agree on them, and on the fields
+    of a rule, then enter the rule's blocks once, under the smallest id.
+    """
     plain = [r for r in rules if r.parts[0].kind != "rare"]
     rare = [r for r in rules if r.parts[0].kind == "rare"]
-    keys = F.array_compact(F.array(*[_joined(r, [part_key(p) for p in r.parts]) for r in plain]))
-    out = df.select(F.explode(keys).alias("block_key"), F.col(id_col).alias("id")) if plain else None
+    out = None
+    if plain:
+        keys = F.array(
+            *[
+                F.struct(
+                    _joined(r, [part_key(p) for p in r.parts]).alias("block_key"),
+                    _variant(r, same, id_col).alias("variant"),
+                )
+                for r in plain
+            ]
+        )
+        out = df.select(F.col(id_col).alias("id"), F.inline(keys)).select("block_key", "variant", "id")
     for rule in rare:
-        found = _rare_keys(df, id_col, rule)
+        found = _rare_keys(df, id_col, rule, same)
         out = found if out is None else out.unionByName(found)
-    return out.where(F.col("block_key").isNotNull()).distinct()
+    members = out.where(F.col("block_key").isNotNull()).groupBy("block_key", "variant").agg(F.min("id").alias("id"))
+    return members.select("block_key", "id")
 
 
 def block_sizes(blocks: DataFrame) -> DataFrame:

@@ -43,6 +43,23 @@ def least_name_similarity(weights: Mapping[str, float] = DEFAULT_WEIGHTS, thresh
     return min(max(needed, 0.0), 1.0)
 
 
+# Agreement on these fields makes a match under the default weights, whatever the others say.
+SURE_FIELDS = ["name", "city", "state"]
+_AGREEMENT = {"name": ("name_sim", "name_jaccard"), "trade_name_dba": ("trade_sim",)}
+
+
+def agreement_suffices(
+    fields: list[str], weights: Mapping[str, float] = DEFAULT_WEIGHTS, threshold: float = CLUSTER_THRESHOLD
+) -> bool:
+    """Whether two records that agree on the fields always score above the threshold.
+
+    The features of the fields are 1; every other feature is counted at its worst, 0 or 1.
+    """
+    agreed = {name for f in fields for name in _AGREEMENT.get(f, (f"{f}_eq",))}
+    total = sum(w if f == "bias" or f in agreed else min(w, 0.0) for f, w in weights.items())
+    return total > math.log(threshold / (1 - threshold))
+
+
 def name_key(field: str) -> Column:
     """Text as it is compared; empty text counts as missing."""
     text = F.lower(F.trim(F.col(field)))

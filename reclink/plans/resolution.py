@@ -17,32 +17,53 @@ from reclink.schemas import CLUSTER_THRESHOLD, IDENTITY
 from reclink.session import cut
 
 
+def _variant_links(records: DataFrame, same: list[str]) -> DataFrame:
+    """(left_id, right_id) from the first record of every group that agrees on the fields to each other member."""
+    filled = F.lit(True)
+    for field in same:
+        filled = filled & (F.coalesce(F.trim(F.col(field)), F.lit("")) != "")
+    keyed = records.where(filled).select("id", text_key(*[F.lower(F.trim(F.col(f))) for f in same]).alias("_same"))
+    first = keyed.groupBy("_same").agg(F.min("id").alias("left_id"), F.count("*").alias("n")).where("n > 1")
+    return keyed.join(first, "_same").where("id != left_id").select("left_id", F.col("id").alias("right_id"))
+
+
 def link_records(
     df: DataFrame,
     rules=B.EMPLOYER_RULES,
     weights: Mapping[str, float] = P.DEFAULT_WEIGHTS,
     threshold: float = CLUSTER_THRESHOLD,
     max_block: int = P.MAX_BLOCK,
+    same: list[str] | None = P.SURE_FIELDS,
 ) -> DataFrame:
-    """Cluster rows (employer_record_id, canon_id, cluster_score), as if all pairs that share a block were scored.
+    """Cluster rows (employer_record_id, canon_id, cluster_score).
 
-    Exact copies are compared once: pairs are made between distinct combinations of the fields, and a combination counts
-    with its number of copies in the mean scores. A group of copies of any size thus costs one record.
+    No group is paired all against all, however many rows it holds:
+
+    - Exact copies are compared once. A distinct combination of the fields counts with its number of copies in the mean
+      scores, as if all its pairs were scored.
+    - Records that agree on `same` are a match whatever their other fields say (checked against the weights). Each is
+      linked to the first of its group, and only one of them enters a block for each value of the block's own fields.
+    - Blocks above `max_block` are joined on name segments.
     """
+    if same and not P.agreement_suffices(same, weights, threshold):
+        raise ValueError(f"agreement on {same} does not reach the threshold; pass fields that do, or None")
     keyed = df.select("id", *IDENTITY, text_key(*[F.col(f) for f in IDENTITY]).alias("_copy"))
     firsts = keyed.groupBy("_copy").agg(
         F.min("id").alias("id"), F.count("*").alias("copies"), *[F.first(f).alias(f) for f in IDENTITY]
     )
     firsts = cut(firsts, "distinct-records")
-    blocks = cut(B.block_keys(firsts, rules), "blocks")
+    blocks = cut(B.block_keys(firsts, rules, same=same), "blocks")
     similarity = P.least_name_similarity(weights, threshold)
     pairs = P.candidate_pairs(blocks, firsts, similarity, max_block=max_block)
+    if same:
+        pairs = pairs.unionByName(_variant_links(firsts, same)).distinct()
     scored = P.score_pairs(P.compare_pairs(P.pair_records(pairs, firsts)), weights)
     links = cut(scored.where(F.col("score") > threshold).select("left_id", "right_id", "score"), "links")
 
     # Copies of one combination are pairs too, each with the score of a record against itself.
-    blocked = blocks.select("id").distinct()
-    several = firsts.where("copies > 1").join(blocked, "id", "left_semi")
+    several = firsts.where("copies > 1")
+    if not same:
+        several = several.join(blocks.select("id").distinct(), "id", "left_semi")
     twins = several.select(F.col("id").alias("left_id"), F.col("id").alias("right_id"))
     own = P.score_pairs(P.compare_pairs(P.pair_records(twins, several)), weights).where(F.col("score") > threshold)
 
@@ -52,7 +73,9 @@ def link_records(
         F.struct(F.col("right_id").alias("id"), F.col("left_id").alias("other"), "score"),
     )
     outside = links.select(F.inline(ends)).join(weight, "other").select("id", "score", "copies")
-    inside = own.select(F.col("left_id").alias("id"), "score").join(firsts.select("id", (F.col("copies") - 1).alias("copies")), "id")
+    inside = own.select(F.col("left_id").alias("id"), "score").join(
+        firsts.select("id", (F.col("copies") - 1).alias("copies")), "id"
+    )
     means = outside.unionByName(inside).groupBy("id").agg(
         (F.sum(F.col("score") * F.col("copies")) / F.sum("copies")).alias("cluster_score")
     )

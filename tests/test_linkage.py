@@ -283,6 +283,42 @@ def test_copies_count_as_if_all_pairs_were_scored(spark):
     assert cells(link_records(df, rules)) == cells(wanted) and wanted.count() == 9
 
 
+def varied_employers(n, seed):
+    random.seed(seed)
+    names = noisy_names(n, seed)
+    rows = []
+    for i, name in enumerate(names):
+        city = random.choice(["Ames", "Boone", None])
+        phone = random.choice([None, "19195550001", f"1919555{i:04}"])
+        trade = random.choice([None, "", "acres", f"trade {i}"])
+        rows.append(employer(f"{i:03}", name, trade, city, phone))
+    return rows
+
+
+def test_variants_give_the_clusters_of_all_pairs(spark):
+    df = spark.createDataFrame(varied_employers(150, 23), EMPLOYER)
+    # The phone alone, so that records with one phone meet whatever their names start with.
+    rules = (B.Rule("phone", (B.Part("phone"),)), B.Rule("place", (B.Part("city"), B.Part("state"))))
+
+    def clusters(table):
+        return sorted((r.employer_record_id, r.canon_id) for r in table.collect())
+
+    every = link_records(df, rules, same=None)
+    assert clusters(link_records(df, rules)) == clusters(every)
+    assert clusters(link_records(df, rules, max_block=2)) == clusters(every)
+
+
+def test_a_hot_group_is_linked_without_all_its_pairs(spark):
+    rows = [employer(f"{i:05}", "unknown", f"trade {i}", "Nowhere", f"1919{i:07}") for i in range(4000)]
+    df = spark.createDataFrame(rows, EMPLOYER)
+    blocks = B.block_keys(df, same=P.SURE_FIELDS)
+    assert blocks.where("block_key like 'start:%' or block_key like 'words:%'").count() == 2
+    out = link_records(df)
+    assert out.count() == 4000 and out.select("canon_id").distinct().count() == 1
+    with pytest.raises(ValueError):
+        link_records(df, same=["name"])
+
+
 def test_least_name_similarity_is_necessary(spark):
     least = P.least_name_similarity()
     best = {f: 1.0 for f in P.FEATURES} | {"name_sim": least - 1e-6, "trade_missing": 1.0}
