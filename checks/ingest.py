@@ -333,10 +333,10 @@ def upsert_report(t):
     "save_cursor",
     "select key, arg_max(value, fetch_id) as value from (select 'jobs_rss__etag' as key, etag as value, fetch_id "
     "from {fetches} union all select 'jobs_rss__modified', modified, fetch_id from {fetches}) x "
-    "where coalesce(value, '') != '' group by key union all select 'other', max(url) from {pages}",
+    "where coalesce(value, '') != '' group by key union all select 'lang__' || lang, max(source) from {documents} group by 1",
 )
 def save_cursor(t):
-    state = t("pages").agg(F.max("url").alias("value")).select(F.lit("other").alias("key"), "value")
+    state = t("documents").groupBy(F.concat(F.lit("lang__"), "lang").alias("key")).agg(F.max("source").alias("value"))
     return feed.save_cursor(state, t("fetches"))
 
 

@@ -125,8 +125,10 @@ def block_keys(df: DataFrame, rules=EMPLOYER_RULES, id_col: str = "id", same: li
     for rule in rare:
         found = _rare_keys(df, id_col, rule, same)
         out = found if out is None else out.unionByName(found)
-    members = out.where(F.col("block_key").isNotNull()).groupBy("block_key", "variant").agg(F.min("id").alias("id"))
-    return members.select("block_key", "id")
+    kept = out.where(F.col("block_key").isNotNull())
+    if not same:
+        return kept.select("block_key", "id").distinct()
+    return kept.groupBy("block_key", "variant").agg(F.min("id").alias("id")).select("block_key", "id")
 
 
 def block_sizes(blocks: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from reclink.functions.text import text_key
 from reclink.schemas import IDENTITY, REVIEW_THRESHOLD
+from reclink.session import cut
 
 # Parts a hot cluster's values are spread over while their distances are summed.
 SPREAD = 32
@@ -95,7 +96,8 @@ def canonical_values(
     The default distance is Levenshtein, for which most values of a large cluster are ruled out first. Another distance
     is summed over all distinct values.
     """
-    cells = _cells(members, fields)
+    # Read by every step of the medoid search, so it is written once.
+    cells = cut(_cells(members, fields), "cells")
     contenders = cells.drop("copies") if distance else _contenders(cells)
     medoids = _medoids(cells, contenders, distance or F.levenshtein)
     picked = [F.max(F.when(F.col("field") == f, F.col("value"))).alias(f) for f in fields]

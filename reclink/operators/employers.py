@@ -70,21 +70,30 @@ def new_employer_keys(raw: DataFrame, employers: DataFrame, slug_mode: str = "lo
 
 
 def new_employers(raw: DataFrame, employers: DataFrame, slug_mode: str = "lower") -> DataFrame:
-    """An employer for every new key, over all rows that carry the key."""
+    """An employer for every new key, over all rows that carry the key.
+
+    Rows are first reduced to distinct spellings with their dates, which is a hash aggregation on the map side whatever
+    the size of a key; slugs, keys and text maxima are computed for the spellings only.
+    """
     slug = SLUGS[slug_mode]
-    merged = (
+    spellings = (
         raw.where(F.col("employer_name").isNotNull())
-        .groupBy(raw_key(slug_mode).alias("id"))
+        .groupBy(*RAW_COLUMNS.values(), "source")
         .agg(
             F.max(F.col("employer_record_id").isNull()).alias("_open"),
-            *[F.max(column).alias(field) for field, column in RAW_COLUMNS.items()],
-            F.max(slug("employer_name")).alias("slug"),
-            F.max(slug("trade_name_dba")).alias("trade_name_slug"),
             F.min("first_seen").alias("first_seen"),
             F.max("last_seen").alias("last_seen"),
-            F.max("source").alias("source"),
         )
     )
+    merged = spellings.groupBy(raw_key(slug_mode).alias("id")).agg(
+        F.max("_open").alias("_open"),
+        *[F.max(column).alias(field) for field, column in RAW_COLUMNS.items()],
+        F.max(slug("employer_name")).alias("slug"),
+        F.max(slug("trade_name_dba")).alias("trade_name_slug"),
+        F.min("first_seen").alias("first_seen"),
+        F.max("last_seen").alias("last_seen"),
+        F.max("source").alias("source"),
+    )
     fresh = merged.where("_open").join(_known_keys(employers), F.col("id") == F.col("_key"), "left_anti")
     return fresh.drop("_open").withColumn("unique_employer_id", F.lit(None).cast("string"))
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from reclink.functions.distance import affine_gap, edit_budget, levenshtein_ratio, longest, token_jaccard
 from reclink.operators.blocking import cap_blocks
 from reclink.schemas import CLUSTER_THRESHOLD, IDENTITY
+from reclink.session import cut
 
 # Largest block whose records are paired one by one; beyond it records must also share a name segment.
 MAX_BLOCK = 100
@@ -139,7 +140,8 @@ def candidate_pairs(
     if similarity <= 0:
         raise ValueError("these weights let any two names match; blocking needs a name similarity above 0")
     names = records.select(F.col(id_col).alias("id"), name_key(name_field).alias("name")).where("name is not null")
-    members = cap_blocks(blocks, max_block).join(names, "id")
+    # Read by every join below, so it is written once.
+    members = cut(cap_blocks(blocks, max_block).join(names, "id"), "block-members")
     small = members.where(~F.col("oversized"))
     a = small.select("block_key", F.col("id").alias("left_id"), F.col("name").alias("a_name"))
     b = small.select("block_key", F.col("id").alias("right_id"), F.col("name").alias("b_name"))

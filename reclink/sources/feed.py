@@ -158,14 +158,19 @@ def apply_payloads(listings: DataFrame, routed: DataFrame) -> DataFrame:
         .agg(F.max_by("payload", order).alias("_payload"))
     )
     hit = F.col("_id").isNotNull()
+    # Only a new payload is lifted: elsewhere the payload column is null while the cleaner runs.
     joined = listings.join(chosen, F.col("dol_id") == F.col("_id"), "left").withColumns(
         {
             "scraped": F.col("scraped") | hit,
-            "scraped_data": F.coalesce("_payload", "scraped_data"),
+            "_stored": F.col("scraped_data"),
+            "scraped_data": F.col("_payload"),
         }
     )
-    cleaned = clean_listing(joined.where(hit)).select(*listings.columns)
-    return cleaned.unionByName(joined.where(~hit).select(*listings.columns))
+    return (
+        clean_listing(joined)
+        .withColumn("scraped_data", F.coalesce("scraped_data", "_stored"))
+        .select(*listings.columns)
+    )
 
 
 def _fetched_well() -> Column:
