@@ -60,6 +60,8 @@ def session(cores: str = "8") -> SparkSession:
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "8g")
+        # The test tables are small for their work per row, so keep partitions apart that a cluster would merge.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         .config("spark.sql.session.timeZone", "UTC")
         .getOrCreate()
     )

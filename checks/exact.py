@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from checks import dialect as D
 from checks.base import STEPS, query
-from checks.scalars import clean_address_sql, clean_disclosure_sql  # noqa: F401
+from checks.scalars import clean_address_sql
 from reclink.operators import addresses as A
 from reclink.operators import employers as E
 from reclink.operators.clean import clean_disclosure, clean_listing
 from reclink.plans.linkage import link_table, update_addresses, update_employers
-from reclink.schemas import EMPLOYER, EMPLOYER_ADDRESS_LINK, JOBSITE, OFFICE, ORDER_ADDRESS_LINK
-from reclink.schemas import ADDRESS
+from reclink.schemas import ADDRESS, EMPLOYER, EMPLOYER_ADDRESS_LINK, JOBSITE, OFFICE, ORDER_ADDRESS_LINK
+from reclink.session import cut
 
 # Orders received before this date were linked by an earlier run.
 EARLIER = "1998-01-01"
@@ -222,10 +223,20 @@ MENTION_SHOWN = ["disclosure_id", "address_type", "address_1", "address_2", "cit
                  "normalized_address"]
 
 
+_kept: dict[tuple, DataFrame] = {}
+
+
+def kept(t, name: str, build) -> DataFrame:
+    """A table an earlier step left behind: written once per session and folder."""
+    key = (t.spark.sparkContext.applicationId, t.folder, name)
+    if key not in _kept:
+        _kept[key] = cut(build(), name)
+    return _kept[key]
+
+
 def orders(t):
     """Cleaned disclosures with their employers."""
-    linked, _ = link_table(cleaned(t), no_employers(t))
-    return linked
+    return kept(t, "orders", lambda: link_table(cleaned(t), no_employers(t))[0])
 
 
 def earlier(rows):
@@ -236,13 +247,20 @@ def no_addresses(t):
     return t.spark.createDataFrame([], ADDRESS)
 
 
+def no_order_links(t):
+    return t.spark.createDataFrame([], ORDER_ADDRESS_LINK)
+
+
 def first_round(t):
     """The state an earlier run left."""
-    mentions = A.address_mentions(earlier(orders(t)))
-    found = A.new_addresses(mentions, no_addresses(t))
-    matched = A.match_addresses(mentions, found)
-    no_links = t.spark.createDataFrame([], EMPLOYER_ADDRESS_LINK)
-    return found, A.order_address_links(matched), A.employer_address_links(matched, no_links)
+    empty = no_addresses(t), no_order_links(t), t.spark.createDataFrame([], EMPLOYER_ADDRESS_LINK)
+    tables = update_addresses(earlier(orders(t)), *empty) if not _kept_round(t) else (None,) * 3
+    names = ("first-addresses", "first-order-links", "first-employer-links")
+    return tuple(kept(t, name, lambda table=table: table) for name, table in zip(names, tables))
+
+
+def _kept_round(t) -> bool:
+    return (t.spark.sparkContext.applicationId, t.folder, "first-employer-links") in _kept
 
 
 @query("office_addresses", f"select {', '.join(MENTION_SHOWN)} from {{office}}")
@@ -390,7 +408,3 @@ def stale_geocodes(t):
         }
     )
     return A.stale_geocodes(geocoded).select("id", "is_geocoded")
-
-
-def no_order_links(t):
-    return t.spark.createDataFrame([], ORDER_ADDRESS_LINK)

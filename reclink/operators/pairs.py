@@ -73,10 +73,9 @@ def collapse_copies(df: DataFrame, fields: list[str] = IDENTITY, id_col: str = "
 
 
 def _within_reach(left: Column, right: Column, similarity: float) -> Column:
-    # The three-argument form stops early and gives -1 beyond the budget; the budget differs per pair, so compare plainly.
-    size = longest(left, right)
-    close_length = F.abs(F.length(left) - F.length(right)) <= edit_budget(size, similarity)
-    return close_length & (F.levenshtein(left, right) <= edit_budget(size, similarity))
+    budget = edit_budget(longest(left, right), similarity)
+    # With a budget the distance is computed in a band around the diagonal, and is -1 beyond it.
+    return F.call_function("levenshtein", left, right, budget) >= 0
 
 
 def _segment_pairs(members: DataFrame, similarity: float) -> DataFrame:
