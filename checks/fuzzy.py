@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from checks.base import STEPS, query
 from reclink.operators import blocking as B
 from reclink.operators import clusters as C

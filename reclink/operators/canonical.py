@@ -11,8 +11,8 @@ from reclink.functions.text import text_key
 from reclink.schemas import IDENTITY, REVIEW_THRESHOLD
 from reclink.session import cut
 
-# Parts a hot cluster's values are spread over while their distances are summed.
-SPREAD = 32
+# Distinct values of a cluster that one part holds while distances are summed; larger clusters take several parts.
+VALUES_PER_PART = 1000
 
 
 def eligible_members(entity_map: DataFrame, threshold: float = REVIEW_THRESHOLD) -> DataFrame:
@@ -67,9 +67,8 @@ def _contenders(cells: DataFrame) -> DataFrame:
     rings = placed.groupBy(*key, "far").agg(F.sum("copies").alias("copies"))
     # Rings are bounded by the length of the longest value, not by the size of the cluster.
     other = rings.select(*key, F.col("far").alias("_far"), F.col("copies").alias("_copies"))
-    least = (
-        rings.select(*key, "far").join(other, key).groupBy(*key, "far").agg(F.sum(F.abs(F.col("far") - F.col("_far")) * F.col("_copies")).alias("least"))
-    )
+    gap = F.abs(F.col("far") - F.col("_far")) * F.col("_copies")
+    least = rings.select(*key, "far").join(other, key).groupBy(*key, "far").agg(F.sum(gap).alias("least"))
     best = rings.groupBy(*key).agg(F.sum(F.col("far") * F.col("copies")).alias("best"))
     open_rings = least.join(best, key).where("least <= best").select(*key, "far")
     return placed.join(open_rings, [*key, "far"]).select(*key, "value", "first_id")
@@ -78,10 +77,12 @@ def _contenders(cells: DataFrame) -> DataFrame:
 def _medoids(cells: DataFrame, contenders: DataFrame, distance: Callable[[Column, Column], Column]) -> DataFrame:
     """The contender with the least summed distance to all values; the first member's value on ties."""
     key = ["canon_id", "field"]
-    part = F.pmod(F.xxhash64("value"), F.lit(SPREAD)).cast("int")
-    others = cells.select(*key, F.col("value").alias("_other"), "copies", part.alias("part"))
-    tried = contenders.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))))
-    met = tried.join(others, [*key, "part"])
+    parts = F.ceil(F.count("*") / VALUES_PER_PART).cast("int")
+    sizes = cells.groupBy(*key).agg(parts.alias("parts"))
+    part = F.pmod(F.xxhash64("value"), F.col("parts")).cast("int")
+    others = cells.join(sizes, key).select(*key, F.col("value").alias("_other"), "copies", part.alias("part"))
+    tried = contenders.join(sizes, key).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    met = tried.drop("parts").join(others, [*key, "part"])
     totals = met.groupBy(*key, "value", "first_id").agg(
         F.sum(distance(F.col("value"), F.col("_other")) * F.col("copies")).alias("total")
     )

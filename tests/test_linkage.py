@@ -152,7 +152,8 @@ def distance(a, b):
     return row[-1]
 
 
-def test_medoid_of_a_large_cluster(spark):
+def test_medoid_of_a_large_cluster(spark, monkeypatch):
+    monkeypatch.setattr(K, "VALUES_PER_PART", 40)
     random.seed(3)
     names = ["".join(random.choice("abcd") for _ in range(random.randint(3, 9))) for _ in range(150)]
     rows = [("c", *employer(f"{i:04}", n)) for i, n in enumerate(names)]
