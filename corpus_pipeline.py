@@ -1,6 +1,72 @@
-"""Stages that turn raw documents into encoded training text."""
+"""Stages that turn raw documents into encoded training text.
+
+Each stage takes (spark, docs, sf_dir) and works on all that its predecessor kept. All but the last return the columns of
+docs.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from reclink.llm import line_crf
+from reclink.llm.blob_ledger import redact
+from reclink.llm.circulant_minhash import near_duplicates
+from reclink.llm.common import table
+from reclink.llm.piece_viterbi import encode_texts
+from reclink.llm.pivotal_mix import mixed
+from reclink.session import configure, cut, scratch
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the base rules and whose lines are content; the field learns from docs and the labels."""
+    return line_crf.keep_quality(docs, line_crf.train(docs, table(spark, sf_dir, "labels")))
+
+
+def near_duplicate_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document of the smallest doc_id of each group of near copies (five words, similarity 0.8).
+
+    Rows without a doc_id stay. Of rows that share a doc_id, the one whose text comes first stays.
+    """
+    found = near_duplicates(docs, size=5, percent=80)
+    gone = found.where("not kept").select(F.col("doc_id").alias("__gone")).distinct()
+    left = docs.where("doc_id is not null").join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
+    first = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
+    one = left.withColumn("__first", first).where("__first = 1").drop("__first")
+    return one.unionByName(docs.where("doc_id is null"))
+
+
+def secret_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with every secret replaced by the name of its kind."""
+    return redact(docs, scratch(spark, "ledger"))
+
+
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix of the sources takes them: not at all, once or twice."""
+    return mixed(docs)
+
+
+def piece_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Piece ids of each row, and whether they decode to its text."""
+    return encode_texts(docs)
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("near_duplicates", near_duplicate_removal),
+    ("secret_scan", secret_removal),
+    ("source_mix", source_mix),
+    ("piece_encoding", piece_encoding),
+]
+
+# Trained weights, regular expressions with places, and random rounding have no SQL; tests compare with brute force.
 ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the last stage, after all stages from documents on; each stage is written and read again."""
+    configure(spark)
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = cut(stage(spark, docs, sf_dir), name)
+    return docs

@@ -75,4 +75,5 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: i
         return marked.where(F.col("label") == value).orderBy(F.xxhash64("_id"), "_id").limit(per_class)
 
     chosen = drawn(0).unionByName(drawn(1))
-    return docs.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select("text", "n_chars", "label")
+    plain = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.col("n_chars").cast("long").alias("n_chars"))
+    return plain.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select("text", "n_chars", "label")
