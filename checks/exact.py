@@ -176,6 +176,46 @@ def update_employers_second_run(t):
     return out.employers.select(*SHOWN)
 
 
+# A later round: rows up to a date were linked by the first round, the rest are new.
+LATER = "1998-03-01"
+
+
+def employer_rounds(t):
+    """Most rows are linked already; what the first round made is stored."""
+
+    def first():
+        rows = cleaned(t).where(F.col("received_date") < F.lit(LATER).cast("date"))
+        return link_table(rows, no_employers(t))
+
+    linked = kept(t, "round-linked", lambda: first()[0])
+    employers = kept(t, "round-employers", lambda: first()[1])
+    new = cleaned(t).where(F.col("received_date") >= F.lit(LATER).cast("date"))
+    return link_table(linked.unionByName(new), employers)
+
+
+STEPS["first_round"] = merged_sql("keyed", f"received_date < date '{LATER}'")
+STEPS["two_rounds"] = """
+select coalesce(f.id, m.id) as id, coalesce(f.name, m.name) as name,
+  case when f.id is null then m.trade_name_dba else f.trade_name_dba end as trade_name_dba,
+  case when f.id is null then m.city else f.city end as city, case when f.id is null then m.state else f.state end as state,
+  case when f.id is null then m.country else f.country end as country,
+  case when f.id is null then m.phone else f.phone end as phone, coalesce(f.slug, m.slug) as slug,
+  case when f.id is null then m.trade_name_slug else f.trade_name_slug end as trade_name_slug,
+  m.first_seen, m.last_seen, coalesce(f.source, m.source) as source
+from {merged} m left join {first_round} f on f.id = m.id
+"""
+
+
+@query("update_employers_rounds", f"select {shown()} from {{two_rounds}}")
+def update_employers_rounds(t):
+    return employer_rounds(t)[1].select(*SHOWN)
+
+
+@query("update_employers_rounds_links", "select id, employer_key as employer_record_id from {keyed}")
+def update_employers_rounds_links(t):
+    return employer_rounds(t)[0].select("id", "employer_record_id")
+
+
 @query("update_employers_disclosures", "select id, employer_key as employer_record_id from {keyed}")
 def update_employers_disclosures(t):
     return updated(t).disclosures.select("id", "employer_record_id")

@@ -8,7 +8,7 @@ from reclink.operators import clusters as C
 from reclink.operators import pairs as P
 from reclink.operators import training as L
 from reclink.plans.resolution import link_pipeline, link_records
-from reclink.schemas import CLUSTER_THRESHOLD, ENTITY_MAP, IDENTITY
+from reclink.schemas import CLUSTER_THRESHOLD, ENTITY_MAP, IDENTITY, TRAINING_RECALL
 
 RULES = (*B.EMPLOYER_RULES, B.Rule("rare", (B.Part("name", "rare", 4), B.Part("country"))))
 SIMILARITY = P.least_name_similarity()
@@ -84,6 +84,11 @@ TOTAL = " + ".join(f"{w} * {f}" if f != "bias" else f"({w})" for f, w in P.DEFAU
 STEPS["scored"] = f"select *, 1 / (1 + exp(-({TOTAL}))) as score from {{vectors}}"
 VECTOR = ", ".join(f"round({f}, 6) as {f}" for f in P.FEATURES)
 
+# Pairs for a person, who is asked about lower scores too.
+STEPS["doubt_candidates"] = STEPS["candidates"].replace(repr(SIMILARITY), repr(P.least_name_similarity(threshold=L.LABEL_FLOOR)))
+STEPS["doubt_vectors"] = STEPS["vectors"].replace("{candidates}", "{doubt_candidates}")
+STEPS["doubt_scored"] = STEPS["scored"].replace("{vectors}", "{doubt_vectors}")
+
 
 def blocks(t):
     return B.block_keys(t("employers"), RULES)
@@ -129,7 +134,32 @@ def block_keys(t):
     return blocks(t)
 
 
-@query("block_keys_soundex")
+# The code of each letter from a to z; 7 stands for letters that are passed over.
+SOUNDEX_CODES = "01230127022455012623017202"
+LETTERS = "abcdefghijklmnopqrstuvwxyz"
+
+
+def soundex_sql(text: str) -> str:
+    """Soundex by translation: codes without the passed letters, runs shortened, the first letter's code and zeros left out."""
+    codes = f"regexp_replace(translate({text}, '{LETTERS}', '{SOUNDEX_CODES}'), '[^0-9]', '0', 'g')"
+    codes = f"(left({codes}, 1) || replace(substr({codes}, 2), '7', ''))"
+    for digit in "0123456":
+        codes = f"regexp_replace({codes}, '{digit}+', '{digit}', 'g')"
+    return f"upper(left({text}, 1)) || left(replace(substr({codes}, 2), '0', '') || '000', 3)"
+
+
+# Names without a first letter are their own code; digits in names are no letters.
+STEPS["sound_names"] = """
+select id, regexp_replace(lower(trim(name)), '[0-9]', '-', 'g') as text, lower(trim(name)) as plain, right(lower(trim(phone)), 4) as tail
+from {employers} where trim(name) != '' and trim(phone) != ''
+"""
+
+
+@query(
+    "block_keys_soundex",
+    f"select 'sound:' || case when regexp_matches(text, '^[a-z]') then {soundex_sql('text')} else plain end || '|' || tail "
+    "as block_key, id from {sound_names}",
+)
 def block_keys_soundex(t):
     return B.block_keys(t("employers"), (B.Rule("sound", (B.Part("name", "soundex"), B.Part("phone", "tail", 4))),))
 
@@ -195,11 +225,13 @@ def training_sample(t):
 
 @query(
     "label_queue",
-    "select left_id, right_id, round(score, 6) as score from {scored} s where not exists (select 1 from {labels_true} l "
+    "select left_id, right_id, round(score, 6) as score from {doubt_scored} s where not exists (select 1 from {labels_true} l "
     "where l.left_id = s.left_id and l.right_id = s.right_id) order by abs(s.score - 0.5), left_id, right_id limit 50",
 )
 def label_queue(t):
-    return L.label_queue(scored(t).select("left_id", "right_id", "score"), t("labels_true"), 50)
+    pairs = L.label_candidates(blocks(t), t("employers"))
+    doubtful = P.score_pairs(P.compare_pairs(P.pair_records(pairs, t("employers"))))
+    return L.label_queue(doubtful.select("left_id", "right_id", "score"), t("labels_true"), 50)
 
 
 def labelled_vectors(t):
@@ -231,7 +263,41 @@ def rule_costs(t):
     return L.rule_costs(t("employers"), RULES)
 
 
-@query("choose_block_rules")
+# The greedy choice, one step after the other.
+STEPS["patterns"] = """
+select rules, count(*) as n from (
+  select left_id, right_id, list_distinct(list(rule)) as rules from (
+    select l.left_id, l.right_id, split_part(x.block_key, ':', 1) as rule from {labels_true} l
+    left join (select a.id as left_id, b.id as right_id, a.block_key from {blocks} a
+      join {blocks} b on a.block_key = b.block_key) x on x.left_id = l.left_id and x.right_id = l.right_id) y
+  group by 1, 2) z group by 1
+"""
+STEPS["costs"] = """
+select split_part(block_key, ':', 1) as rule, cast(sum(n * (n - 1) // 2) as bigint) as n_pairs from {block_sizes} group by 1
+"""
+STEPS["picked_0"] = """
+select 0 as step, '' as rule, cast(0 as bigint) as newly_covered, cast(0 as bigint) as n_pairs, cast([] as varchar[]) as chosen,
+  cast(0 as bigint) as covered, cast((select sum(n) from {patterns}) as bigint) as total
+"""
+for _step in range(1, len(RULES) + 1):
+    STEPS[f"picked_{_step}"] = f"""
+select {_step} as step, rule, gain as newly_covered, n_pairs, list_append(chosen, rule) as chosen, covered + gain as covered, total
+from (select r.rule, coalesce(c.n_pairs, 0) as n_pairs, p.chosen, p.covered, p.total, cast((select coalesce(sum(t.n), 0)
+    from {{patterns}} t where list_contains(t.rules, r.rule) and not list_has_any(t.rules, p.chosen)) as bigint) as gain
+  from {{picked_{_step - 1}}} p cross join (select unnest([{", ".join(f"'{r.name}'" for r in RULES)}]) as rule) r
+  left join {{costs}} c on c.rule = r.rule
+  where not list_contains(p.chosen, r.rule) and p.covered < {TRAINING_RECALL} * p.total) x
+where gain > 0 qualify row_number() over (order by gain / (n_pairs + 1) desc, gain desc, rule desc) = 1
+"""
+
+
+@query(
+    "choose_block_rules",
+    " union all ".join(
+        f"select step, rule, newly_covered, round(covered / total, 6) as recall, n_pairs from {{picked_{i}}}"
+        for i in range(1, len(RULES) + 1)
+    ),
+)
 def choose_block_rules(t):
     return L.choose_block_rules(t("employers"), t("labels_true"), RULES)
 
@@ -311,6 +377,41 @@ def link_pipeline_query(t):
     return link_pipeline(t("employers"), entity_rows(t), refresh=True, rules=RULES)
 
 
+# Records in groups that agree on name, city and state, some large, with outsiders near one member.
+OF_GROUPS = [
+    "rare_words", "blocks", "candidates", "vectors", "scored", "links", "ends", "clusters", "member_scores"
+]
+
+
+def of_groups(text: str) -> str:
+    for name in ["employers", *OF_GROUPS]:
+        text = text.replace(f"{{{name}}}", f"{{grouped_{name}}}")
+    return text
+
+
+for _name in OF_GROUPS:
+    STEPS[f"grouped_{_name}"] = of_groups(STEPS[_name])
+
+
+@query("link_records_groups", f"select {SCORES} from {{grouped_member_scores}}")
+def link_records_groups(t):
+    return link_records(t("grouped_employers"), RULES)
+
+
+@query("link_records_groups_large_blocks", f"select {SCORES} from {{grouped_member_scores}}")
+def link_records_groups_large_blocks(t):
+    return link_records(t("grouped_employers"), RULES, max_block=2)
+
+
+@query(
+    "link_pipeline_groups",
+    f"select {SCORES}, cast(null as boolean) as is_valid_cluster, cast(null as varchar) as review_date, "
+    "false as processed from {grouped_member_scores}",
+)
+def link_pipeline_groups(t):
+    return link_pipeline(t("grouped_employers"), entity_rows(t), refresh=True, rules=RULES)
+
+
 # The same operators on other records.
 @query(
     "collapse_copies_documents",

@@ -25,27 +25,42 @@ def uniques(t):
 
 
 # ------------------------------------------------------------------------------------------------------------- review
-STEPS["member_lists"] = """
-select canon_id, count(*) as n_members, 0 as part,
-  array_to_string(list_sort(list(employer_record_id)), ',') as member_ids
-from {entity_map} group by canon_id
-"""
+STEPS["sizes"] = "select canon_id, count(*) as n_members from {entity_map} group by canon_id"
 WAITING = f"cluster_score <= {REVIEW_THRESHOLD} and review_date is null"
 STEPS["waiting"] = f"""
 select employer_record_id, canon_id, cluster_score from {{entity_map}} where {WAITING}
 order by canon_id, employer_record_id limit 100
 """
+# The whole queue, in a map in which every tenth cluster is one cluster of thousands.
+STEPS["every_waiting"] = f"select employer_record_id, canon_id, cluster_score from {{entity_map}} where {WAITING}"
+STEPS["wide_map"] = """
+select employer_record_id, case when hash_part = 0 then 'e000000000000' else canon_id end as canon_id, cluster_score
+from (select *, cast(substr(canon_id, 8) as bigint) % 10 as hash_part from {entity_map}) x
+"""
 
 
-@query("cluster_member_ids", "select canon_id, n_members, part, member_ids from {member_lists}")
+@query(
+    "cluster_member_ids",
+    "select m.canon_id, s.n_members, m.employer_record_id as member_id from {entity_map} m join {sizes} s on s.canon_id = m.canon_id",
+)
 def cluster_member_ids(t):
     return R.cluster_member_ids(entity_rows(t))
 
 
+@query(
+    "cluster_member_ids_wide",
+    "select canon_id, count(*) over (partition by canon_id) as n_members, employer_record_id as member_id from {wide_map}",
+)
+def cluster_member_ids_wide(t):
+    tenth = F.substring("canon_id", 8, 6).cast("bigint") % 10 == 0
+    wide = entity_rows(t).withColumn("canon_id", F.when(tenth, F.lit("e000000000000")).otherwise(F.col("canon_id")))
+    return R.cluster_member_ids(wide)
+
+
 @query(
     "review_queue",
-    "select w.employer_record_id, w.canon_id, round(w.cluster_score, 6) as cluster_score, m.n_members, m.part, "
-    "m.member_ids from {waiting} w join {member_lists} m on m.canon_id = w.canon_id",
+    "select w.employer_record_id, w.canon_id, round(w.cluster_score, 6) as cluster_score, m.n_members "
+    "from {waiting} w join {sizes} m on m.canon_id = w.canon_id",
 )
 def review_queue(t):
     return R.review_queue(entity_rows(t), 100)
@@ -66,10 +81,10 @@ STAR = "m.employer_record_id = w.employer_record_id"
     "case when e.country = 'UNITED STATES OF AMERICA' then 'USA' else e.country end as country, "
     f"{D.print_phone('e.phone')} as phone, {D.day('e.first_seen')} as first_seen, {D.day('e.last_seen')} as last_seen, "
     f"e.source, case when {STAR} then printf('%.2f', w.cluster_score) else '' end as score "
-    "from {waiting} w join {entity_map} m on m.canon_id = w.canon_id join {employers} e on e.id = m.employer_record_id",
+    "from {every_waiting} w join {entity_map} m on m.canon_id = w.canon_id join {employers} e on e.id = m.employer_record_id",
 )
 def review_rows(t):
-    return R.review_rows(R.review_queue(entity_rows(t), 100), t("employers"))
+    return R.review_rows(R.review_queue(entity_rows(t), 1 << 30), entity_rows(t), t("employers"))
 
 
 # Every waiting member gets an answer, some of them two, and a few answers are not valid.
@@ -339,15 +354,61 @@ def canonicalize_clusters_errors(t):
     return clustered(t).errors.select("canon_id", *IDENTITY)
 
 
-# Every employer is in the map here, so nothing is left to stand alone; the whole step still runs both paths.
+# Employers that no map row names stand alone: here those of every fourth employer.
+STEPS["part_map"] = "select * from {entity_map} where cast(substr(employer_record_id, 2) as bigint) % 8 not in (4, 5)"
+PART = {"{entity_map}": "{part_map}"} | {
+    f"{{{name}}}": f"{{part_{name}}}"
+    for name in ("eligible", "waiting_clusters", "fresh_members", "cells", "medoids", "canon", "matched", "assigned", "hits",
+                 "partly", "partly_hits", "spans", "created")
+}
+
+
+def of_part(text: str) -> str:
+    """A step over the smaller map."""
+    for name, other in PART.items():
+        text = text.replace(name, other)
+    return text
+
+
+for _name in list(PART)[1:]:
+    STEPS[f"part_{_name[1:-1]}"] = of_part(STEPS[_name[1:-1]])
 STEPS["all_singles"] = """
 select e.id as employer_id, md5(concat('employer:', e.id)) as id, e.name, e.trade_name_dba, e.city, e.state, e.country,
   e.phone, e.source as sources, e.first_seen, e.last_seen
-from {linked_employers} e where e.unique_employer_id is null and e.id not in (select employer_record_id from {entity_map})
+from {linked_employers} e where e.unique_employer_id is null and e.id not in (select employer_record_id from {part_map})
 """
-STEPS["every_unique"] = f"select {COLUMNS} from {{final_uniques}} union all select {COLUMNS} from {{all_singles}}"
+STEPS["every_unique"] = (
+    f"select {COLUMNS} from {{uniques}} union all select {COLUMNS} from {{part_created}} "
+    f"union all select {COLUMNS} from {{all_singles}}"
+)
+
+
+def canonical(t):
+    part = entity_rows(t).where(~(F.substring("employer_record_id", 2, 12).cast("bigint") % 8).isin(4, 5))
+    return canonicalize_all(t("linked_employers"), part, uniques(t))
 
 
 @query("canonicalize_all", unique_sql("every_unique"))
 def canonicalize_all_query(t):
-    return canonicalize_all(t("linked_employers"), entity_rows(t), uniques(t)).uniques
+    return canonical(t).uniques
+
+
+@query(
+    "canonicalize_all_links",
+    "select e.id, coalesce(h.unique_employer_id, p.unique_employer_id, e.unique_employer_id, s.id) as unique_employer_id "
+    "from {linked_employers} e left join {part_hits} h on h.employer_record_id = e.id "
+    "left join {part_partly_hits} p on p.employer_record_id = e.id left join {all_singles} s on s.employer_id = e.id",
+)
+def canonicalize_all_links(t):
+    return canonical(t).employers.select("id", "unique_employer_id")
+
+
+@query(
+    "canonicalize_all_map",
+    "select m.employer_record_id, m.canon_id, m.processed or h.employer_record_id is not null "
+    "or p.employer_record_id is not null as processed from {part_map} m "
+    "left join {part_hits} h on h.employer_record_id = m.employer_record_id "
+    "left join {part_partly_hits} p on p.employer_record_id = m.employer_record_id",
+)
+def canonicalize_all_map(t):
+    return canonical(t).entity_map.select("employer_record_id", "canon_id", "processed")

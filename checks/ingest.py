@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 
 from checks import dialect as D
 from checks.base import STEPS, query
-from checks.scalars import HAS, LIFTED, FIXED_URL
+from checks.scalars import FIXED_URL, HAS, LIFTED, clean_disclosure_sql
 from reclink.functions.payload import PAYLOAD_FIELDS
 from reclink.functions.text import USA, visa_class
+from reclink.plans.intake import feed_run, import_disclosure, listings_run
 from reclink.schemas import CASE_STATUSES, DISCLOSURE_KINDS
 from reclink.session import scratch
 from reclink.sources import disclosures as S
@@ -35,15 +36,27 @@ FILE_COLUMNS = [
 ]
 
 
+KEEP_SPACE = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "header": True, "escape": '"'}
+
+# Cells hold line breaks, commas and quotes.
+STEPS["broken_lines"] = """
+select * replace (employer_address_1 || chr(10) || 'box, ' || (id % 50) || ' "rear"' as employer_address_1) from {disclosures}
+"""
+
+
+def broken_lines(t):
+    address = F.concat("employer_address_1", F.lit("\nbox, "), (F.col("id") % 50).cast("string"), F.lit(' "rear"'))
+    return t("disclosures").withColumn("employer_address_1", address)
+
+
 def written_file(t) -> str:
     """The disclosures as a CSV folder with the headers of another year and one unknown column."""
     path = scratch(t.spark, "disclosure-csv")
-    rows = t("disclosures").select(
+    rows = broken_lines(t).select(
         *[F.col(c).cast("string").alias(RENAMED.get(c, c.upper())) for c in FILE_COLUMNS],
         F.col("phone_to_apply").alias("CALL_HERE"),
     )
-    keep_space = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
-    rows.write.csv(path, header=True, escape='"', **keep_space)
+    rows.write.options(**KEEP_SPACE).csv(path)
     return path
 
 
@@ -59,13 +72,13 @@ PLAIN = ", ".join(
         (f"strftime({c}, '%Y-%m-%d %H:%M:%S')" if c == "received_date" else c) + f" as \"{RENAMED.get(c, c.upper())}\""
         for c in FILE_COLUMNS
     )
-    + ', phone_to_apply as "CALL_HERE" from {disclosures}',
+    + ', phone_to_apply as "CALL_HERE" from {broken_lines}',
 )
 def read_disclosure(t):
     return S.read_disclosure(t.spark, written_file(t))
 
 
-@query("normalize_headers", f"select {PLAIN} from {{disclosures}}")
+@query("normalize_headers", f"select {PLAIN} from {{broken_lines}}")
 def normalize_headers(t):
     return S.normalize_headers(S.read_disclosure(t.spark, written_file(t)))
 
@@ -150,6 +163,28 @@ def add_provenance(t):
     return S.add_provenance(rows).select("id", "file_name", "file_row", "source", "first_seen", "last_seen")
 
 
+# Rows without a position are numbered after all others of their file.
+STEPS["unplaced"] = """
+select file_name, case when id % 10 = 0 then null else position end as position from {disclosures}
+"""
+
+
+@query(
+    "number_rows_unplaced",
+    "select file_name, position, case when position is not null then cast(row_number() over "
+    "(partition by file_name order by position nulls last) as int) end as file_row, "
+    "count(*) over (partition by file_name) as n from {unplaced}",
+)
+def number_rows_unplaced(t):
+    unplaced = t("disclosures").select(
+        "file_name", F.when(F.col("id") % 10 != 0, F.col("position")).alias("position")
+    )
+    numbered = S.number_rows(unplaced, "file_name", "position", "file_row")
+    last = numbered.groupBy("file_name").agg(F.max("file_row").cast("bigint").alias("n"))
+    shown = F.when(F.col("position").isNotNull(), F.col("file_row")).alias("file_row")
+    return numbered.join(last, "file_name").select("file_name", "position", shown, "n")
+
+
 # An interrupted import: one file complete, one stopped half-way, the others not started.
 STEPS["files"] = "select file_name, count(*) + 1 as n_rows from {disclosures} group by file_name"
 STEPS["loaded"] = """
@@ -195,6 +230,62 @@ def write_snapshot(t):
     return t.spark.read.parquet(S.write_snapshot(rows, scratch(t.spark, "snapshot")))
 
 
+# Two header years in another order each, an unknown column, and imports that were interrupted.
+YEARS = {
+    "H-2A_Disclosure_Data.csv": ["CASE_NO", "employer_name", "EMPLOYER_CITY", "employer_state", "Received_Date", "trade_name_dba",
+                                 "employer_address1", "employer_phone"],
+    "h-2b_disclosure_data.csv": ["employer_phone", "employer_state", "employer_city", "case_number", "CASE_RECEIVED_DATE",
+                                 "employer_address_1", "EMPLOYER_NAME", "trade_name_dba"],
+    "H-2A_and_H-2B.csv": ["CASE_NO", "employer_name", "EMPLOYER_CITY", "employer_state", "Received_Date", "trade_name_dba",
+                          "employer_address1", "employer_phone"],
+}
+SAME_NAME = {"case_no": "case_number", "case_received_date": "received_date", "employer_address1": "employer_address_1"}
+SHOWN_ROWS = ["file_name", "file_row", "case_number", "employer_name", "employer_city", "employer_state", "employer_country",
+              "employer_phone", "visa_class", "source"]
+
+
+def delivered(t) -> list[str]:
+    """One CSV file for each delivery, as they land in storage: a folder per file name with a single part file."""
+    root = scratch(t.spark, "delivered")
+    for name, headers in YEARS.items():
+        rows = broken_lines(t).where(F.col("file_name") == name).coalesce(1).sortWithinPartitions("position")
+        cells = [F.col(SAME_NAME.get(h.lower(), h.lower())).cast("string").alias(h) for h in headers]
+        rows.select(*cells, F.col("phone_to_apply").alias("CALL_HERE")).write.options(**KEEP_SPACE).csv(f"{root}/{name}")
+    parts = t.spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").load(root)
+    return sorted(r["path"] for r in parts.select("path").collect())
+
+
+STEPS["delivered_raw"] = """
+select *, cast(row_number() over (partition by file_name order by position) as int) as file_row from (
+  select id, position, file_name, case_number, received_date, employer_name, trade_name_dba, employer_address_1,
+    cast(null as varchar) as employer_address_2, employer_city, employer_state, cast(null as varchar) as employer_country,
+    cast(null as varchar) as employer_postal_code, employer_phone, cast(null as varchar) as phone_to_apply
+  from {broken_lines} where file_name in ('H-2A_Disclosure_Data.csv', 'h-2b_disclosure_data.csv', 'H-2A_and_H-2B.csv')) x
+"""
+STEPS["delivered_cleaned"] = clean_disclosure_sql("delivered_raw")
+IMPORTED = (
+    f"select d.file_name, d.file_row, c.case_number, c.employer_name, c.employer_city, c.employer_state, c.employer_country, "
+    f"c.employer_phone, {VISA.replace('file_name', 'd.file_name')} as visa_class, "
+    "'DoL annual or quarterly disclosure data' as source from {delivered_cleaned} c join {delivered_raw} d on d.id = c.id"
+)
+
+
+@query("import_disclosure", IMPORTED + " where d.file_name != 'h-2b_disclosure_data.csv' or d.file_row > 3")
+def import_disclosure_query(t):
+    # The second file was imported up to its third row.
+    before = t.spark.createDataFrame([("h-2b_disclosure_data.csv", 2), ("h-2b_disclosure_data.csv", 3)], "file_name string, file_row int")
+    return import_disclosure(t.spark, delivered(t), before, folder_names=True).rows.select(*SHOWN_ROWS)
+
+
+@query(
+    "import_disclosure_unknown",
+    "select 'call_here' as header, count(phone_to_apply) as filled from {disclosures} "
+    "where file_name in ('H-2A_Disclosure_Data.csv', 'h-2b_disclosure_data.csv', 'H-2A_and_H-2B.csv')",
+)
+def import_disclosure_unknown(t):
+    return import_disclosure(t.spark, delivered(t), folder_names=True).unknown
+
+
 # -------------------------------------------------------------------------------------------------------------- queue
 STEPS["event_files"] = """
 select 'bucket-' || (page_id % 5) as bucket, 'files/H-2A page ' || page_id || ',' || md5(url) || '.csv' as object
@@ -218,6 +309,7 @@ def register_import(t):
 
 
 PENDING = "status = 'Needs Importing' order by created, bucket, object limit"
+EVERY_PENDING = "status = 'Needs Importing'"
 
 
 @query("pending_imports", f"select {QUEUED} from {{imports}} where {PENDING} 25")
@@ -229,11 +321,12 @@ def pending_imports(t):
     "finish_imports",
     "select i.bucket, i.object, case when p.object is not null then 'Finished' else i.status end as status, "
     f"{D.day('i.created')} as created, case when p.object is not null then '{NOW}' else {D.day('i.modified')} end "
-    f"as modified from {{imports}} i left join (select bucket, object from {{imports}} where {PENDING} 25) p "
+    f"as modified from {{imports}} i left join (select bucket, object from {{imports}} where {EVERY_PENDING}) p "
     "on p.bucket = i.bucket and p.object = i.object",
 )
 def finish_imports(t):
-    return queue.finish_imports(t("imports"), queue.pending_imports(t("imports"), 25), now())
+    # Every waiting file is done.
+    return queue.finish_imports(t("imports"), t("imports").where(F.col("status") == "Needs Importing"), now())
 
 
 # --------------------------------------------------------------------------------------------------------------- feed
@@ -269,7 +362,10 @@ def feed_rejects(t):
     return feed.feed_rejects(t("feed_entries")).drop("published")
 
 
-@query("feed_head", "select position, link from {feed_entries} where position <= 500")
+@query(
+    "feed_head",
+    "select position, link from (select *, row_number() over (order by position) as place from {feed_entries}) where place <= 500",
+)
 def feed_head(t):
     return feed.feed_head(t("feed_entries"), 500).select("position", "link")
 
@@ -433,3 +529,89 @@ def attach_documents(t):
 )
 def attach_failures(t):
     return feed.attach_failures(t("listings"), t("documents_fetched"))
+
+
+# ---------------------------------------------------------------------------------------------------------- whole runs
+STEPS["fetched_entries"] = "select *, position % 40 as fetch_id from {feed_entries}"
+STEPS["run_entries"] = f"""
+select * from (
+  select e.*, row_number() over (partition by e.fetch_id order by e.position) as place, {D.ids('e.link')} as ids
+  from {{fetched_entries}} e join {{fetches}} f on f.fetch_id = e.fetch_id
+  where coalesce(f.parse_error, '') = '' and f.status in (200, 301) and coalesce(f.version, '') != '') x
+where place <= 200
+"""
+STEPS["run_valid"] = """
+select position, fetch_id, link, title, description, published, ids[1] as dol_id, strftime(published, '%Y-%m-%d') as pub_date
+from {run_entries} where len(ids) = 1
+"""
+
+
+def ran(t):
+    entries = t("feed_entries").withColumn("fetch_id", F.col("position") % 40)
+    state = t("documents").groupBy(F.concat(F.lit("lang__"), "lang").alias("key")).agg(F.max("source").alias("value"))
+    return feed_run(t("fetches"), entries, t("listings"), state, now(), n=200)
+
+
+@query(
+    "feed_run",
+    upsert_sql(False).replace("{valid_entries}", "{run_valid}").replace("order by position", "order by fetch_id desc, position"),
+)
+def feed_run_query(t):
+    return ran(t).listings.select(*LISTING_SHOWN)
+
+
+@query(
+    "feed_run_state",
+    "select key, arg_max(value, fetch_id) as value from (select 'jobs_rss__etag' as key, etag as value, fetch_id "
+    "from {good_fetches} union all select 'jobs_rss__modified', modified, fetch_id from {good_fetches}) x "
+    "where coalesce(value, '') != '' group by key union all select 'lang__' || lang, max(source) from {documents} group by 1",
+)
+def feed_run_state(t):
+    return ran(t).state
+
+
+STEPS["good_fetches"] = """
+select * from {fetches} where coalesce(parse_error, '') = '' and status in (200, 301) and coalesce(version, '') != ''
+"""
+
+
+@query(
+    "feed_run_rejects",
+    "select position, fetch_id, case when len(ids) = 0 then 'no id' else 'several ids' end as reason from {run_entries} "
+    "where len(ids) != 1",
+)
+def feed_run_rejects(t):
+    return ran(t).rejects.select("position", "fetch_id", "reason")
+
+
+# The newest waiting listings only: responses and documents of others change nothing.
+STEPS["run_waiting"] = "select dol_id from {listings} where not scraped order by first_seen desc, dol_id limit 40"
+STEPS["run_routed"] = "select r.* from {routed} r where r.requested_id in (select dol_id from {run_waiting})"
+STEPS["run_chosen"] = STEPS["chosen"].replace("{routed}", "{run_routed}")
+STEPS["run_applied"] = STEPS["applied"].replace("{chosen}", "{run_chosen}")
+STEPS["run_documents"] = f"""
+select distinct dol_id from {{documents_fetched}} where {GOOD}
+  and dol_id in (select coalesce(dol_id, requested_id) from {{run_routed}})
+"""
+
+
+@query(
+    "listings_run",
+    "select a.dol_id, a.scraped, a.apply_url, a.employer_name, a.employer_city, coalesce(a.pdf, case when d.dol_id is not null "
+    "then '/data/job-order-pdfs/' || a.dol_id || '.pdf' end) as pdf from {run_applied} a "
+    "left join {run_documents} d on d.dol_id = a.dol_id",
+)
+def listings_run_query(t):
+    out = listings_run(t("listings"), t("responses"), t("documents_fetched"), 40, "local", "/data").listings
+    url = F.get_json_object("scraped_data", "$.apply_url").alias("apply_url")
+    return out.select("dol_id", "scraped", url, "employer_name", "employer_city", "pdf")
+
+
+@query(
+    "listings_run_failures",
+    f"select dol_id, status, url from {{documents_fetched}} where not ({GOOD}) "
+    "and dol_id in (select coalesce(dol_id, requested_id) from {run_routed}) "
+    "and dol_id in (select dol_id from {listings} where pdf is null)",
+)
+def listings_run_failures(t):
+    return listings_run(t("listings"), t("responses"), t("documents_fetched"), 40).failures

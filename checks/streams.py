@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from checks import dialect as D
 from checks.base import ORACLES, query
 from checks.exact import cleaned, orders
-from checks.ingest import NOW, VISA, now
+from checks.ingest import LISTING_SHOWN, VISA, now
 from checks.scalars import SHOWN
 from reclink.session import scratch
 from reclink.streaming import jobs
@@ -43,13 +43,16 @@ def stream_files(t):
     keep = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "escape": '"', "header": True}
     names = ["H-2A_Disclosure_Data.csv", "h-2b_disclosure_data.csv", "H-2A_and_H-2B.csv", "PERM.csv", "H-2B_late.csv"]
     for name in names:
-        rows.where(F.col("file_name") == name).drop("file_name").write.options(**keep).csv(f"{folder}/{name}")
-    schema = rows.drop("file_name").schema
+        # Two years with other orders of their headers.
+        columns = [c for c in rows.columns if c != "file_name"]
+        given = rows.where(F.col("file_name") == name).select(*(columns if "2A" in name else columns[::-1]))
+        given.withColumnRenamed("id", "job_title").write.options(**keep).csv(f"{folder}/{name}")
     out = run(
         t.spark,
-        lambda o, c: jobs.stream_files(t.spark, f"{folder}/*", schema, o, c, per_batch=FILES_PER_BATCH, folder_names=True),
+        lambda o, c: jobs.stream_files(t.spark, f"{folder}/*", o, c, per_batch=FILES_PER_BATCH, folder_names=True),
     )
-    return t.spark.read.parquet(out).select(*SHOWN, "visa_class")
+    found = jobs.read_batches(t.spark, out).withColumn("id", F.col("job_title").cast("bigint"))
+    return found.select(*SHOWN, "visa_class")
 
 
 @query("stream_rejects", ORACLES["feed_rejects"])
@@ -59,16 +62,13 @@ def stream_rejects(t):
     return t.spark.read.parquet(out).drop("published")
 
 
-@query(
-    "stream_feed",
-    "select dol_id, arg_max(title, position) as title, arg_max(link, position) as link, "
-    "arg_max(description, position) as description, arg_max(pub_date, position) as pub_date, false as scraped, "
-    f"'scraper' as source, '{NOW}' as first_seen, '{NOW}' as last_seen from {{valid_entries}} group by dol_id",
-)
+@query("stream_feed", ORACLES["upsert_listings"])
 def stream_feed(t):
-    out = run(t.spark, lambda o, c: jobs.stream_feed(stream_of(t("feed_entries"), "feed"), o, c))
-    shown = ["dol_id", "title", "link", "description", "pub_date", "scraped", "source", "first_seen", "last_seen"]
-    return jobs.read_feed(t.spark, out, now()).select(*shown)
+    """Three batches and more, one of them replayed, then compacted; the result is that of one batch run."""
+    out = run(t.spark, lambda o, c: jobs.stream_feed(stream_of(t("feed_entries"), "feed"), o, c, now()))
+    assert len(jobs._folders(t.spark, out)["batch"]) >= 3
+    jobs.compact_batches(t.spark, out, jobs.merge_feed)
+    return jobs.read_feed(t.spark, out, t("listings")).select(*LISTING_SHOWN)
 
 
 @query(

@@ -45,13 +45,35 @@ def _codes(texts: list[str], width: int) -> np.ndarray:
     return out
 
 
+# Cells of a table row that are handled at a time, over all pairs of a slice.
+AREA = 1 << 18
+
+
 def gap_costs(left: pd.Series, right: pd.Series) -> pd.Series:
-    """Affine gap cost over the summed lengths (after Gotoh 1982), for a whole batch of pairs at once."""
+    """Affine gap cost over the summed lengths (after Gotoh 1982), for many pairs at once.
+
+    Pairs of like lengths are handled together, in slices of bounded size, so that one long text does not widen the arrays of
+    all others.
+    """
     out = pd.Series(np.nan, index=left.index, dtype="float64")
-    usable = left.notna() & right.notna() & (left != "") & (right != "")
-    if not usable.any():
-        return out
+    usable = (left.notna() & right.notna() & (left != "") & (right != "")).to_numpy()
     pairs = [(a, b) if len(a) >= len(b) else (b, a) for a, b in zip(left[usable], right[usable])]
+    costs = np.empty(len(pairs))
+    order = sorted(range(len(pairs)), key=lambda i: (len(pairs[i][0]), len(pairs[i][1])))
+    start = 0
+    while start < len(order):
+        # Lengths rise, so the last pair of a slice is its longest.
+        end = start + 1
+        while end < len(order) and (end + 1 - start) * len(pairs[order[end]][0]) <= AREA:
+            end += 1
+        costs[order[start:end]] = _slice_costs([pairs[i] for i in order[start:end]])
+        start = end
+    out[usable] = costs
+    return out
+
+
+def _slice_costs(pairs: list[tuple[str, str]]) -> np.ndarray:
+    """Costs of (longer, shorter) pairs by the rows of their tables, side by side."""
     long_texts, short_texts = [a for a, _ in pairs], [b for _, b in pairs]
     n = np.array([len(a) for a in long_texts])
     m = np.array([len(b) for b in short_texts])
@@ -76,8 +98,7 @@ def gap_costs(left: pd.Series, right: pd.Series) -> pd.Series:
         costs[ended] = best[rows[ended], n[ended]]
     same = np.array([x == y for x, y in pairs])
     costs[same] = MATCH * n[same]
-    out[usable] = costs / (n + m)
-    return out
+    return costs / (n + m)
 
 
 @pandas_udf(DoubleType())

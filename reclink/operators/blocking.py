@@ -75,60 +75,36 @@ def _joined(rule: Rule, keys: list[Column]) -> Column:
     return F.when(complete, F.concat(F.lit(rule.name + ":"), F.concat_ws("|", *keys)))
 
 
-def _variant(rule: Rule, same: list[str] | None, id_col: str) -> Column:
-    """What a record counts as within the rule's blocks: itself, or its values of `same` and of the rule's fields."""
-    own = F.concat(F.lit("id:"), F.col(id_col).cast("string"))
-    if not same:
-        return own
-    fields = dict.fromkeys([*same, *[p.field for p in rule.parts]])
-    shared = text_key(*[F.lower(F.trim(F.col(f))) for f in fields])
-    filled = F.lit(True)
-    for field in same:
-        filled = filled & (F.coalesce(F.trim(F.col(field)), F.lit("")) != "")
-    return F.when(filled, shared).otherwise(own)
-
-
-def _rare_keys(df: DataFrame, id_col: str, rule: Rule, same: list[str] | None) -> DataFrame:
+def shares_a_block(rules, same: list[str]) -> bool:
+    """Whether records that agree on the fields, none of them empty, always meet in a block of some rule."""
+    return any(all(p.field in same and p.kind != "rare" for p in rule.parts) for rule in rules)
+
+
+def _rare_keys(df: DataFrame, id_col: str, rule: Rule) -> DataFrame:
     """Keys of a rule whose first part is a rare word; the other parts are plain."""
     rare, rest = rule.parts[0], rule.parts[1:]
     words = df.select(
         F.col(id_col).alias("id"),
-        _variant(rule, same, id_col).alias("variant"),
         *[part_key(p).alias(f"_{i}") for i, p in enumerate(rest)],
         F.explode(tokens(F.col(rare.field))).alias("token"),
     )
     kept = words.join(token_index(df, rare.field, rare.size).select("token"), "token", "left_semi")
     names = ["token"] + [f"_{i}" for i in range(len(rest))]
-    return kept.select(_joined(rule, [F.col(n) for n in names]).alias("block_key"), "variant", "id")
-
+    return kept.select(_joined(rule, [F.col(n) for n in names]).alias("block_key"), "id")
 
-def block_keys(df: DataFrame, rules=EMPLOYER_RULES, id_col: str = "id", same: list[str] | None = None) -> DataFrame:
-    """(block_key, id), once per record and key. All plain rules share one scan.
 
-    `same` names fields whose agreement alone makes two records a match. Records that agree on them, and on the fields
-    of a rule, then enter the rule's blocks once, under the smallest id.
-    """
+def block_keys(df: DataFrame, rules=EMPLOYER_RULES, id_col: str = "id") -> DataFrame:
+    """(block_key, id), once per record and key. All plain rules share one scan."""
     plain = [r for r in rules if r.parts[0].kind != "rare"]
     rare = [r for r in rules if r.parts[0].kind == "rare"]
     out = None
     if plain:
-        keys = F.array(
-            *[
-                F.struct(
-                    _joined(r, [part_key(p) for p in r.parts]).alias("block_key"),
-                    _variant(r, same, id_col).alias("variant"),
-                )
-                for r in plain
-            ]
-        )
-        out = df.select(F.col(id_col).alias("id"), F.inline(keys)).select("block_key", "variant", "id")
+        keys = F.array(*[_joined(r, [part_key(p) for p in r.parts]) for r in plain])
+        out = df.select(F.col(id_col).alias("id"), F.explode(keys).alias("block_key")).select("block_key", "id")
     for rule in rare:
-        found = _rare_keys(df, id_col, rule, same)
+        found = _rare_keys(df, id_col, rule)
         out = found if out is None else out.unionByName(found)
-    kept = out.where(F.col("block_key").isNotNull())
-    if not same:
-        return kept.select("block_key", "id").distinct()
-    return kept.groupBy("block_key", "variant").agg(F.min("id").alias("id")).select("block_key", "id")
+    return out.where(F.col("block_key").isNotNull()).distinct()
 
 
 def block_sizes(blocks: DataFrame) -> DataFrame:

@@ -72,21 +72,26 @@ def new_employer_keys(raw: DataFrame, employers: DataFrame, slug_mode: str = "lo
 def new_employers(raw: DataFrame, employers: DataFrame, slug_mode: str = "lower") -> DataFrame:
     """An employer for every new key, over all rows that carry the key.
 
-    Rows are first reduced to distinct spellings with their dates, which is a hash aggregation on the map side whatever
-    the size of a key; slugs, keys and text maxima are computed for the spellings only.
+    New keys are found among the unlinked rows alone. Only rows with one of those keys are aggregated, linked ones too:
+    their dates and texts count. They are first reduced to distinct spellings with their dates, by a hash aggregation in
+    their own tasks; slugs, keys and text maxima, whose buffers need a sort, are computed for the spellings only.
     """
     slug = SLUGS[slug_mode]
+    columns = list(RAW_COLUMNS.values())
+    named = raw.where(F.col("employer_name").isNotNull())
+    open_spellings = named.where(F.col("employer_record_id").isNull()).select(*columns).distinct()
+    fresh = (
+        open_spellings.select(raw_key(slug_mode).alias("id"))
+        .distinct()
+        .join(_known_keys(employers), F.col("id") == F.col("_key"), "left_anti")
+    )
     spellings = (
-        raw.where(F.col("employer_name").isNotNull())
-        .groupBy(*RAW_COLUMNS.values(), "source")
-        .agg(
-            F.max(F.col("employer_record_id").isNull()).alias("_open"),
-            F.min("first_seen").alias("first_seen"),
-            F.max("last_seen").alias("last_seen"),
-        )
+        named.select(*columns, "source", "first_seen", "last_seen", raw_key(slug_mode).alias("id"))
+        .join(fresh, "id", "left_semi")
+        .groupBy("id", *columns, "source")
+        .agg(F.min("first_seen").alias("first_seen"), F.max("last_seen").alias("last_seen"))
     )
-    merged = spellings.groupBy(raw_key(slug_mode).alias("id")).agg(
-        F.max("_open").alias("_open"),
+    merged = spellings.groupBy("id").agg(
         *[F.max(column).alias(field) for field, column in RAW_COLUMNS.items()],
         F.max(slug("employer_name")).alias("slug"),
         F.max(slug("trade_name_dba")).alias("trade_name_slug"),
@@ -94,17 +99,20 @@ def new_employers(raw: DataFrame, employers: DataFrame, slug_mode: str = "lower"
         F.max("last_seen").alias("last_seen"),
         F.max("source").alias("source"),
     )
-    fresh = merged.where("_open").join(_known_keys(employers), F.col("id") == F.col("_key"), "left_anti")
-    return fresh.drop("_open").withColumn("unique_employer_id", F.lit(None).cast("string"))
+    return merged.withColumn("unique_employer_id", F.lit(None).cast("string"))
 
 
 def link_employers(raw: DataFrame, employers: DataFrame, slug_mode: str = "lower") -> DataFrame:
-    """Fill the employer id of unlinked rows from the employer with the same key."""
-    open_key = F.when(F.col("employer_record_id").isNull(), raw_key(slug_mode))
-    joined = raw.withColumn("_raw_key", open_key).join(
-        _known_keys(employers), F.col("_raw_key") == F.col("_key"), "left"
-    )
-    return joined.withColumn("employer_record_id", F.coalesce("employer_record_id", "_employer_id")).select(*raw.columns)
+    """Fill the employer id of unlinked rows from the employer with the same key.
+
+    Rows that are linked already pass by; on all runs but the first they are nearly all rows, and in the join they would
+    share one null key.
+    """
+    linked = raw.where(F.col("employer_record_id").isNotNull())
+    waiting = raw.where(F.col("employer_record_id").isNull()).withColumn("_raw_key", raw_key(slug_mode))
+    found = waiting.join(_known_keys(employers), F.col("_raw_key") == F.col("_key"), "left")
+    found = found.withColumn("employer_record_id", F.col("_employer_id").cast(raw.schema["employer_record_id"].dataType))
+    return linked.unionByName(found.select(*raw.columns))
 
 
 def _extend(employers: DataFrame, raw: DataFrame, last: bool, first: bool) -> DataFrame:

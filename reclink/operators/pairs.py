@@ -119,10 +119,12 @@ def _segment_pairs(members: DataFrame, similarity: float) -> DataFrame:
     )
     met = indexed.join(offered, ["block_key", "size", "segment", "text"])
     near = (F.col("a_id") != F.col("b_id")) & _within_reach(F.col("a_name"), F.col("b_name"), similarity)
-    return met.where(near).select(F.least("a_id", "b_id").alias("left_id"), F.greatest("a_id", "b_id").alias("right_id"))
+    return met.where(near).select(
+        "block_key", F.least("a_id", "b_id").alias("left_id"), F.greatest("a_id", "b_id").alias("right_id")
+    )
 
 
-def candidate_pairs(
+def block_pairs(
     blocks: DataFrame,
     records: DataFrame,
     similarity: float | None = None,
@@ -130,7 +132,7 @@ def candidate_pairs(
     id_col: str = "id",
     max_block: int = MAX_BLOCK,
 ) -> DataFrame:
-    """Distinct pairs (left id < right id) that share a block and whose names are close enough to reach the threshold.
+    """Pairs (left id < right id) that share a block and whose names are close enough, once for each block they share.
 
     `similarity` defaults to what the default weights demand. Blocks up to `max_block` are joined record by record, so
     a record meets at most that many others there; larger blocks go through name segments and give the same pairs.
@@ -148,7 +150,20 @@ def candidate_pairs(
         (F.col("left_id") < F.col("right_id")) & _within_reach(F.col("a_name"), F.col("b_name"), similarity)
     )
     large = members.where("oversized").select("block_key", "id", "name")
-    return met.select("left_id", "right_id").unionByName(_segment_pairs(large, similarity)).distinct()
+    return met.select("block_key", "left_id", "right_id").unionByName(_segment_pairs(large, similarity).distinct())
+
+
+def candidate_pairs(
+    blocks: DataFrame,
+    records: DataFrame,
+    similarity: float | None = None,
+    name_field: str = "name",
+    id_col: str = "id",
+    max_block: int = MAX_BLOCK,
+) -> DataFrame:
+    """Distinct pairs (left id < right id) that share a block and whose names are close enough to reach the threshold."""
+    met = block_pairs(blocks, records, similarity, name_field, id_col, max_block)
+    return met.select("left_id", "right_id").distinct()
 
 
 def pair_records(pairs: DataFrame, records: DataFrame, fields: list[str] = IDENTITY, id_col: str = "id") -> DataFrame:
@@ -166,9 +181,13 @@ def _flag(condition: Column) -> Column:
     return F.coalesce(condition, F.lit(False)).cast("double")
 
 
-def compare_pairs(paired: DataFrame, gap: bool = False) -> DataFrame:
-    """Comparison vector of each pair; every feature lies between 0 and 1. `gap` adds the affine gap distance."""
-    compared = paired.select("left_id", "right_id", *[name_key(c).alias(c) for c in paired.columns[2:]])
+def compare_pairs(paired: DataFrame, gap: bool = False, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Comparison vector of each pair; every feature lies between 0 and 1. `gap` adds the affine gap distance.
+
+    `keep` names further columns that stay next to the ids.
+    """
+    ids = ["left_id", "right_id", *keep]
+    compared = paired.select(*ids, *[name_key(c).alias(c) for c in paired.columns if c not in ids])
 
     def sides(field: str) -> tuple[Column, Column]:
         return F.col(f"left_{field}"), F.col(f"right_{field}")
@@ -187,7 +206,7 @@ def compare_pairs(paired: DataFrame, gap: bool = False) -> DataFrame:
     # One struct per pair, unpacked again: a filter on the score then stops at the unpacked numbers, instead of being
     # pushed down with a second evaluation of every distance.
     vector = F.struct(*[features[f].alias(f) for f in FEATURES])
-    vectors = compared.select("left_id", "right_id", F.inline(F.array(vector)))
+    vectors = compared.select(*ids, F.inline(F.array(vector)))
     if not gap:
         return vectors
     keyed = compared.select("left_id", "right_id", F.least(*name).alias("_a"), F.greatest(*name).alias("_b"))

@@ -8,22 +8,13 @@ from pyspark.sql import functions as F
 from reclink.functions.text import format_phone, short_country
 from reclink.schemas import REVIEW_THRESHOLD
 
-# Ids kept in one list; larger clusters are spread over several rows.
-LIST_SIZE = 1000
-
 ANSWERS = ("y", "n", "u")
 
 
-def cluster_member_ids(entity_map: DataFrame, list_size: int = LIST_SIZE) -> DataFrame:
-    """Sorted member list per cluster. A cluster above the list size gives several rows, numbered by `part`."""
+def cluster_member_ids(entity_map: DataFrame) -> DataFrame:
+    """One row for each member of each cluster, with the number of members."""
     sizes = entity_map.groupBy("canon_id").agg(F.count("*").alias("n_members"))
-    parts = F.ceil(F.col("n_members") / list_size)
-    spread = entity_map.join(sizes, "canon_id").withColumn(
-        "part", F.pmod(F.xxhash64("employer_record_id"), parts).cast("int")
-    )
-    return spread.groupBy("canon_id", "n_members", "part").agg(
-        F.array_sort(F.collect_list("employer_record_id")).alias("member_ids")
-    )
+    return entity_map.join(sizes, "canon_id").select("canon_id", "n_members", F.col("employer_record_id").alias("member_id"))
 
 
 def _waiting(threshold: float) -> Column:
@@ -31,29 +22,29 @@ def _waiting(threshold: float) -> Column:
 
 
 def review_queue(entity_map: DataFrame, n: int = 10, threshold: float = REVIEW_THRESHOLD) -> DataFrame:
-    """The next n weak members nobody reviewed, with the members of their cluster."""
+    """The next n weak members nobody reviewed, with the size of their cluster; exactly one row for each."""
     queue = (
         entity_map.where(_waiting(threshold))
         .orderBy("canon_id", "employer_record_id")
         .limit(n)
         .select("employer_record_id", "canon_id", "cluster_score")
     )
-    # At most n clusters are queued, so only their members are listed.
-    queued = entity_map.join(queue.select("canon_id").distinct(), "canon_id", "left_semi")
-    return queue.join(cluster_member_ids(queued), "canon_id").select(
-        "employer_record_id", "canon_id", "cluster_score", "n_members", "part", "member_ids"
+    sizes = (
+        entity_map.join(queue.select("canon_id").distinct(), "canon_id", "left_semi")
+        .groupBy("canon_id")
+        .agg(F.count("*").alias("n_members"))
     )
+    return queue.join(sizes, "canon_id").select("employer_record_id", "canon_id", "cluster_score", "n_members")
 
 
 def review_count(entity_map: DataFrame, threshold: float = REVIEW_THRESHOLD) -> DataFrame:
     return entity_map.agg(F.count_if(_waiting(threshold)).alias("to_review"))
 
 
-def review_rows(queue: DataFrame, employers: DataFrame) -> DataFrame:
+def review_rows(queue: DataFrame, entity_map: DataFrame, employers: DataFrame) -> DataFrame:
     """Printable member table of each queued row; the row in question has a star and the score."""
-    members = queue.select(
-        F.col("employer_record_id").alias("reviewed_id"), "canon_id", "cluster_score", F.explode("member_ids").alias("id")
-    )
+    asked = queue.select(F.col("employer_record_id").alias("reviewed_id"), "canon_id", "cluster_score")
+    members = asked.join(entity_map.select("canon_id", F.col("employer_record_id").alias("id")), "canon_id")
     starred = F.col("id") == F.col("reviewed_id")
     return members.join(employers, "id").select(
         "reviewed_id",

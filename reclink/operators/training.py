@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reclink.operators.blocking import EMPLOYER_RULES, block_keys, block_stats
-from reclink.operators.pairs import FEATURES
+from reclink.operators.pairs import DEFAULT_WEIGHTS, FEATURES, candidate_pairs, least_name_similarity
 from reclink.schemas import TRAINING_RECALL, TRAINING_SAMPLE
 
 
@@ -17,8 +17,18 @@ def training_sample(df: DataFrame, n: int = TRAINING_SAMPLE, by: str = "name", i
     return df.orderBy(by, id_col).limit(n)
 
 
+# Pairs that score less are no question for a person.
+LABEL_FLOOR = 0.4
+
+
+def label_candidates(blocks: DataFrame, records: DataFrame, weights=DEFAULT_WEIGHTS, least: float = LABEL_FLOOR) -> DataFrame:
+    """Pairs of a block that can score `least` or more. Linking needs only those above the cluster threshold, but a person
+    is asked about pairs on both sides of it."""
+    return candidate_pairs(blocks, records, least_name_similarity(weights, least))
+
+
 def label_queue(scored: DataFrame, labels: DataFrame, n: int) -> DataFrame:
-    """The n unlabelled pairs the score is least sure about."""
+    """The n unlabelled pairs the score is least sure about; score the pairs of label_candidates for it."""
     open_pairs = scored.join(labels.select("left_id", "right_id"), ["left_id", "right_id"], "left_anti")
     return open_pairs.orderBy(F.abs(F.col("score") - 0.5), "left_id", "right_id").limit(n)
 
@@ -58,8 +68,10 @@ def choose_block_rules(
     """Rules in the order they are taken until the wanted share of matches is covered.
 
     Each step takes the rule with the most newly covered matches per compared pair (after Bilenko et al. 2006). The
-    driver sees one row per combination of rules, at most two to the number of rules.
+    driver sees one row per combination of rules, at most two to the number of rules, which is limited to 20.
     """
+    if len(rules) > 20:
+        raise ValueError("choose among at most 20 rules")
     patterns = rule_coverage(df, matches, rules, id_col).groupBy("rules").agg(F.count("*").alias("n")).collect()
     costs = {row["rule"]: int(row["n_pairs"]) for row in rule_costs(df, rules, id_col).collect()}
     total = sum(row["n"] for row in patterns)

@@ -19,7 +19,8 @@ class EmployerTables(NamedTuple):
 
 def link_table(raw: DataFrame, employers: DataFrame, slug_mode: str = "lower") -> tuple[DataFrame, DataFrame]:
     """Add the table's new employers, link its rows, widen the seen dates."""
-    grown = employers.unionByName(E.new_employers(raw, employers, slug_mode))
+    # Read by the link, by the dates and by the caller, so it is written once.
+    grown = cut(employers.unionByName(E.new_employers(raw, employers, slug_mode)), "employers")
     linked = E.link_employers(raw, grown, slug_mode)
     return linked, E.extend_seen(grown, linked)
 
@@ -29,7 +30,7 @@ def update_employers(
 ) -> EmployerTables:
     """Disclosures first, then listings against the result, so that disclosures name the employers they share."""
     linked_disclosures, grown = link_table(disclosures, employers, slug_mode)
-    grown = cut(grown, "employers")
+    grown = cut(grown, "employers-seen")
     linked_listings, final = link_table(listings, grown, slug_mode)
     return EmployerTables(linked_disclosures, linked_listings, final)
 
@@ -49,7 +50,8 @@ def update_addresses(
     grown = addresses.select(*A.ADDRESS_PARTS, "id", "normalized_address").unionByName(
         A.new_addresses(mentions, addresses).select(*A.ADDRESS_PARTS, "id", "normalized_address")
     )
-    matched = A.match_addresses(mentions, grown)
+    # Both link tables come from the matches.
+    matched = cut(A.match_addresses(mentions, grown), "matched")
     return AddressTables(
         grown,
         order_links.unionByName(A.order_address_links(matched)),

@@ -252,6 +252,33 @@ select concat('e', lpad(cast(2 * custkey + 1 as string), 12, '0')) as id,
   case when custkey % 3 = 0 then 'scraper' else 'DoL annual or quarterly disclosure data' end as source,
   cast(null as string) as unique_employer_id
 from {base_employers}
+""",
+    # Employers in groups that agree on name, city and state: pairs and larger ones with other trades and phones, copies,
+    # one hot group, and for each group an outsider whose name is near and who shares a block with one member by trade.
+    "grouped_employers": """
+select concat('g', lpad(cast(p.p_partkey as string), 9, '0'), '-', cast(m.r_regionkey as string)) as id,
+  concat('grove of the old northern ', substr(md5(cast(p.p_partkey as string)), 1, 7), ' farms') as name,
+  case when m.r_regionkey = 3 then null else concat('stall ', cast((p.p_partkey + m.r_regionkey) % 3 as string), ' ',
+    substr(md5(cast(p.p_partkey as string)), 8, 3)) end as trade_name_dba,
+  'GROVETOWN' as city, 'NC' as state,
+  case when (p.p_partkey + m.r_regionkey) % 4 = 0 then null else 'UNITED STATES OF AMERICA' end as country,
+  case m.r_regionkey when 2 then null when 4 then concat('1919', lpad(cast(p.p_partkey as string), 7, '0'))
+    else concat('1919', lpad(cast(p.p_partkey as string), 6, '0'), cast(m.r_regionkey % 2 as string)) end as phone
+from {part} p
+join {region} m on m.r_regionkey <= 1 + p.p_partkey % 4
+union all
+select concat('o', lpad(cast(p_partkey as string), 9, '0')) as id,
+  concat('groe of the old northern ', substr(md5(cast(p_partkey as string)), 1, 7), ' farms') as name,
+  concat('stall ', cast((p_partkey + 1) % 3 as string), ' ', substr(md5(cast(p_partkey as string)), 8, 3)) as trade_name_dba,
+  'GROVETOWN' as city, 'NC' as state, cast(null as string) as country,
+  concat('1704', lpad(cast(p_partkey as string), 7, '0')) as phone
+from {part}
+union all
+select concat('h', lpad(cast(o_orderkey as string), 9, '0')) as id, 'unknown farm' as name,
+  case when o_orderkey % 3 = 0 then null else concat('trade ', cast(o_orderkey % 11 as string)) end as trade_name_dba,
+  'NOWHERE' as city, 'TX' as state, case when o_orderkey % 2 = 0 then 'CANADA' end as country,
+  case when o_orderkey % 5 = 0 then null else concat('1800', lpad(cast(o_orderkey % 97 as string), 7, '0')) end as phone
+from {orders} where o_custkey % 50 = 1
 """,
     # Labelled pairs: every record with its copy is a match, with the next customer's record it is not.
     "labels_true": """

@@ -14,10 +14,17 @@ from reclink.schemas import CASE_STATUSES, DISCLOSURE_KINDS, HEADER_ALIASES, SOU
 NUMBERING_CHUNK = 1 << 20
 
 
-def read_disclosure(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
-    """Read files whose first row is the header; every cell of a text file stays text."""
+# Quoted cells may hold line breaks, so a CSV file is read by one task; many files give the parallelism.
+CSV = {"header": True, "inferSchema": False, "multiLine": True, "escape": '"', "enforceSchema": False}
+
+
+def read_disclosure(spark: SparkSession, path: str | list[str], fmt: str = "csv", multi_line: bool = True) -> DataFrame:
+    """Read files with one header row in common; every cell of a text file stays text.
+
+    Without `multi_line` a line break ends a row even inside quotes, and large files are split among tasks.
+    """
     if fmt == "csv":
-        return spark.read.csv(path, header=True, inferSchema=False, multiLine=False, escape='"', enforceSchema=False)
+        return spark.read.options(**{**CSV, "multiLine": multi_line}).csv(path)
     return spark.read.format(fmt).load(path)
 
 
@@ -27,12 +34,18 @@ def target_name(header: str, valid: Iterable[str], aliases: Mapping[str, str]) -
 
 
 def normalize_headers(
-    df: DataFrame, valid: Iterable[str] = DISCLOSURE_KINDS, aliases: Mapping[str, str] = HEADER_ALIASES
+    df: DataFrame,
+    valid: Iterable[str] = DISCLOSURE_KINDS,
+    aliases: Mapping[str, str] = HEADER_ALIASES,
+    keep: Iterable[str] = (),
 ) -> DataFrame:
-    """Map headers onto the declared names and drop the rest; of two headers for one name the right-most wins."""
+    """Map headers onto the declared names and drop the rest; of two headers for one name the right-most wins.
+
+    `keep` names columns that are no headers of the file and stay as they are.
+    """
     source = {}
     for position, header in enumerate(df.columns):
-        name = target_name(header, valid, aliases)
+        name = header if header in keep else target_name(header, valid, aliases)
         if name:
             source[name] = position
     placed = df.toDF(*[f"_{i}" for i in range(len(df.columns))])
@@ -99,11 +112,12 @@ def number_rows(df: DataFrame, group: str, position: str, name: str = "row_numbe
     """1-based row number per group in order of a whole-number position.
 
     A group may be most of the table, so rows are numbered inside chunks of the position range, and a chunk starts after
-    the rows counted in the chunks before it.
+    the rows counted in the chunks before it. Rows without a position come last, in no stated order.
     """
     chunk = F.floor(F.col(position) / NUMBERING_CHUNK).alias("_chunk")
     counts = df.groupBy(group, chunk).agg(F.count("*").alias("_n"))
-    before = Window.partitionBy(group).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy(group).orderBy(F.col("_chunk").asc_nulls_last())
+    before = before.rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select(
         F.col(group).alias("_group"),
         F.col("_chunk").alias("_start_chunk"),
@@ -112,7 +126,7 @@ def number_rows(df: DataFrame, group: str, position: str, name: str = "row_numbe
     inside = F.row_number().over(Window.partitionBy(group, "_chunk").orderBy(position))
     numbered = df.select("*", chunk).withColumn("_inside", inside)
     joined = numbered.join(
-        starts, numbered[group].eqNullSafe(starts["_group"]) & (numbered["_chunk"] == starts["_start_chunk"])
+        starts, numbered[group].eqNullSafe(starts["_group"]) & numbered["_chunk"].eqNullSafe(starts["_start_chunk"])
     )
     return joined.select(*df.columns, (F.col("_start") + F.col("_inside")).cast("int").alias(name))
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reclink.functions.text import USA, extract_ids, format_pub_date
@@ -25,9 +25,22 @@ def feed_accept(fetches: DataFrame) -> DataFrame:
     return fetches.select("fetch_id", outcome.alias("outcome"))
 
 
+def entry_order(entries: DataFrame) -> Column:
+    """Order in which entries count: by fetch, where entries name one, then by position."""
+    return F.struct("fetch_id", "position") if "fetch_id" in entries.columns else F.col("position")
+
+
 def feed_head(entries: DataFrame, n: int = -1) -> DataFrame:
-    """The first n entries, counted before any check; all of them when n is not positive."""
-    return entries.where(F.col("position") <= n) if n > 0 else entries
+    """The first n entries of each fetch by position, counted before any check; all of them when n is not positive.
+
+    Entries without a fetch_id come from one fetch. The rows beyond n leave in their own tasks, before any shuffle.
+    """
+    if n <= 0:
+        return entries
+    if "fetch_id" not in entries.columns:
+        return entries.orderBy("position").limit(n)
+    place = F.row_number().over(Window.partitionBy("fetch_id").orderBy("position"))
+    return entries.withColumn("_place", place).where(F.col("_place") <= n).drop("_place")
 
 
 def _with_ids(entries: DataFrame) -> DataFrame:
@@ -54,40 +67,50 @@ FEED_FIELDS = ["link", "title", "description", "pub_date"]
 
 
 def latest_entries(entries: DataFrame, skip_update: bool = False) -> DataFrame:
-    """One entry per id: the last one, or the first one when updates are skipped. Partial aggregation, no sort."""
-    values = F.struct(*FEED_FIELDS)
-    pick = F.min_by(values, "position") if skip_update else F.max_by(values, "position")
+    """One entry per id: the last one, or the first one when updates are skipped.
+
+    Entries of an id are merged in their own tasks first. The buffers hold text, so this aggregation sorts.
+    """
+    values, order = F.struct(*FEED_FIELDS), entry_order(entries)
+    pick = F.min_by(values, order) if skip_update else F.max_by(values, order)
     return entries.groupBy("dol_id").agg(pick.alias("entry")).select("dol_id", "entry.*")
 
 
 def upsert_listings(existing: DataFrame, entries: DataFrame, now: Column, skip_update: bool = False) -> DataFrame:
     """Listings after the entries were applied. An entry counts as new when its id is not among the listings."""
-    fresh = latest_entries(entries, skip_update).select(
-        F.col("dol_id").alias("_id"), *[F.col(f).alias(f"_{f}") for f in FEED_FIELDS]
-    )
+    fresh = latest_entries(entries, skip_update).withColumns({"first_offered": now, "last_offered": now})
+    return merge_offered(existing, fresh, skip_update)
+
+
+def merge_offered(existing: DataFrame, fresh: DataFrame, skip_update: bool = False) -> DataFrame:
+    """Listings after one entry per id, which carries the times it was first and last offered."""
+    given = [*FEED_FIELDS, "first_offered", "last_offered"]
+    offer = fresh.select(F.col("dol_id").alias("_id"), *[F.col(f).alias(f"_{f}") for f in given])
     known, offered = F.col("dol_id").isNotNull(), F.col("_id").isNotNull()
     changed = offered & ~known if skip_update else offered
     new = ~known
     values = {f: F.when(changed, F.col(f"_{f}")).otherwise(F.col(f)) for f in FEED_FIELDS}
     values |= {
         "dol_id": F.coalesce("dol_id", "_id"),
-        "last_seen": F.when(changed, now).otherwise(F.col("last_seen")),
-        "first_seen": F.when(new, now).otherwise(F.col("first_seen")),
+        "last_seen": F.when(changed, F.col("_last_offered")).otherwise(F.col("last_seen")),
+        "first_seen": F.when(new, F.col("_first_offered")).otherwise(F.col("first_seen")),
         "scraped": F.when(new, F.lit(False)).otherwise(F.col("scraped")),
         "source": F.when(new, F.lit(SOURCE_SCRAPER)).otherwise(F.col("source")),
         "employer_country": F.when(new, F.lit(USA)).otherwise(F.col("employer_country")),
     }
-    joined = existing.join(fresh, F.col("dol_id") == F.col("_id"), "full")
+    joined = existing.join(offer, F.col("dol_id") == F.col("_id"), "full")
     return joined.select(*[values.get(c, F.col(c)).alias(c) for c in existing.columns])
 
 
 def upsert_report(existing: DataFrame, entries: DataFrame, skip_update: bool = False) -> DataFrame:
     """What happens to each entry: created, updated or skipped."""
     known = existing.select("dol_id").distinct().withColumn("_known", F.lit(True))
-    firsts = entries.groupBy("dol_id").agg(F.min("position").alias("_first")).join(known, "dol_id", "left")
-    created = F.col("_known").isNull() & (F.col("position") == F.col("_first"))
+    order = entry_order(entries)
+    firsts = entries.groupBy("dol_id").agg(F.min(order).alias("_first")).join(known, "dol_id", "left")
+    created = F.col("_known").isNull() & (order == F.col("_first"))
     label = F.when(created, "created").otherwise("skipped" if skip_update else "updated")
-    return entries.join(firsts, "dol_id").select("position", "dol_id", label.alias("operation"))
+    place = [c for c in ("fetch_id", "position") if c in entries.columns]
+    return entries.join(firsts, "dol_id").select(*place, "dol_id", label.alias("operation"))
 
 
 def save_cursor(state: DataFrame, fetch: DataFrame) -> DataFrame:
@@ -177,17 +200,22 @@ def _fetched_well() -> Column:
     return F.col("status").isin(*FETCHED) & (F.col("url") != MISSING_DOCUMENT)
 
 
-def document_path(dol_id: Column, destination: str, base: str = "") -> Column:
-    """Where a document is kept: a local folder, or a bucket address."""
-    if destination == "local":
-        return F.concat(F.lit(f"{base}/job-order-pdfs/"), dol_id, F.lit(".pdf"))
-    return F.concat(F.lit(f"https://{destination}.s3.us-east-2.amazonaws.com/"), dol_id, F.lit(".pdf"))
+# Fixed value: the address of a stored document, by bucket.
+DOCUMENT_ADDRESS = "https://{bucket}.s3.us-east-2.amazonaws.com/"
+
+
+def document_path(dol_id: Column, destination: str, base: str = "", address: str = DOCUMENT_ADDRESS) -> Column:
+    """Where a document is kept: a local folder, or a bucket address made from a template."""
+    folder = f"{base}/job-order-pdfs/" if destination == "local" else address.format(bucket=destination)
+    return F.concat(F.lit(folder), dol_id, F.lit(".pdf"))
 
 
-def attach_documents(listings: DataFrame, fetched: DataFrame, destination: str = "local", base: str = "") -> DataFrame:
+def attach_documents(
+    listings: DataFrame, fetched: DataFrame, destination: str = "local", base: str = "", address: str = DOCUMENT_ADDRESS
+) -> DataFrame:
     """Store the document path on listings that have none and whose document was fetched."""
     good = fetched.where(_fetched_well()).select(F.col("dol_id").alias("_id")).distinct()
-    path = F.when(F.col("_id").isNotNull(), document_path(F.col("_id"), destination, base))
+    path = F.when(F.col("_id").isNotNull(), document_path(F.col("_id"), destination, base, address))
     joined = listings.join(good, F.col("dol_id") == F.col("_id"), "left")
     return joined.withColumn("pdf", F.coalesce("pdf", path)).select(*listings.columns)
 

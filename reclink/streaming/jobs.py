@@ -2,23 +2,20 @@
 
 Each micro-batch writes what it learned to its own folder, `batch=<id>`, and overwrites that folder when it is retried.
 Reading merges the folders by aggregation. A batch thus costs its own rows, never a rewrite of the table, and a replay
-changes nothing.
+changes nothing. compact_batches merges the folders so far into one, `upto=<id>`, which readers take in their place.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
-from pyspark.sql.types import StructType
 
-from reclink.functions.text import USA, visa_class
 from reclink.operators import addresses as A
 from reclink.operators import employers as E
-from reclink.operators.clean import clean_disclosure
-from reclink.schemas import LISTING, SOURCE_SCRAPER
+from reclink.plans.intake import import_disclosure
 from reclink.sources import feed
 
 
@@ -36,34 +33,76 @@ def _per_batch(out: str, step: Callable[[DataFrame], DataFrame]) -> Callable[[Da
     return write
 
 
+def _folders(spark: SparkSession, out: str) -> dict[str, list[int]]:
+    """Numbers of the finished batch= and upto= folders. The driver lists names only."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(out)
+    store = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    found: dict[str, list[int]] = {"batch": [], "upto": []}
+    if store.exists(root):
+        for status in store.listStatus(root):
+            kind, _, number = status.getPath().getName().partition("=")
+            done = spark._jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")
+            if kind in found and number.isdigit() and store.exists(done):
+                found[kind].append(int(number))
+    return found
+
+
 def read_batches(spark: SparkSession, out: str) -> DataFrame:
-    """All batch folders, with the batch number as a column."""
-    return spark.read.option("basePath", out).parquet(f"{out}/batch=*")
+    """Rows of the latest compacted folder and of all batches after it, with the number as the column `batch`.
+
+    A compacted row that has a batch of its own keeps it.
+    """
+    found = _folders(spark, out)
+    upto = max(found["upto"], default=-1)
+    tables = [spark.read.parquet(f"{out}/upto={upto}")] if upto >= 0 else []
+    for number in sorted(n for n in found["batch"] if n > upto):
+        tables.append(spark.read.parquet(f"{out}/batch={number}").withColumn("batch", F.lit(number)))
+    if not tables:
+        raise FileNotFoundError(f"no finished batch in {out}")
+    rows = tables[0]
+    for table in tables[1:]:
+        rows = rows.unionByName(table)
+    return rows
+
+
+def compact_batches(spark: SparkSession, out: str, merge: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> int:
+    """Merge everything up to the latest finished batch into one folder; returns the batch. The old folders stay unread.
+
+    `merge` reduces the rows of read_batches to rows of the same columns, for example merge_seen.
+    """
+    found = _folders(spark, out)
+    latest = max(found["batch"] + found["upto"])
+    if latest not in found["upto"]:
+        merge(read_batches(spark, out)).write.mode("overwrite").parquet(f"{out}/upto={latest}")
+    return latest
 
 
 def stream_files(
     spark: SparkSession,
     source: str,
-    schema: StructType,
     out: str,
     checkpoint: str,
-    fmt: str = "csv",
     per_batch: int = 100,
     folder_names: bool = False,
     once: bool = True,
     every: str = "30 minutes",
 ) -> StreamingQuery:
-    """Load each new file once: tag, clean, append. The checkpoint remembers the files.
+    """Load each new CSV file once, by import_disclosure: its own headers, casts, row numbers, tags and cleaning.
 
-    With `folder_names` a delivery is a folder of part files and its name counts as the file name.
+    The stream carries file names, at most `per_batch` at a time, and the checkpoint remembers them. With `folder_names` a
+    delivery is a folder of part files, whose name counts as the file name; a delivery should then fit a batch, because its
+    rows are numbered in the batch.
     """
-    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", per_batch)
-    if fmt == "csv":
-        reader = reader.options(header=True, escape='"')
-    name = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2 if folder_names else -1)
-    rows = reader.format(fmt).load(source).withColumn("file_name", name)
-    tagged = clean_disclosure(rows.withColumn("visa_class", visa_class("file_name")))
-    return _start(tagged.writeStream.format("parquet").option("path", out).outputMode("append"), checkpoint, once, every)
+    names = spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length bigint, content binary")
+    names = names.option("maxFilesPerTrigger", per_batch).option("pathGlobFilter", "*.csv")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        paths = [row["path"] for row in batch.collect()]
+        if paths:
+            rows = import_disclosure(spark, paths, folder_names=folder_names).rows
+            rows.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+
+    return _start(names.load(source).select("path").writeStream.foreachBatch(write), checkpoint, once, every)
 
 
 def stream_rejects(entries: DataFrame, out: str, checkpoint: str, once: bool = True, every: str = "10 minutes"):
@@ -72,52 +111,55 @@ def stream_rejects(entries: DataFrame, out: str, checkpoint: str, once: bool = T
     return _start(rejects.writeStream.format("parquet").option("path", out).outputMode("append"), checkpoint, once, every)
 
 
-def stream_feed(entries: DataFrame, out: str, checkpoint: str, once: bool = True, every: str = "10 minutes"):
-    """Keep the latest entry per id, batch by batch."""
+def stream_feed(
+    entries: DataFrame, out: str, checkpoint: str, now: Column | None = None, once: bool = True, every: str = "10 minutes"
+):
+    """Keep the last entry of each id in a batch, with its place in the feed and the time of the batch."""
+    time = F.current_timestamp().cast("timestamp_ntz") if now is None else now
 
     def step(batch: DataFrame) -> DataFrame:
-        valid = feed.feed_valid(batch)
-        values = F.struct(*feed.FEED_FIELDS, "published", "position")
-        latest = valid.groupBy("dol_id").agg(F.max_by(values, F.struct("published", "position")).alias("e"))
-        return latest.select("dol_id", "e.*")
+        valid = feed.feed_valid(batch).withColumn("place", feed.entry_order(batch))
+        latest = valid.groupBy("dol_id").agg(F.max_by(F.struct(*feed.FEED_FIELDS, "place"), "place").alias("e"))
+        return latest.select("dol_id", "e.*", time.alias("first_offered"), time.alias("last_offered"))
 
     return _start(entries.writeStream.foreachBatch(_per_batch(out, step)), checkpoint, once, every)
 
 
-def read_feed(spark: SparkSession, out: str, now) -> DataFrame:
-    """Listings from the batches so far: the latest published entry of an id gives its values."""
-    entry = F.struct(*feed.FEED_FIELDS)
-    order = F.struct("published", "position", "batch")
-    latest = read_batches(spark, out).groupBy("dol_id").agg(F.max_by(entry, order).alias("e")).select("dol_id", "e.*")
-    known = latest.withColumns(
-        {
-            "scraped": F.lit(False),
-            "source": F.lit(SOURCE_SCRAPER),
-            "employer_country": F.lit(USA),
-            "first_seen": now,
-            "last_seen": now,
-        }
-    )
-    missing = {f.name: F.lit(None).cast(f.dataType) for f in LISTING if f.name not in known.columns}
-    return known.withColumns(missing).select(*LISTING.names)
+def merge_feed(rows: DataFrame) -> DataFrame:
+    """One row for each id: its last entry in feed order, and the first and last time it was offered."""
+    entry = F.struct(*feed.FEED_FIELDS, "place")
+    return rows.groupBy("dol_id").agg(
+        F.max_by(entry, "place").alias("e"),
+        F.min("first_offered").alias("first_offered"),
+        F.max("last_offered").alias("last_offered"),
+        F.max("batch").alias("batch"),
+    ).select("dol_id", "e.*", "first_offered", "last_offered", "batch")
+
+
+def read_feed(spark: SparkSession, out: str, listings: DataFrame) -> DataFrame:
+    """The stored listings after the batches so far: what upsert_listings makes of all their entries, with batch times."""
+    return feed.merge_offered(listings, merge_feed(read_batches(spark, out)))
 
 
 def stream_seen(
     rows: DataFrame, out: str, checkpoint: str, slug_mode: str = "lower", once: bool = True, every: str = "30 minutes"
 ):
-    """First and last seen date per employer key, running. A batch writes only the keys it changed."""
+    """First and last seen date per employer key of each batch. No state is kept: reading merges the batches."""
     keyed = rows.withColumn("employer_key", E.raw_key(slug_mode)).where(F.col("employer_key").isNotNull())
-    seen = keyed.groupBy("employer_key").agg(F.min("first_seen").alias("first_seen"), F.max("last_seen").alias("last_seen"))
-    writer = seen.writeStream.outputMode("update").foreachBatch(_per_batch(out, lambda batch: batch))
-    return _start(writer, checkpoint, once, every)
+    keyed = keyed.select("employer_key", "first_seen", "last_seen").withColumn("batch", F.lit(0))
+    return _start(keyed.writeStream.foreachBatch(_per_batch(out, lambda b: merge_seen(b).drop("batch"))), checkpoint, once, every)
 
 
-def read_seen(spark: SparkSession, out: str) -> DataFrame:
-    return read_batches(spark, out).groupBy("employer_key").agg(
-        F.min("first_seen").alias("first_seen"), F.max("last_seen").alias("last_seen")
+def merge_seen(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("employer_key").agg(
+        F.min("first_seen").alias("first_seen"), F.max("last_seen").alias("last_seen"), F.max("batch").alias("batch")
     )
 
 
+def read_seen(spark: SparkSession, out: str) -> DataFrame:
+    return merge_seen(read_batches(spark, out)).drop("batch")
+
+
 def stream_addresses(orders: DataFrame, out: str, checkpoint: str, once: bool = True, every: str = "30 minutes"):
     """Address mentions of new job orders, batch by batch. Address ids come from the text itself, so no lookup is needed."""
 

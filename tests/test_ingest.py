@@ -3,6 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from reclink.plans.intake import feed_run, import_disclosure, process_imports
 from reclink.schemas import IMPORTS, LISTING
 from reclink.sources import disclosures as S
 from reclink.sources import feed, queue
@@ -160,3 +161,86 @@ def test_documents(spark):
     pdf = {r.dol_id: r.pdf for r in feed.attach_documents(stored, fetched, "bucket").collect()}
     assert pdf["H-1"].endswith("/H-1.pdf") and pdf["H-2"] is None and pdf["H-3"] is None
     assert sorted(r.dol_id for r in feed.attach_failures(stored, fetched).collect()) == ["H-2", "H-3"]
+
+
+def test_head_of_each_fetch(spark):
+    rows = [(f, p) for f in (1, 2) for p in range(0, 20, 2)]
+    entries = spark.createDataFrame(rows, "fetch_id int, position int")
+    assert sorted(tuple(r) for r in feed.feed_head(entries, 3).collect()) == [(f, p) for f in (1, 2) for p in (0, 2, 4)]
+    assert [r.position for r in feed.feed_head(entries.where("fetch_id = 1").drop("fetch_id"), 2).orderBy("position").collect()] == [0, 2]
+
+
+def test_rows_without_a_position_stay(spark):
+    df = spark.createDataFrame([("f", 5), ("f", None), ("f", 1), ("g", None)], "file_name string, position long")
+    got = sorted((r.file_name, r.position or 0, r.n) for r in S.number_rows(df, "file_name", "position", "n").collect())
+    assert got == [("f", 0, 3), ("f", 1, 1), ("f", 5, 2), ("g", 0, 1)]
+
+
+HEADERS = ["CASE_NO", "Received_Date", "employer_name", "EMPLOYER_ADDRESS1", "employer_city", "employer_state", "employer_phone", "odd"]
+
+
+def csv_file(path, headers, rows):
+    import csv
+
+    with open(path, "w", newline="") as file:
+        csv.writer(file).writerows([headers, *rows])
+    return str(path)
+
+
+def test_files_of_several_years(spark, tmp_path):
+    """Other header orders, line breaks in cells, a refused cell and an interrupted import."""
+    row = {"CASE_NO": "c", "Received_Date": "2022-01-02 00:00:00", "employer_name": "Acme", "EMPLOYER_ADDRESS1": "12 road\nbox 3",
+           "employer_city": "Ames", "employer_state": "iowa", "employer_phone": "919-222-2222", "odd": "x"}
+    one = [[{**row, "CASE_NO": f"a{i}"}[h] for h in HEADERS] for i in range(4)]
+    turned = HEADERS[::-1]
+    two = [[{**row, "CASE_NO": f"b{i}", "Received_Date": "soon" if i else row["Received_Date"]}[h] for h in turned] for i in range(3)]
+    paths = [csv_file(tmp_path / "H-2A one.csv", HEADERS, one), csv_file(tmp_path / "h-2b_two.csv", turned, two)]
+    loaded = spark.createDataFrame([("H-2A one.csv", 1), ("H-2A one.csv", 2)], "file_name string, file_row int")
+    out = import_disclosure(spark, paths, loaded)
+    rows = sorted(
+        (r.file_name, r.file_row, r.case_number, r.employer_name, r.employer_city, r.employer_state, r.visa_class) for r in out.rows.collect()
+    )
+    assert rows == [("H-2A one.csv", 3, "a2", "Acme", "Ames", "IA", "H-2A"), ("H-2A one.csv", 4, "a3", "Acme", "Ames", "IA", "H-2A")] + [
+        ("h-2b_two.csv", i + 1, f"b{i}", "Acme", "Ames", "IA", "H-2B") for i in range(3)
+    ]
+    assert sorted((r.file_name, r.case_number, r.column, r.value) for r in out.rejects.collect()) == [
+        ("h-2b_two.csv", "b1", "received_date", "soon"),
+        ("h-2b_two.csv", "b2", "received_date", "soon"),
+    ]
+    assert [(r.header, r.filled) for r in out.unknown.collect()] == [("odd", 7)]
+
+
+def test_queue_to_rows(spark, tmp_path):
+    """Files are imported in order of their arrival, marked, and not imported again."""
+    (tmp_path / "bucket").mkdir()
+    for name in ("x_H-2A.csv", "y_H-2B.csv"):
+        csv_file(tmp_path / "bucket" / name, HEADERS, [[name, "2022-01-02 00:00:00", "Acme", "r", "Ames", "NC", "1", "z"]])
+    names = spark.createDataFrame([("bucket", "x_H-2A.csv"), ("bucket", "y_H-2B.csv")], "bucket string, object string")
+    waiting = queue.register_import(spark.createDataFrame([], IMPORTS), names, now())
+    loaded = import_disclosure(spark, [str(tmp_path / "bucket" / "x_H-2A.csv")]).rows.limit(0)
+    first = process_imports(spark, waiting, loaded, str(tmp_path), now())
+    assert [r.case_number for r in first.loaded.collect()] == ["x_H-2A.csv"]
+    assert sorted((r.object, r.status) for r in first.queue.collect()) == [("x_H-2A.csv", "Finished"), ("y_H-2B.csv", "Needs Importing")]
+    second = process_imports(spark, first.queue, first.loaded, str(tmp_path), now(), n=5)
+    assert sorted(r.case_number for r in second.loaded.collect()) == ["x_H-2A.csv", "y_H-2B.csv"]
+    last = process_imports(spark, second.queue, second.loaded, str(tmp_path), now())
+    assert last.loaded.count() == 2 and last.rejects.count() == 0
+
+
+def test_refused_fetches_change_nothing(spark):
+    fetches = spark.createDataFrame(
+        [(1, None, 200, "rss20", "e1", None), (2, "broken", 200, "rss20", "e2", "m2"), (3, None, 403, "rss20", "e3", None)],
+        "fetch_id int, parse_error string, status int, version string, etag string, modified string",
+    )
+    entries = spark.createDataFrame(
+        [(f, p, f"https://x/H-300-{f}{p}", "t", "d", dt.datetime(2024, 1, 1)) for f in (1, 2, 3) for p in (0, 1)],
+        "fetch_id int, position int, link string, title string, description string, published timestamp_ntz",
+    )
+    listings = spark.createDataFrame([], LISTING)
+    state = spark.createDataFrame([], "key string, value string")
+    run = feed_run(fetches, entries, listings, state, now())
+    assert sorted(r.dol_id for r in run.listings.collect()) == ["H-300-10", "H-300-11"]
+    assert [(r.key, r.value) for r in run.state.collect()] == [("jobs_rss__etag", "e1")]
+    assert run.report.where("operation = 'created'").count() == 2 and run.rejects.count() == 0
+    none = feed_run(fetches.where("fetch_id > 1"), entries, run.listings, run.state, now())
+    assert none.listings.count() == 2 and none.state.count() == 1 and none.report.count() == 0

@@ -11,6 +11,7 @@ from reclink.operators import canonical as K
 from reclink.operators import clusters as C
 from reclink.operators import pairs as P
 from reclink.operators import review as R
+from reclink.operators import training as L
 from reclink.operators.clean import clean_disclosure, clean_listing
 from reclink.plans.linkage import update_addresses, update_employers
 from reclink.plans.resolution import canonicalize_clusters, link_records
@@ -205,7 +206,7 @@ def test_review(spark):
     stored = entity_map(spark, ("1", "1", 0.7, None, False), ("2", "1", 0.7, None, False))
     queue = R.review_queue(stored)
     assert queue.count() == R.review_count(stored).first()[0] == 2
-    rows = R.review_rows(queue, employers).orderBy("reviewed_id", "id").collect()
+    rows = R.review_rows(queue, stored, employers).orderBy("reviewed_id", "id").collect()
     assert [(r.star, r.score) for r in rows] == [("*", "0.70"), ("", ""), ("", ""), ("*", "0.70")]
     assert {r.first_seen for r in rows} == {"2022-09-30"} and rows[0].phone == "919-222-2222" and rows[0].country == "USA"
     answers = [("1", 1, "n"), ("1", 2, "y"), ("2", 1, "u"), ("2", 2, "x")]
@@ -216,10 +217,12 @@ def test_review(spark):
     assert R.invalid_answers(decisions).count() == 1
 
 
-def test_member_lists_are_split_but_whole(spark):
-    stored = entity_map(spark, *[(f"{i:03}", "c", 0.9, None, False) for i in range(100)])
-    lists = R.cluster_member_ids(stored, list_size=10).collect()
-    assert len(lists) > 5 and sorted(i for r in lists for i in r.member_ids) == [f"{i:03}" for i in range(100)]
+def test_member_rows_of_large_clusters(spark):
+    """One row for each member, whatever the size; the queue has exactly n rows."""
+    stored = entity_map(spark, *[(f"{i:04}", "c", 0.7, None, False) for i in range(1500)])
+    rows = R.cluster_member_ids(stored).collect()
+    assert sorted(r.member_id for r in rows) == [f"{i:04}" for i in range(1500)] and {r.n_members for r in rows} == {1500}
+    assert R.review_queue(stored, 7).count() == 7
 
 
 def test_components_match_union_find(spark):
@@ -309,17 +312,71 @@ def test_variants_give_the_clusters_of_all_pairs(spark):
     assert clusters(link_records(df, rules, max_block=2)) == clusters(every)
 
 
-def test_a_hot_group_is_linked_without_all_its_pairs(spark):
-    rows = [employer(f"{i:05}", "unknown", f"trade {i}", "Nowhere", f"1919{i:07}") for i in range(4000)]
+def scores(table):
+    return sorted((r.employer_record_id, r.canon_id, round(r.cluster_score, 9)) for r in table.collect())
+
+
+def test_units_give_the_scores_of_all_pairs(spark):
+    df = spark.createDataFrame(varied_employers(150, 29), EMPLOYER)
+    every = scores(link_records(df, same=None))
+    assert scores(link_records(df)) == every
+    assert scores(link_records(df, max_block=2)) == every
+
+
+def test_a_record_near_one_member_is_kept(spark):
+    rows = [
+        employer("1", "greenfield acres farming", "zzz", phone="19195550001"),
+        employer("2", "greenfield acres farming", "valley growers", phone="19195550002"),
+        employer("3", "greenfield acre farming", "valley grower", phone="19195550003"),
+    ]
+    df = spark.createDataFrame(rows, EMPLOYER)
+    assert len(scores(link_records(df))) == 3 and scores(link_records(df)) == scores(link_records(df, same=None))
+
+
+def test_four_alike_have_the_scores_of_all_pairs(spark):
+    rows = [employer(str(i), "green acres farm", f"trade {'abcd'[i]} {i * 7}", phone=f"1919555000{i}") for i in range(4)]
     df = spark.createDataFrame(rows, EMPLOYER)
-    blocks = B.block_keys(df, same=P.SURE_FIELDS)
-    assert blocks.where("block_key like 'start:%' or block_key like 'words:%'").count() == 2
+    assert scores(link_records(df)) == scores(link_records(df, same=None))
+
+
+def test_a_hot_group_is_linked_without_its_pairs(spark, monkeypatch):
+    """4,000 records of one name, city and state with 40 trades: profiles are compared, no pair of records is made."""
+    rows = [employer(f"{i:05}", "unknown", f"trade {i % 40}", "Nowhere", f"1919{i % 900:07}") for i in range(4000)]
+    df = spark.createDataFrame(rows, EMPLOYER)
+    made = []
+    real = P.pair_records
+
+    def counted(pairs, records, *more):
+        made.append(pairs.count())
+        return real(pairs, records, *more)
+
+    monkeypatch.setattr(P, "pair_records", counted)
     out = link_records(df)
     assert out.count() == 4000 and out.select("canon_id").distinct().count() == 1
+    assert sum(made) == 0
+    few = spark.createDataFrame(rows[:300], EMPLOYER)
+    assert scores(link_records(few)) == scores(link_records(few, same=None))
     with pytest.raises(ValueError):
         link_records(df, same=["name"])
 
 
+def test_no_doubtful_pair_is_kept_from_the_labels(spark):
+    """Every pair of a block that scores 0.4 to 0.6 is offered for labelling."""
+    rows = varied_employers(120, 31)
+    rows += [
+        employer("x1", "greenfield acres farming llc", phone="19195550001"),
+        employer("x2", "greenfield llc acres farming", phone="19195550001"),
+    ]
+    df = spark.createDataFrame(rows, EMPLOYER)
+    blocks = B.block_keys(df)
+    met = blocks.alias("a").join(blocks.alias("b"), "block_key").where("a.id < b.id")
+    every = met.selectExpr("a.id as left_id", "b.id as right_id").distinct()
+    scored = P.score_pairs(P.compare_pairs(P.pair_records(every, df)))
+    doubtful = {(r.left_id, r.right_id) for r in scored.where("score >= 0.4 and score <= 0.6").collect()}
+    offered = {(r.left_id, r.right_id) for r in L.label_candidates(blocks, df).collect()}
+    assert ("x1", "x2") in doubtful and doubtful <= offered
+
+
 def test_least_name_similarity_is_necessary(spark):
     least = P.least_name_similarity()
     best = {f: 1.0 for f in P.FEATURES} | {"name_sim": least - 1e-6, "trade_missing": 1.0}

@@ -209,3 +209,25 @@ def test_affine_gap_matches_the_recurrences():
 def test_levenshtein_ratio(one):
     assert one(levenshtein_ratio(text("kitten"), text("sitting"))) == pytest.approx(1 - 3 / 7)
     assert one(levenshtein_ratio(text(None), text("x"))) is None
+
+
+def test_gap_costs_in_slices(monkeypatch):
+    """A long text among short ones changes no cost, and no array is wider than a slice."""
+    import random
+
+    import pandas as pd
+
+    from reclink.functions import distance
+
+    chooser = random.Random(4)
+    texts = ["".join(chooser.choice("abc ") for _ in range(chooser.randrange(0, 12))) for _ in range(60)] + ["ab" * 150]
+    left, right = pd.Series(texts), pd.Series(texts[::-1])
+    whole = distance.gap_costs(left, right)
+    widest = []
+    real = distance._codes
+    monkeypatch.setattr(distance, "AREA", 64)
+    monkeypatch.setattr(distance, "_codes", lambda t, w: widest.append(len(t) * w) or real(t, w))
+    pd.testing.assert_series_equal(distance.gap_costs(left, right), whole)
+    assert max(widest) <= 300
+    one = distance.gap_costs(left[:1], right[:1])
+    assert one.isna().all() or one[0] == whole[0]
