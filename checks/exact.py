@@ -193,8 +193,8 @@ def employer_rounds(t):
     return link_table(linked.unionByName(new), employers)
 
 
-STEPS["first_round"] = merged_sql("keyed", f"received_date < date '{LATER}'")
-STEPS["two_rounds"] = """
+STEPS["employers_before"] = merged_sql("keyed", f"received_date < date '{LATER}'")
+STEPS["employers_after"] = """
 select coalesce(f.id, m.id) as id, coalesce(f.name, m.name) as name,
   case when f.id is null then m.trade_name_dba else f.trade_name_dba end as trade_name_dba,
   case when f.id is null then m.city else f.city end as city, case when f.id is null then m.state else f.state end as state,
@@ -202,11 +202,11 @@ select coalesce(f.id, m.id) as id, coalesce(f.name, m.name) as name,
   case when f.id is null then m.phone else f.phone end as phone, coalesce(f.slug, m.slug) as slug,
   case when f.id is null then m.trade_name_slug else f.trade_name_slug end as trade_name_slug,
   m.first_seen, m.last_seen, coalesce(f.source, m.source) as source
-from {merged} m left join {first_round} f on f.id = m.id
+from {merged} m left join {employers_before} f on f.id = m.id
 """
 
 
-@query("update_employers_rounds", f"select {shown()} from {{two_rounds}}")
+@query("update_employers_rounds", f"select {shown()} from {{employers_after}}")
 def update_employers_rounds(t):
     return employer_rounds(t)[1].select(*SHOWN)
 

@@ -14,6 +14,7 @@ from reclink.session import scratch
 from reclink.streaming import jobs
 
 FILES_PER_BATCH = 3
+CSV_FILES_PER_BATCH = 12
 
 
 def files_of(df: DataFrame, name: str) -> str:
@@ -49,7 +50,7 @@ def stream_files(t):
         given.withColumnRenamed("id", "job_title").write.options(**keep).csv(f"{folder}/{name}")
     out = run(
         t.spark,
-        lambda o, c: jobs.stream_files(t.spark, f"{folder}/*", o, c, per_batch=FILES_PER_BATCH, folder_names=True),
+        lambda o, c: jobs.stream_files(t.spark, f"{folder}/*", o, c, per_batch=CSV_FILES_PER_BATCH, folder_names=True),
     )
     found = jobs.read_batches(t.spark, out).withColumn("id", F.col("job_title").cast("bigint"))
     return found.select(*SHOWN, "visa_class")
