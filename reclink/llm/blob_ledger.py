@@ -140,11 +140,11 @@ def findings(ledger: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     only.
     """
     order = F.array(*[F.lit(r.key) for r in rules])
-    span = F.split(F.explode(F.split("spans", ",")), ":")
     rows = (
         ledger.where(F.col("rule").isin([r.key for r in rules]) & (F.col("spans") != ""))
         .distinct()
-        .select("blob", F.array_position(order, F.col("rule")).cast("int").alias("rank"), span.alias("span"))
+        .select("blob", F.array_position(order, F.col("rule")).cast("int").alias("rank"), F.explode(F.split("spans", ",")).alias("span"))
+        .select("blob", "rank", F.split("span", ":").alias("span"))
         .select("blob", "rank", F.col("span")[0].cast("int").alias("start"), F.col("span")[1].cast("int").alias("end"))
     )
     base = [i + 1 for i, r in enumerate(rules) if r.base]
