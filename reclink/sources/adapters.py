@@ -260,7 +260,7 @@ select concat('g', lpad(cast(p.p_partkey as string), 9, '0'), '-', cast(m.r_regi
   concat('grove of the old northern ', substr(md5(cast(p.p_partkey as string)), 1, 7), ' farms') as name,
   case when m.r_regionkey = 3 then null else concat('stall ', cast((p.p_partkey + m.r_regionkey) % 3 as string), ' ',
     substr(md5(cast(p.p_partkey as string)), 8, 3)) end as trade_name_dba,
-  'GROVETOWN' as city, 'NC' as state,
+  concat('GROVETOWN ', cast(p.p_partkey as string)) as city, 'NC' as state,
   case when (p.p_partkey + m.r_regionkey) % 4 = 0 then null else 'UNITED STATES OF AMERICA' end as country,
   case m.r_regionkey when 2 then null when 4 then concat('1919', lpad(cast(p.p_partkey as string), 7, '0'))
     else concat('1919', lpad(cast(p.p_partkey as string), 6, '0'), cast(m.r_regionkey % 2 as string)) end as phone
@@ -270,7 +270,7 @@ union all
 select concat('o', lpad(cast(p_partkey as string), 9, '0')) as id,
   concat('groe of the old northern ', substr(md5(cast(p_partkey as string)), 1, 7), ' farms') as name,
   concat('stall ', cast((p_partkey + 1) % 3 as string), ' ', substr(md5(cast(p_partkey as string)), 8, 3)) as trade_name_dba,
-  'GROVETOWN' as city, 'NC' as state, cast(null as string) as country,
+  concat('GROVETOWN ', cast(p_partkey as string)) as city, 'NC' as state, cast(null as string) as country,
   concat('1704', lpad(cast(p_partkey as string), 7, '0')) as phone
 from {part}
 union all
