@@ -18,13 +18,13 @@ from pyspark.sql import functions as F
 from reclink.session import cut
 
 # Pivots, drawn from a bounded sample; the nearest ones that represent a vector.
-PIVOTS = 64
+PIVOTS = 256
 SAMPLE = 2000
-PREFIX = 24
+PREFIX = 128
 
 # Share of the vectors of a block that are reranked, at least so many of them; vectors and queries of a block.
-RERANK = 0.2
-LEAST = 64
+RERANK = 0.25
+LEAST = 256
 BLOCK = 8192
 QUERY_BLOCK = 512
 
