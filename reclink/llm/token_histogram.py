@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from reclink.llm.common import map_rows
+from reclink.session import cut
 
 RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 
@@ -52,6 +53,8 @@ def length_histogram(lengths: DataFrame) -> DataFrame:
     Rows with a null length are not counted; an empty table gives an empty result.
     """
     counted = lengths.where(F.col("n_tokens").isNotNull()).groupBy("n_tokens").agg(F.count("*").alias("documents"))
+    # Read twice below; written once, so that no text is encoded twice.
+    counted = cut(counted, "lengths")
     rows = counted.withColumn("_range", F.floor(F.col("n_tokens") / RANGE)).withColumn("tokens", F.col("n_tokens") * F.col("documents"))
     ranges = rows.groupBy("_range").agg(F.sum("documents").alias("_documents"), F.sum("tokens").alias("_tokens"))
     later = Window.orderBy(F.col("_range").desc()).rowsBetween(Window.unboundedPreceding, -1)
@@ -74,14 +77,14 @@ def length_histogram(lengths: DataFrame) -> DataFrame:
         "_all_tokens",
     )
     up_to = F.col("_all") - F.col("at_least") + F.col("documents")
-    cut = F.col("_all_tokens") - F.col("tokens_at_least") + F.col("n_tokens") * F.col("at_least")
+    truncated = F.col("_all_tokens") - F.col("tokens_at_least") + F.col("n_tokens") * F.col("at_least")
     return summed.select(
         "n_tokens",
         "documents",
         "tokens",
         "at_least",
         "tokens_at_least",
-        cut.alias("truncated_total"),
+        truncated.alias("truncated_total"),
         up_to.alias("up_to"),
         (up_to / F.col("_all")).alias("share"),
     )
