@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 from itertools import islice
 
 import pyarrow as pa
@@ -27,8 +28,8 @@ LOOK = 32
 # A letter that no piece holds scores so much below the worst piece, and becomes its bytes.
 PENALTY = 10.0
 
-# Words whose ids a worker keeps, and the longest word kept.
-WORD_MEMO = 1 << 18
+# Words whose ids a worker keeps in each of two generations, and the longest word kept.
+WORD_MEMO = 1 << 17
 MEMO_LETTERS = 64
 
 
@@ -156,12 +157,17 @@ def _bytes(letter: str) -> bytes:
 
 
 class Encoder:
-    """Ids of whole texts. Short words are searched once and remembered; their number is bounded."""
+    """Ids of whole texts. Short words are searched once and remembered; their number is bounded.
+
+    When the words of a generation are full, it becomes the older one and the one before is forgotten. Words still in use
+    move up, so frequent words are never forgotten.
+    """
 
     def __init__(self, pieces: Pieces):
         self.pieces = pieces
         self.apart = pieces.words_apart
         self.memo: dict[str, list[int]] = {}
+        self.older: dict[str, list[int]] = {}
 
     def encode(self, text: str) -> list[int]:
         """Ids of a text, with a space put in front. Empty texts have none."""
@@ -173,15 +179,17 @@ class Encoder:
             return self._search(SPACE + text.replace(" ", SPACE))
         out: list[int] = []
         memo = self.memo
-        # No piece spans the start of a word, so all paths agree there. Of several spaces, the last begins the next word
-        # or a piece before it: the run of spaces stays with that word.
+        # No piece spans the start of a word, so all paths agree there. A run of spaces stays with the word after it.
         for word in _spaced(text):
             ids = memo.get(word)
             if ids is None:
-                ids = self._search(word)
+                ids = self.older.get(word)
+                if ids is None:
+                    ids = self._search(word)
                 if len(word) <= MEMO_LETTERS:
                     if len(memo) >= WORD_MEMO:
-                        memo.clear()
+                        self.older, self.memo = memo, {}
+                        memo = self.memo
                     memo[word] = ids
             out += ids
         return out
@@ -190,19 +198,25 @@ class Encoder:
         return [i for part in commit(self.pieces, iter(letters)) for i in part]
 
 
-def _spaced(text: str) -> Iterator[str]:
+@lru_cache(maxsize=1)
+def _encoder(path: str) -> Encoder:
+    """One encoder for all tasks of a worker: the model is loaded once, and words are remembered from task to task."""
+    return Encoder(Pieces.load(path))
+
+
+def _spaced(text: str) -> list[str]:
     """Words with the marks of the spaces before them; one space stands before the text."""
-    spaces = SPACE
-    first = True
+    if "  " not in text and text[0] != " " and text[-1] != " ":
+        return [SPACE + word for word in text.split(" ")]
+    out, spaces = [], 0
     for word in text.split(" "):
-        if not first:
-            spaces += SPACE
-        first = False
+        spaces += 1
         if word:
-            yield spaces + word
-            spaces = ""
+            out.append(SPACE * spaces + word)
+            spaces = 0
     if spaces:
-        yield spaces
+        out.append(SPACE * spaces)
+    return out
 
 
 def decode(pieces: Pieces, ids: list[int]) -> str:
@@ -225,7 +239,7 @@ def encode_texts(docs: DataFrame, path: str = MODEL, check: bool = True) -> Data
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(Pieces.load(path))
+        encoder = _encoder(path)
         for batch in batches:
             texts = batch.column(1).to_pylist()
             found = [None if t is None else encoder.encode(t) for t in texts]
@@ -246,7 +260,7 @@ def decode_ids(encoded: DataFrame, path: str = MODEL) -> DataFrame:
     kind = encoded.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = Pieces.load(path)
+        pieces = _encoder(path).pieces
         for batch in batches:
             texts = [None if ids is None else decode(pieces, ids) for ids in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["doc_id", "text"])
