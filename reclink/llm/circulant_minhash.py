@@ -30,9 +30,12 @@ SEED = 20_240_229
 WORD_MEMO = 1 << 17
 SLICE = 2048
 
-# Remaining candidate pairs per row of the shared bands below which all of them are tested at once.
+# Bytes of shingle sets that a task remembers while it tests pairs.
+SET_BYTES = 1 << 26
+
+# Remaining candidate pairs per band row up to which all of them are tested at once. A pair counts once for each band it
+# shares. Beyond that, centres are tried, as long as each turn halves what remains.
 LINEAR = 4
-STAR_ROUNDS = 5
 
 # Odd multipliers (fixed values, the fractional bits of irrational numbers) that mix the words of a shingle.
 MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
@@ -115,23 +118,38 @@ def sketches(docs: DataFrame, size: int, bands: int = BANDS, rows: int = ROWS) -
     return map_rows(_texts(docs), run, schema)
 
 
+class PackedSets(dict):
+    """Shingle sets of compressed texts, forgotten all together when they fill SET_BYTES."""
+
+    def __init__(self, size: int):
+        super().__init__()
+        self.size, self.memo, self.held = size, WordHashes(), 0
+        self.opened = zstandard.ZstdDecompressor()
+
+    def __missing__(self, packed: bytes) -> np.ndarray:
+        found = shingle_set(self.opened.decompress(packed).decode(), self.size, self.memo)
+        if self.held > SET_BYTES:
+            self.clear()
+            self.held = 0
+        self.held += found.nbytes + len(packed)
+        self[packed] = found
+        return found
+
+
 def linked(docs: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
     """Those (left_id, right_id) pairs whose full shingle sets agree: 100 * intersection >= percent * union.
 
-    docs has (id, packed), the compressed text of each id. Both joins are on evenly spread ids; the set of the right side,
-    which repeats in neighbouring rows, is built once.
+    docs has (id, packed), the compressed text of each id. Both joins are on evenly spread ids. A task meets the texts of a
+    group many times, so it remembers sets, up to a bound.
     """
     left = docs.select(F.col("id").alias("left_id"), F.col("packed").alias("left_text"))
     right = docs.select(F.col("id").alias("right_id"), F.col("packed").alias("right_text"))
     joined = pairs.join(left, "left_id").join(right, "right_id").select("left_id", "right_id", "left_text", "right_text")
 
     def run(read: Iterator[dict]) -> Iterator[dict]:
-        memo, opened = WordHashes(), zstandard.ZstdDecompressor()
-        last, kept = None, None
+        sets = PackedSets(size)
         for row in read:
-            if row["right_id"] != last:
-                last, kept = row["right_id"], shingle_set(opened.decompress(row["right_text"]).decode(), size, memo)
-            other = shingle_set(opened.decompress(row["left_text"]).decode(), size, memo)
+            kept, other = sets[row["right_text"]], sets[row["left_text"]]
             common = len(np.intersect1d(other, kept, assume_unique=True))
             if 100 * common >= percent * (len(other) + len(kept) - common):
                 yield {"left_id": row["left_id"], "right_id": row["right_id"]}
@@ -156,18 +174,22 @@ def _packed(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return met.dropDuplicates(["id", "_mark"]).drop("_mark")
 
 
-def _crossings(open_rows: DataFrame) -> tuple[int, int]:
+def _crossings(rows: DataFrame) -> tuple[int, int]:
     """Band rows, and pairs of them in one bucket but in different components."""
-    parts = open_rows.groupBy("band", "comp").agg(F.count("*").alias("_n"))
+    parts = rows.groupBy("band", "comp").agg(F.count("*").alias("_n"))
     buckets = parts.groupBy("band").agg(F.sum("_n").alias("_n"), F.sum(F.col("_n").cast("double") ** 2).alias("_same"))
     row = buckets.agg(F.sum("_n").alias("n"), F.sum((F.col("_n").cast("double") ** 2 - F.col("_same")) / 2).alias("pairs")).first()
     return int(row["n"] or 0), int(row["pairs"] or 0)
 
 
 def _star_pairs(open_rows: DataFrame, turn: int) -> DataFrame:
-    """Each class with the centre of each of its buckets: the smallest id first, any other one by its hash later."""
-    order = F.col("id") if turn == 0 else F.xxhash64("id", F.lit(turn))
-    centre = F.min_by(F.struct("id", "comp", "n"), order).alias("_centre")
+    """Each class with the centre of each of its buckets.
+
+    At first that is the class that meets most others over all its bands, ties to the smaller id: a text that others were
+    copied from shares more with them than they share with each other. Later it is any class, by its hash.
+    """
+    order = F.struct("met", -F.col("id")) if turn == 0 else F.struct(F.xxhash64("id", F.lit(turn)), "id")
+    centre = F.max_by(F.struct("id", "comp", "n"), order).alias("_centre")
     found = open_rows.join(open_rows.groupBy("band").agg(centre), "band").where("comp != _centre.comp")
     return found.select("id", "n", F.col("_centre.id").alias("id2"), F.col("_centre.n").alias("n2"))
 
@@ -194,10 +216,10 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, bands: in
 
     How the work stays in proportion to the input, whatever the size of a group:
     - documents with the same set are one class, named by its smallest id; only classes meet below;
-    - in each bucket of a band, every class is first tested against one centre, not against each other;
-    - then only classes of the same bucket that are still in different components can add anything. While there are many,
-      new centres are tried; what is left at the end is tested in full, so no candidate pair goes untested that could
-      join two components.
+    - where buckets are large, every class of a bucket is first tested against one centre, not against each other;
+    - then only classes of the same bucket that are still in different components can add anything. New centres are tried
+      while that halves them; what is left is tested in full, so no candidate pair goes untested that could join two
+      components.
     With 40 bands of 6 coordinates a pair of similarity 0.8 shares no band with a probability of about 5e-6, one of 0.85
     with 1e-8.
 
@@ -217,29 +239,39 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, bands: in
     links = cut(members.join(lowest, "doc_id").where("id != _low").select(F.col("id").alias("left_id"), F.col("_low").alias("right_id")), "links")
 
     banded = classes.select("id", "n", F.explode("bands").alias("band"))
-    full = banded.groupBy("band").agg(F.count("*").alias("_n")).where("_n > 1").select("band")
-    shared = cut(banded.join(full, "band"), "shared")
-    texts = cut(_packed(docs, shared.select("id").distinct()), "texts")
-
-    labels, tested = components(links), None
-    for turn in range(STAR_ROUNDS + 1):
-        placed = shared.join(labels, "id", "left").select("id", "n", "band", F.coalesce("canon_id", "id").alias("comp"))
-        mixed = placed.groupBy("band").agg(F.min("comp").alias("_a"), F.max("comp").alias("_b")).where("_a < _b").select("band")
-        open_rows = cut(placed.join(mixed, "band"), "open")
+    full = banded.groupBy("band").agg(F.count("*").alias("_n")).where("_n > 1")
+    # A class has at most `bands` of them, so the lists are short.
+    nodes = banded.join(full, "band").groupBy("id", "n").agg(F.collect_list("band").alias("bands"), F.sum("_n").alias("met"))
+    nodes = cut(nodes, "nodes")
+    texts = cut(_packed(docs, nodes.select("id")), "texts")
+
+    labels = None if links.isEmpty() else components(links)
+    tested, before, last = None, float("inf"), False
+    while not last:
+        if labels is None:
+            open_rows = nodes.select("id", "n", "met", F.col("id").alias("comp"), F.explode("bands").alias("band"))
+        else:
+            placed = nodes.join(labels, "id", "left").withColumn("comp", F.coalesce("canon_id", "id"))
+            open_rows = placed.select("id", "n", "met", "comp", F.explode("bands").alias("band"))
+            mixed = open_rows.groupBy("band").agg(F.min("comp").alias("_a"), F.max("comp").alias("_b")).where("_a < _b")
+            open_rows = cut(open_rows.join(mixed.select("band"), "band"), "open")
         left, crossing = _crossings(open_rows)
         if not crossing:
             break
-        last = turn == STAR_ROUNDS or crossing <= LINEAR * left
-        pairs = _oriented(_all_pairs(open_rows) if last else _star_pairs(open_rows, turn), percent)
+        last = crossing <= LINEAR * left or crossing > before / 2
+        pairs = _oriented(_all_pairs(open_rows) if last else _star_pairs(open_rows, 0 if tested is None else crossing), percent)
         if tested is not None:
             pairs = pairs.join(tested, ["left_id", "right_id"], "left_anti")
         pairs = cut(pairs, "pairs")
-        links = links.unionByName(cut(linked(texts, pairs, size, percent), "links"))
-        labels = components(links)
-        if last:
-            break
+        found = cut(linked(texts, pairs, size, percent), "links")
+        if not found.isEmpty():
+            links = links.unionByName(found)
+            labels = components(links)
         tested = pairs if tested is None else tested.unionByName(pairs)
+        before = crossing
 
+    if labels is None:
+        labels = links.select(F.col("left_id").alias("id"), F.col("right_id").alias("canon_id"))
     placed = members.join(labels, "id", "left").select("doc_id", F.coalesce("canon_id", "id").alias("component_id")).distinct()
     return (
         sketch.select("doc_id", "n_shingles")
