@@ -43,6 +43,20 @@ class Rule:
         return [m.span() for m in found if m.end(self.group) - m.start(self.group) >= self.least]
 
 
+# A private key from its BEGIN line to the END line; another BEGIN line comes first if the END is missing, or the text ends.
+# Then the key goes on over header lines, runs of 16 and more base64 letters (also behind written-out line breaks, quotes
+# and marks of quoted lines), padded ends, and lines of nothing but base64 letters.
+_KEY = r"(?:[A-Z]{2,10} )?PRIVATE KEY(?: BLOCK)?-----"
+_END = rf"(?:[^-]++|-(?!----(?:BEGIN |END {_KEY})))*+-----END {_KEY}"
+_BREAK = r"""(?:[\s>"',|#*]|\\[nr])*+"""
+_HEADERS = r"(?:(?:\s|\\[nr])*+[A-Za-z][A-Za-z0-9-]*+: (?:(?!\\[nr]|-----BEGIN )[^\n])*+)*"
+_LETTER = "[A-Za-z0-9+/=]"
+_PIECE = (
+    rf"(?:{_BREAK}{_LETTER}{{16,}}+|{_BREAK}(?:[A-Za-z0-9+/]*+={{1,2}}+|=[A-Za-z0-9+/]{{4}})(?!{_LETTER})"
+    rf"|[ \t\r]*+\n[ \t]*+{_LETTER}++(?=[ \t\r]*+(?:\n|\Z)))"
+)
+PRIVATE_KEY = rf"-----BEGIN {_KEY}(?:{_END}|{_HEADERS}{_PIECE}++)?"
+
 # The three base kinds in their order, then further published token formats.
 RULES = (
     Rule(
@@ -56,7 +70,7 @@ RULES = (
     ),
     Rule("access", 1, r"AKIA[A-Z0-9]+", 0, 0, 16, True),
     Rule("hex", 1, r"[0-9a-f]+", 0, 0, 32, True),
-    Rule("private_key", 1, r"-----BEGIN (?:[A-Z]{2,10} )?PRIVATE KEY-----"),
+    Rule("private_key", 2, PRIVATE_KEY),
     Rule("github", 1, r"\bgh[opsur]_[A-Za-z0-9]{36}\b"),
     Rule("slack", 1, r"\bxox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("jwt", 1, r"\beyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),

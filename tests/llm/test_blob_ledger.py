@@ -1,7 +1,9 @@
 """Spans against plain regular expressions, and what a second scan of the ledger reads."""
 
 import hashlib
+import random
 import re
+import string
 from dataclasses import replace
 
 from reclink.llm.blob_ledger import RULES, open_ledger, redact, scan, scan_secrets, unseen, update_ledger
@@ -114,3 +116,27 @@ def test_redaction(spark):
     assert found[-1]["text"] == "x [assign] y"
     assert found[1]["text"] == "" and found[2]["text"] == CASES[2]
     assert redact(docs.limit(0), scratch(spark, "ledger")).count() == 0
+
+
+def test_no_line_of_a_private_key_is_left(spark):
+    chooser = random.Random(3)
+    letters = string.ascii_letters + string.digits + "+/"
+    lines = ["".join(chooser.choices(letters, k=64)) for _ in range(24)] + ["".join(chooser.choices(letters, k=22)) + "=="]
+
+    def key(label, end=True, between="\n", head=()):
+        return between.join([f"-----BEGIN {label}-----", *head, *lines, *([f"-----END {label}-----"] if end else [])])
+
+    pgp = ["Version: GnuPG v1", "Comment: a-b", ""]
+    pem = ["Proc-Type: 4,ENCRYPTED", "DEK-Info: AES-128-CBC,0123456789ABCDEF", ""]
+    labels = ["PRIVATE KEY", "RSA PRIVATE KEY", "ENCRYPTED PRIVATE KEY", "PGP PRIVATE KEY BLOCK"]
+    keys = [key(label, end, between) for label in labels for end in (True, False) for between in ("\n", "\r\n", " ", "\\n", "\n> ", "\n\n")]
+    keys += [key("PGP PRIVATE KEY BLOCK", end, "\n", [*pgp]) for end in (True, False)]
+    keys += [key("RSA PRIVATE KEY", end, "\n", [*pem]) for end in (True, False)]
+    rows = [(i, f"some words before\n{k}\nThe words after it stay - as they are.") for i, k in enumerate(keys)]
+    two = key("RSA PRIVATE KEY", False) + "\nIn between.\n" + key("PRIVATE KEY")
+    rows += [(1000, two), (1001, "a header -----BEGIN PRIVATE KEY----- and prose after it"), (1002, key("PUBLIC KEY"))]
+    got = {r["doc_id"]: r["text"] for r in redact(documents(spark, rows), scratch(spark, "ledger")).collect()}
+    for i in range(len(keys)):
+        assert got[i] == "some words before\n[private_key]\nThe words after it stay - as they are.", keys[i][:80]
+    assert got[1000] == "[private_key]\nIn between.\n[private_key]"
+    assert got[1001] == "a header [private_key] and prose after it" and got[1002] == key("PUBLIC KEY")
