@@ -1,13 +1,14 @@
-"""SentencePiece encoding and decoding by streaming Viterbi.
+"""SentencePiece encoding and decoding by a streaming search.
 
-A text is cut into vocabulary pieces of the greatest total score. The search keeps only the boundaries that a next piece
-can still start from, at most as many as the longest piece has letters. When the best paths to all of them go through one
-boundary, everything before it is final and its ids are committed.
+A text is cut into the pieces that the merges of the model give (`merged`), or into those of the greatest total score
+(`commit`). Either search keeps only the boundaries that a next piece can still start from, at most as many as the longest
+piece has letters. When the paths to all of them go through one boundary, everything before it is final and its ids are
+committed.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
 from itertools import islice
@@ -32,6 +33,9 @@ PENALTY = 10.0
 WORD_MEMO = 1 << 17
 MEMO_LETTERS = 64
 
+# Pairs of neighbouring pieces of long words whose merges a worker remembers.
+PAIR_MEMO = 1 << 16
+
 
 @dataclass
 class Pieces:
@@ -127,6 +131,67 @@ def commit(pieces: Pieces, letters: Iterator[str]) -> Iterator[list[int]]:
                 at -= cut
 
 
+def merge(pieces: Pieces, letters: str) -> list[str]:
+    """Parts of some letters after all merges: of the neighbours that make a piece, those of the greatest score join first,
+    the leftmost ones at equal scores. A part that is no piece is a single letter."""
+    scores, never = pieces.scores, (-float("inf"), -1)
+    parts = list(letters)
+    ranks = [scores.get(a + b, never)[0] for a, b in zip(parts, parts[1:])]
+    while ranks:
+        best = max(ranks)
+        if best == never[0]:
+            break
+        i = ranks.index(best)
+        parts[i : i + 2] = [parts[i] + parts[i + 1]]
+        del ranks[i]
+        if i < len(ranks):
+            ranks[i] = scores.get(parts[i] + parts[i + 1], never)[0]
+        if i:
+            ranks[i - 1] = scores.get(parts[i - 1] + parts[i], never)[0]
+    return parts
+
+
+def merged(pieces: Pieces, letters: Iterator[str], follows: Callable[[str, str], bool]) -> Iterator[list[int]]:
+    """Ids of the merges of a stream of letters, in the lists in which they become final.
+
+    A row of pieces is what the merges of its letters give if and only if this holds for each two neighbours, which
+    `follows` tells. So of the pieces that end at a boundary just one can follow the piece before it: the path to each
+    boundary is what the merges of the letters up to there give. Paths are committed as in `commit`.
+    """
+    tree, longest = pieces.tree, pieces.longest
+    window: list[str] = []
+    start, number, last = [-1], [-1], [""]
+    at, ended = 0, False
+    while not ended:
+        more = list(islice(letters, longest + LOOK))
+        ended = len(more) < longest + LOOK
+        window += more
+        start += [-1] * len(more)
+        number += [-1] * len(more)
+        last += [""] * len(more)
+        size = len(window)
+        for at in range(at, size if ended else size - longest + 1):
+            before, node, piece = last[at], tree, ""
+            for end in range(at, size):
+                piece += window[end]
+                node = node.get(window[end]) if node is not None else None
+                found = node.get("") if node is not None else None
+                if (found is not None or end == at) and start[end + 1] < 0 and follows(before, piece):
+                    start[end + 1], number[end + 1], last[end + 1] = at, -1 if found is None else found[1], piece
+                if node is None:
+                    break
+        if ended:
+            yield _ids(pieces, window, start, number, size)
+        else:
+            at = size - longest + 1
+            cut = _agreed(start, {b for b in range(at, size + 1) if start[b] >= 0})
+            if cut:
+                yield _ids(pieces, window, start, number, cut)
+                window, number, last = window[cut:], number[cut:], last[cut:]
+                start = [-1] + [max(-1, s - cut) for s in start[cut + 1 :]]
+                at -= cut
+
+
 def _agreed(start: list[int], ends: set[int]) -> int:
     """The latest boundary that the best paths to all of the ends go through."""
     while len(ends) > 1:
@@ -157,14 +222,18 @@ def _bytes(letter: str) -> bytes:
 
 
 class Encoder:
-    """Ids of whole texts. Short words are searched once and remembered; their number is bounded.
+    """Ids of whole texts: of the greatest total score, or, if merges is set, those that the merges give.
+
+    Short words are searched once and remembered; their number is bounded.
 
     When the words of a generation are full, it becomes the older one and the one before is forgotten. Words still in use
     move up, so frequent words are never forgotten.
     """
 
-    def __init__(self, pieces: Pieces):
+    def __init__(self, pieces: Pieces, merges: bool = False):
         self.pieces = pieces
+        self.merges = merges
+        self.follows = lru_cache(maxsize=PAIR_MEMO)(self._follows)
         self.apart = pieces.words_apart
         self.memo: dict[str, list[int]] = {}
         self.older: dict[str, list[int]] = {}
@@ -195,13 +264,24 @@ class Encoder:
         return out
 
     def _search(self, letters: str) -> list[int]:
+        if self.merges and len(letters) <= MEMO_LETTERS:
+            return [i for part in merge(self.pieces, letters) for i in self._part(part)]
+        if self.merges:
+            return [i for part in merged(self.pieces, iter(letters), self.follows) for i in part]
         return [i for part in commit(self.pieces, iter(letters)) for i in part]
 
+    def _part(self, part: str) -> list[int]:
+        found = self.pieces.scores.get(part)
+        return [found[1]] if found else [self.pieces.byte_ids[b] for b in _bytes(part)]
+
+    def _follows(self, before: str, piece: str) -> bool:
+        return merge(self.pieces, before + piece) == ([before, piece] if before else [piece])
+
 
 @lru_cache(maxsize=1)
-def _encoder(path: str) -> Encoder:
+def _encoder(path: str, merges: bool) -> Encoder:
     """One encoder for all tasks of a worker: the model is loaded once, and words are remembered from task to task."""
-    return Encoder(Pieces.load(path))
+    return Encoder(Pieces.load(path), merges)
 
 
 def _spaced(text: str) -> list[str]:
@@ -225,10 +305,11 @@ def decode(pieces: Pieces, ids: list[int]) -> str:
     return b"".join([texts[i] for i in ids])[1:].decode("utf-8", "replace") if ids else ""
 
 
-def encode_texts(docs: DataFrame, path: str = MODEL, check: bool = True) -> DataFrame:
+def encode_texts(docs: DataFrame, path: str = MODEL, check: bool = True, merges: bool = True) -> DataFrame:
     """(doc_id, n_tokens, ids, intact) of every row of docs. One scan, no shuffle; each worker loads the model file once.
 
-    intact tells whether decoding the ids gives back the text; it is null if check is off.
+    ids are those that the merges of the model give, or, if merges is off, those of the greatest total score. intact tells
+    whether decoding the ids gives back the text; it is null if check is off.
 
     Edge cases: an empty text has no ids; a null text has null ids and null counts. A text may hold any character, the
     space mark too: what no piece covers becomes its bytes, and every text is restored exactly. Long texts and words
@@ -239,7 +320,7 @@ def encode_texts(docs: DataFrame, path: str = MODEL, check: bool = True) -> Data
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(path)
+        encoder = _encoder(path, merges)
         for batch in batches:
             texts = batch.column(1).to_pylist()
             found = [None if t is None else encoder.encode(t) for t in texts]
@@ -260,7 +341,7 @@ def decode_ids(encoded: DataFrame, path: str = MODEL) -> DataFrame:
     kind = encoded.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = _encoder(path).pieces
+        pieces = _encoder(path, True).pieces
         for batch in batches:
             texts = [None if ids is None else decode(pieces, ids) for ids in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["doc_id", "text"])

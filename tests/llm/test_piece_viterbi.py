@@ -2,6 +2,7 @@
 
 import random
 
+import sentencepiece
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -104,3 +105,41 @@ def test_tables_and_edge_cases(spark):
     back = sorted((r["doc_id"] or -1, r["text"] or "") for r in decode_ids(encoded).collect())
     assert back == sorted((d or -1, t or "") for d, t in rows)
     assert encode_texts(docs.limit(0)).count() == 0
+
+
+LIBRARY = sentencepiece.SentencePieceProcessor(model_file=pv.MODEL)
+
+
+def test_ids_of_the_table_are_the_librarys(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text")
+    wanted = {doc_id: LIBRARY.encode(text) for doc_id, text in texts(SMALL).items() if SPACE not in text}
+    got = {r["doc_id"]: r for r in encode_texts(docs).collect()}
+    assert len(wanted) > 100 and all(got[k]["ids"] == ids and got[k]["intact"] for k, ids in wanted.items())
+    assert Encoder(REAL, merges=True).encode("The document") == [LIBRARY.piece_to_id(p) for p in ("▁The", "▁document")]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.sampled_from(["ab", "etaoinshrdlu", "the ", "aé한x", "0123456789"]), st.integers(0, 10**6), st.integers(1, 700))
+def test_merges_of_any_word_are_the_librarys(letters, seed, size):
+    text = "".join(random.Random(seed).choices(letters, k=size))
+    assert Encoder(REAL, merges=True).encode(text) == LIBRARY.encode(text)
+
+
+def test_merges_stay_in_a_window_and_round_trip():
+    read = 0
+    encoder = Encoder(REAL, merges=True)
+
+    def letters():
+        nonlocal read
+        chooser = random.Random(1)
+        for _ in range(20_000):
+            read += 1
+            yield chooser.choice("etaoinshrdlu")
+
+    done = 0
+    for part in pv.merged(REAL, letters(), encoder.follows):
+        done += sum(len(REAL.texts[i]) for i in part)
+        assert read - done < 400
+    assert done == 20_000
+    for text in (" ", "  ", " a", "a ", "a  b", "▁", "▁ ▁a ▁", "\r\n\t\x00", "𐍈é한", " " * 5000, "\n" * 3000, "ab" * 20_000):
+        assert decode(REAL, encoder.encode(text)) == text
