@@ -412,3 +412,54 @@ def canonicalize_all_links(t):
 )
 def canonicalize_all_map(t):
     return canonical(t).entity_map.select("employer_record_id", "canon_id", "processed")
+
+
+# The whole map, and beside it employers that no row of it names: copies of every fourth employer under other ids.
+STEPS["more_employers"] = """
+select * from {linked_employers} union all
+select * replace (concat('S', substr(id, 2)) as id, cast(null as varchar) as unique_employer_id) from {linked_employers}
+where cast(substr(id, 2) as bigint) % 8 in (4, 5)
+"""
+STEPS["whole_singles"] = """
+select e.id as employer_id, md5(concat('employer:', e.id)) as id, e.name, e.trade_name_dba, e.city, e.state, e.country,
+  e.phone, e.source as sources, e.first_seen, e.last_seen
+from {more_employers} e where e.unique_employer_id is null and e.id not in (select employer_record_id from {entity_map})
+"""
+STEPS["every_unique_whole"] = (
+    f"select {COLUMNS} from {{uniques}} union all select {COLUMNS} from {{created}} "
+    f"union all select {COLUMNS} from {{whole_singles}}"
+)
+
+
+def canonical_whole(t):
+    linked = t("linked_employers")
+    copies = linked.where((F.substring("id", 2, 12).cast("bigint") % 8).isin(4, 5)).withColumns(
+        {"id": F.concat(F.lit("S"), F.substring("id", 2, 12)), "unique_employer_id": F.lit(None).cast("string")}
+    )
+    return canonicalize_all(linked.unionByName(copies), entity_rows(t), uniques(t))
+
+
+@query("canonicalize_all_whole", unique_sql("every_unique_whole"))
+def canonicalize_all_whole(t):
+    return canonical_whole(t).uniques
+
+
+@query(
+    "canonicalize_all_whole_links",
+    "select e.id, coalesce(h.unique_employer_id, p.unique_employer_id, e.unique_employer_id, s.id) as unique_employer_id "
+    "from {more_employers} e left join {hits} h on h.employer_record_id = e.id "
+    "left join {partly_hits} p on p.employer_record_id = e.id left join {whole_singles} s on s.employer_id = e.id",
+)
+def canonicalize_all_whole_links(t):
+    return canonical_whole(t).employers.select("id", "unique_employer_id")
+
+
+@query(
+    "canonicalize_all_whole_map",
+    "select m.employer_record_id, m.canon_id, m.processed or h.employer_record_id is not null "
+    "or p.employer_record_id is not null as processed from {entity_map} m "
+    "left join {hits} h on h.employer_record_id = m.employer_record_id "
+    "left join {partly_hits} p on p.employer_record_id = m.employer_record_id",
+)
+def canonicalize_all_whole_map(t):
+    return canonical_whole(t).entity_map.select("employer_record_id", "canon_id", "processed")

@@ -244,10 +244,18 @@ SHOWN_ROWS = ["file_name", "file_row", "case_number", "employer_name", "employer
               "employer_phone", "visa_class", "source"]
 
 
-def delivered(t) -> list[str]:
+# The files of all years.
+ALL_YEARS = YEARS | {
+    "PERM.csv": ["employer_name", "CASE_NO", "received_date", "employer_state", "EMPLOYER_CITY", "employer_phone",
+                 "trade_name_dba", "employer_address_1"],
+    "H-2B_late.csv": YEARS["h-2b_disclosure_data.csv"],
+}
+
+
+def delivered(t, years: dict[str, list[str]] = YEARS) -> list[str]:
     """One CSV file for each delivery, as they land in storage: a folder per file name with a single part file."""
     root = scratch(t.spark, "delivered")
-    for name, headers in YEARS.items():
+    for name, headers in years.items():
         rows = broken_lines(t).where(F.col("file_name") == name).coalesce(1).sortWithinPartitions("position")
         cells = [F.col(SAME_NAME.get(h.lower(), h.lower())).cast("string").alias(h) for h in headers]
         rows.select(*cells, F.col("phone_to_apply").alias("CALL_HERE")).write.options(**KEEP_SPACE).csv(f"{root}/{name}")
@@ -286,6 +294,34 @@ def import_disclosure_unknown(t):
     return import_disclosure(t.spark, delivered(t), folder_names=True).unknown
 
 
+STEPS["whole_raw"] = """
+select *, cast(row_number() over (partition by file_name order by position) as int) as file_row from (
+  select id, position, file_name, case_number, received_date, employer_name, trade_name_dba, employer_address_1,
+    cast(null as varchar) as employer_address_2, employer_city, employer_state, cast(null as varchar) as employer_country,
+    cast(null as varchar) as employer_postal_code, employer_phone, cast(null as varchar) as phone_to_apply
+  from {broken_lines}) x
+"""
+STEPS["whole_cleaned"] = clean_disclosure_sql("whole_raw")
+
+
+@query(
+    "import_disclosure_whole",
+    f"select d.file_name, d.file_row, c.case_number, c.employer_name, c.employer_city, c.employer_state, c.employer_country, "
+    f"c.employer_phone, {VISA.replace('file_name', 'd.file_name')} as visa_class, "
+    "'DoL annual or quarterly disclosure data' as source from {whole_cleaned} c join {whole_raw} d on d.id = c.id "
+    "where d.file_name != 'h-2b_disclosure_data.csv' or d.file_row > 3",
+)
+def import_disclosure_whole(t):
+    # The second file was imported up to its third row.
+    before = t.spark.createDataFrame([("h-2b_disclosure_data.csv", 2), ("h-2b_disclosure_data.csv", 3)], "file_name string, file_row int")
+    return import_disclosure(t.spark, delivered(t, ALL_YEARS), before, folder_names=True).rows.select(*SHOWN_ROWS)
+
+
+@query("import_disclosure_unknown_whole", "select 'call_here' as header, count(phone_to_apply) as filled from {disclosures}")
+def import_disclosure_unknown_whole(t):
+    return import_disclosure(t.spark, delivered(t, ALL_YEARS), folder_names=True).unknown
+
+
 # -------------------------------------------------------------------------------------------------------------- queue
 STEPS["event_files"] = """
 select 'bucket-' || (page_id % 5) as bucket, 'files/H-2A page ' || page_id || ',' || md5(url) || '.csv' as object

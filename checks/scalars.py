@@ -143,12 +143,33 @@ FIXED_URL = (
     "cast(json_extract(scraped_data, '$.workers') as varchar) as workers from {payload_listings}",
 )
 def fix_apply_url(t):
-    fixed = t("payload_listings").withColumn("fixed", P.fix_apply_url("scraped_data"))
+    return fixed_urls(t("payload_listings"))
+
+
+def fixed_urls(payloads):
+    fixed = payloads.withColumn("fixed", P.fix_apply_url("scraped_data"))
     return fixed.select(
         "dol_id", *[F.get_json_object("fixed", f"$.{f}").alias(f) for f in ("apply_url", "case_number", "workers")]
     )
 
 
+@query(
+    "json_fields_whole",
+    "select dol_id, " + ", ".join(f"{text} as {c}" for c, text in LIFTED.items()) + " from {response_payloads}",
+)
+def json_fields_whole(t):
+    return t("response_payloads").select("dol_id", *[v.alias(c) for c, v in P.json_fields("scraped_data").items()])
+
+
+@query(
+    "fix_apply_url_whole",
+    f"select dol_id, {FIXED_URL} as apply_url, json_extract_string(scraped_data, '$.case_number') as case_number, "
+    "cast(json_extract(scraped_data, '$.workers') as varchar) as workers from {response_payloads}",
+)
+def fix_apply_url_whole(t):
+    return fixed_urls(t("response_payloads"))
+
+
 @query("affine_gap")
 def affine_gap_query(t):
     names = t("employers").select("id", "name")
@@ -217,10 +238,24 @@ LISTED = ["dol_id", *P.PAYLOAD_FIELDS.values(), "employer_country"]
 
 @query("clean_listing", f"select {', '.join(LISTED)}, apply_url from {{cleaned_listings}}")
 def clean_listing(t):
-    cleaned = C.clean_listing(t("payload_listings"))
+    return cleaned_payloads(t("payload_listings"))
+
+
+def cleaned_payloads(payloads):
+    cleaned = C.clean_listing(payloads)
     return cleaned.select(*LISTED, F.get_json_object("scraped_data", "$.apply_url").alias("apply_url"))
 
 
+# The same steps over the payload of every response.
+STEPS["lifted_payloads"] = STEPS["lifted_listings"].replace("{payload_listings}", "{response_payloads}")
+STEPS["cleaned_payloads"] = STEPS["cleaned_listings"].replace("{lifted_listings}", "{lifted_payloads}")
+
+
+@query("clean_listing_whole", f"select {', '.join(LISTED)}, apply_url from {{cleaned_payloads}}")
+def clean_listing_whole(t):
+    return cleaned_payloads(t("response_payloads"))
+
+
 def clean_address_sql(source: str) -> str:
     """The address cleaner over a table with the six parts."""
     parts = {c: D.clean(D.title(c)) for c in ("address_1", "address_2", "city")}

@@ -197,6 +197,16 @@ select l.dol_id, l.title, l.link, l.description, l.pub_date, l.scraped,
   l.employer_phone, l.employer_country, l.first_seen, l.last_seen, l.source, l.employer_record_id
 from {listings} l
 join {responses} r on r.requested_id = l.dol_id
+""",
+    # The payload of every response, next to its listing if one is stored.
+    "response_payloads": """
+select r.requested_id as dol_id, l.title, l.link, l.description, l.pub_date, l.scraped,
+  case when r.status = 200 and substr(r.body, 1, 11) = '{{"value":[{{' then substr(r.body, 11, length(r.body) - 12) end
+    as scraped_data,
+  l.pdf, l.employer_name, l.trade_name_dba, l.employer_city, l.employer_state, l.employer_postal_code,
+  l.employer_phone, l.employer_country, l.first_seen, l.last_seen, l.source, l.employer_record_id
+from {responses} r
+left join {listings} l on l.dol_id = r.requested_id
 """,
     "documents_fetched": """
 select concat('H-300-', cast(user_id as string)) as dol_id,
