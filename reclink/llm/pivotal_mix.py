@@ -32,7 +32,7 @@ def item_size() -> Column:
 
 
 def items(docs: DataFrame) -> DataFrame:
-    """(doc_id, source, key, size, rows): equal rows are one item, which is settled as a whole."""
+    """(doc_id, source, key, size, rows): equal rows are one item; only a fraction of one of them is settled."""
     read = docs.select(
         "doc_id", F.col("source").cast("string").alias("source"), F.xxhash64("text").alias("key"), item_size().alias("size")
     )
@@ -40,7 +40,7 @@ def items(docs: DataFrame) -> DataFrame:
 
 
 def targets(found: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
-    """(source, source_size, n_open, target) of each source; n_open items have words.
+    """(source, source_size, n_open, target) of each source; n_open rows have words.
 
     Sources in the order of their code points, null last, take the weights in turn. Sources that their weight would lift
     above `most` times their size stop there, and the rest is shared among the others by weight. In the order of size by
@@ -50,7 +50,7 @@ def targets(found: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float
     sized = F.col("size") * F.col("rows")
     totals = found.groupBy("source").agg(
         F.sum(sized).alias("source_size"),
-        F.sum((sized > 0).cast("long")).alias("n_open"),
+        F.sum(F.when(sized > 0, F.col("rows")).otherwise(0)).alias("n_open"),
     )
     listed = Window.orderBy(F.col("source").asc_nulls_last())
     turn = (F.row_number().over(listed) - 1) % len(weights) + 1
@@ -77,11 +77,12 @@ def _uniform(*parts: Column) -> Column:
     return F.pmod(F.xxhash64(*parts), F.lit(1 << 53)).cast("double") / float(1 << 53)
 
 
-IDENTITY = ["doc_id", "key", "size", "rows"]
+# Of the rows of an item, `certain` take one copy more than the others whatever is drawn.
+IDENTITY = ["doc_id", "key", "size", "rows", "certain"]
 
 
 def _settle(block: Column) -> Column:
-    """Fold a block of items (u, identity, full, mass) into (carry, done): done items with the copies they take.
+    """Fold a block of items (place, u, identity, full, mass) into (carry, done): done items with the copies they take.
 
     carry and next hold `mass` of their `full` words. The carry gains a, the most that the next one can give and it can
     take, or loses b, the most the other way round; it gains with probability b / (a + b), which keeps both expectations.
@@ -118,7 +119,8 @@ def _tree(open_items: DataFrame, most: int, seed: int, block: int) -> tuple[list
     """Settle (source, n, item) rows, n items of a source, until each source has one: (done rows, residuals).
 
     A level takes the items of a source in about n / block blocks, chosen by hash, so a source of any size is many short
-    groups. Each level is written out before the next one reads it.
+    groups. Each level is written out before the next one reads it. The items of a block come in the order of one hash, and
+    another one decides.
     """
     done = []
     level = 0
@@ -127,6 +129,7 @@ def _tree(open_items: DataFrame, most: int, seed: int, block: int) -> tuple[list
         salt = F.lit(seed * 100 + level)
         spot = F.xxhash64("item.doc_id", "item.key", "item.size", salt)
         drawn = F.struct(
+            F.xxhash64("item.doc_id", "item.key", "item.size", F.lit(seed * 100 + 25 + level)).alias("place"),
             _uniform(F.col("item.doc_id"), F.col("item.key"), F.col("item.size"), F.lit(seed * 100 + 50 + level)).alias("u"),
             *[F.col(f"item.{c}") for c in [*IDENTITY, "full", "mass"]],
         )
@@ -145,7 +148,7 @@ def _tree(open_items: DataFrame, most: int, seed: int, block: int) -> tuple[list
 
 
 def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MOST, seed: int = 1, block: int = BLOCK) -> DataFrame:
-    """Copies of each item: (doc_id, source, key, size, rows, source_size, target, copies).
+    """Copies of each row: (doc_id, source, key, size, rows, source_size, target, copies), rows equal ones with so many copies.
 
     Sources share `share` of all words by weight, at most `most` times their size each (see targets). Every document is
     taken floor(r) or floor(r) + 1 times, r its source's target by size, r times on average. The sum of the words that a
@@ -155,8 +158,8 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MO
     take up the miss. Hashes of the rows stand for random numbers: reruns agree, whatever the partitions.
 
     Edge cases: a null text has no words, and a document without words takes nothing (copies are floor(r)). A null source
-    is a source, which comes last. Null ids are ids. Equal rows (id, source, text) are settled together and get the same
-    copies. If all texts are empty, all targets are 0. Other columns are not read; an empty table gives an empty result.
+    is a source, which comes last. Null ids are ids. Of n equal rows (id, source, text) floor(n * r) copies are certain and
+    the fraction of one row is settled, so their copies differ by one at most. If all texts are empty, all targets are 0. Other columns are not read; an empty table gives an empty result.
     """
     found = cut(items(docs), "items")
     sources = cut(targets(found, weights, share, most), "sources")
@@ -170,7 +173,7 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MO
         (F.col("source_size") / F.greatest("n_open", F.lit(1))).alias("mean"),
     )
     placed = found.join(rated, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
-    full = (F.col("size") * F.col("rows")).cast("double")
+    full = F.col("size").cast("double")
     is_open = (full > 0) & (F.col("part") > 0)
     long = is_open & (full > F.col("mean"))
     short = is_open & ~long
@@ -179,15 +182,18 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MO
         placed.groupBy("source").agg(
             F.sum(long.cast("long")).alias("n_long"),
             F.sum(short.cast("long")).alias("n_short"),
-            F.sum(F.when(short, full)).alias("short_words"),
+            F.sum(F.when(short, full * F.col("rows"))).alias("short_words"),
         ),
         "classes",
     )
     largest = counted.agg(F.max("n_long"), F.max("n_short")).first()
 
     def opened(kind: Column, count: str, chance: Column, extra: DataFrame) -> DataFrame:
-        item = F.struct(*IDENTITY, full.alias("full"), (full * chance).alias("mass"))
+        """One row of each item with what the certain ones leave of the item's words."""
         joined = placed.where(kind).join(extra.withColumnRenamed("source", "_source"), F.col("source").eqNullSafe(F.col("_source")))
+        joined = joined.withColumn("due", F.col("rows") * chance)
+        joined = joined.withColumn("certain", F.least(F.floor("due"), F.col("rows") - 1).cast("long"))
+        item = F.struct(*IDENTITY, full.alias("full"), (full * (F.col("due") - F.col("certain"))).alias("mass"))
         return joined.select("source", F.col(count).alias("n"), item.alias("item"))
 
     def rounded(residual: DataFrame, salt: int) -> DataFrame:
@@ -209,10 +215,16 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MO
     settled = done[0]
     for other in done[1:]:
         settled = settled.unionByName(other)
-    rest = placed.where(~is_open | is_open.isNull()).select("source", *IDENTITY, F.lit(0).alias("taken"))
-    every = settled.unionByName(rest)
-    return every.join(rated.drop("mean", "part"), F.col("source").eqNullSafe(F.col("_source"))).select(
-        "doc_id", "source", "key", "size", "rows", "source_size", "target", (F.col("whole") + F.col("taken")).alias("copies")
+    rest = placed.where(~is_open | is_open.isNull()).withColumn("certain", F.lit(0).cast("long"))
+    every = settled.unionByName(rest.select("source", *IDENTITY, F.lit(0).alias("taken")))
+    more = F.col("certain") + F.col("taken")
+    kinds = F.array(
+        F.struct(more.alias("rows"), (F.col("whole") + 1).alias("copies")),
+        F.struct((F.col("rows") - more).alias("rows"), F.col("whole").alias("copies")),
+    )
+    split = every.join(rated.drop("mean", "part"), F.col("source").eqNullSafe(F.col("_source"))).withColumn("kind", F.explode(kinds))
+    return split.where("kind.rows > 0").select(
+        "doc_id", "source", "key", "size", "kind.rows", "source_size", "target", "kind.copies"
     )
 
 
@@ -224,14 +236,34 @@ def mixed_sizes(docs: DataFrame, **options) -> DataFrame:
 
 
 def mixed(docs: DataFrame, **options) -> DataFrame:
-    """The rows of docs, each as often as it is taken, with all their columns. See mix."""
-    found = mix(docs, **options).where("copies > 0")
-    found = found.select(
-        F.col("doc_id").alias("__doc"), F.col("source").alias("__source"), F.col("key").alias("__key"), F.col("copies").cast("int").alias("__copies")
+    """The rows of docs, each as often as it is taken, with all their columns. See mix.
+
+    Where equal rows take different copies, rows that agree in all columns are counted first, and the counts are dealt out
+    in the order of the columns, so a row that is repeated very often is never gathered in one task.
+    """
+    found = cut(mix(docs, **options), "mixed")
+    found = found.groupBy("doc_id", "source", "key").agg(
+        F.min("copies").cast("int").alias("__copies"),
+        F.when(F.min("copies") < F.max("copies"), F.max_by("rows", "copies")).otherwise(F.lit(0)).alias("__more"),
+    )
+    found = found.where("__copies > 0 or __more > 0").select(
+        F.col("doc_id").alias("__doc"), F.col("source").alias("__source"), F.col("key").alias("__key"), "__copies", "__more"
     )
     same = (
         F.col("doc_id").eqNullSafe(F.col("__doc"))
         & F.col("source").cast("string").eqNullSafe(F.col("__source"))
         & (F.xxhash64("text") == F.col("__key"))
     )
-    return docs.join(found, same).withColumn("__copy", F.explode(F.array_repeat(F.lit(1), F.col("__copies")))).select(*docs.columns)
+
+    def repeated(rows: DataFrame, copies: Column) -> DataFrame:
+        return rows.withColumn("__copy", F.explode(F.array_repeat(F.lit(1), copies.cast("int")))).select(*docs.columns)
+
+    alike = docs.join(found.where("__more = 0"), same)
+    counted = docs.join(found.where("__more > 0"), same).groupBy(*docs.columns, "__source", "__key", "__copies", "__more").agg(
+        F.count("*").alias("__rows")
+    )
+    order = Window.partitionBy("doc_id", "__source", "__key").orderBy(*docs.columns)
+    before = F.coalesce(F.sum("__rows").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    more = F.least(F.greatest(F.col("__more") - F.col("__before"), F.lit(0)), F.col("__rows"))
+    unlike = counted.withColumn("__before", before)
+    return repeated(alike, F.col("__copies")).unionByName(repeated(unlike, F.col("__copies") * F.col("__rows") + more))

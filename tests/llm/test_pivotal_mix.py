@@ -120,3 +120,36 @@ def test_hot_source_is_many_short_blocks(spark):
     assert parts.groupBy("part").count().agg(F.max("count")).first()[0] < 2 * pivotal_mix.BLOCK
     plan = mixed_sizes(docs)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_repeated_rows_meet_the_target(spark):
+    """A row that is repeated 100 times holds a third, half or all of the words of its source."""
+    rows = [(1, "x y z", None, "third")] * 100 + [(100 + i, "a b c", None, "third") for i in range(200)]
+    rows += [(2, "x y z", None, "half")] * 100 + [(400 + i, "a b c", None, "half") for i in range(100)]
+    rows += [(3, "x y z", None, "all")] * 100
+    docs = documents(spark, rows)
+    for seed in (1, 2, 3):
+        found = mix(docs, weights=(1, 2, 3), share=0.75, seed=seed).collect()
+        for source in ("third", "half", "all"):
+            mine = [r for r in found if r["source"] == source]
+            taken = sum(r["copies"] * r["rows"] * r["size"] for r in mine)
+            assert abs(taken - mine[0]["target"]) <= 3, (source, taken, mine[0]["target"])
+            assert sum(r["rows"] for r in mine) == {"third": 300, "half": 200, "all": 100}[source]
+    out = Counter(r["doc_id"] for r in mixed(docs, weights=(1, 2, 3), share=0.75).collect())
+    wanted = Counter()
+    for r in mix(docs, weights=(1, 2, 3), share=0.75).collect():
+        wanted[r["doc_id"]] += r["copies"] * r["rows"]
+    assert out == +wanted
+    sizes = mixed_sizes(docs, weights=(1, 2, 3), share=0.75).collect()
+    assert len(sizes) == len(rows) and sum(r["taken"] for r in sizes) == 3 * sum(out.values())
+
+
+def test_order_of_a_block_does_not_decide(spark):
+    """Sizes 1, 10 and 100 in blocks of 64: each size is taken as often as the ratio says."""
+    rows = [(i, " ".join(["w"] * (1, 10, 100)[i % 3]), None, "s") for i in range(6000)]
+    rows += [(10_000 + i, "w " * 100, None, "t") for i in range(2000)]
+    found = mix(documents(spark, rows), weights=(1, 1), share=0.75).collect()
+    for size in (1, 10, 100):
+        mine = [r for r in found if r["source"] == "s" and r["size"] == size]
+        ratio = mine[0]["target"] / mine[0]["source_size"]
+        assert abs(sum(r["copies"] for r in mine) / len(mine) - ratio) < 0.03, size
