@@ -26,13 +26,23 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def near_duplicate_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of the smallest doc_id of each group of near copies (five words, similarity 0.8).
 
-    Rows without a doc_id stay. Of rows that share a doc_id, the one whose text comes first stays.
+    Rows without a doc_id stay. Rows that share a doc_id and the text are one document, of which one row stays; other texts
+    under a doc_id are documents of their own, which come after all others in the choice of a group.
     """
-    found = near_duplicates(docs, size=5, percent=80)
+    named = docs.where("doc_id is not null").withColumn("__mark", F.sha2(F.col("text").cast("string"), 256))
+    named = named.withColumn("__mark", F.coalesce("__mark", F.lit("")))
+    marks = named.groupBy("doc_id").agg(F.min("__mark").alias("__first"), F.max("__mark").alias("__last")).where("__first < __last")
+    others = named.select("doc_id", "__mark").join(marks.select("doc_id", "__first"), "doc_id").where("__mark != __first")
+    top = docs.agg(F.max("doc_id")).first()[0]
+    fresh = F.lit(0 if top is None else top) + 1 + F.monotonically_increasing_id()
+    # Written once, so that every reader sees the same ids.
+    others = cut(others.select("doc_id", "__mark").distinct().withColumn("__other", fresh), "others")
+    placed = named.join(others, ["doc_id", "__mark"], "left").withColumn("__id", F.coalesce("__other", "doc_id"))
+    found = near_duplicates(placed.select(F.col("__id").alias("doc_id"), "text"), size=5, percent=80)
     gone = found.where("not kept").select(F.col("doc_id").alias("__gone")).distinct()
-    left = docs.where("doc_id is not null").join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
-    first = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
-    one = left.withColumn("__first", first).where("__first = 1").drop("__first")
+    left = placed.join(gone, F.col("__id") == F.col("__gone"), "left_anti")
+    first = F.row_number().over(Window.partitionBy("__id").orderBy("text"))
+    one = left.withColumn("__row", first).where("__row = 1").select(*docs.columns)
     return one.unionByName(docs.where("doc_id is null"))
 
 

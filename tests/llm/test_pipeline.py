@@ -109,3 +109,13 @@ def test_edge_cases_of_every_stage(spark):
             assert out.columns == docs.columns, name
     kept = corpus_pipeline.near_duplicate_removal(spark, docs, SMALL).collect()
     assert sorted(r["doc_id"] or -1 for r in kept) == [-1, -1, 1, 2, 3, 5, 6]
+
+
+def test_other_texts_of_a_repeated_id_stay(spark):
+    one, two, three = (" ".join(prose(seed, 60)) for seed in (11, 12, 13))
+    rows = [(1, one), (2, two), (2, three), (2, three), (3, one + " end"), (3, two + " end"), (3, None), (4, three)]
+    kept = corpus_pipeline.near_duplicate_removal(spark, documents(spark, rows), SMALL).collect()
+    got = Counter(r["text"] for r in kept)
+    assert got[one] == 1 and got[None] == 1 and len(kept) == 4
+    assert sum(got[t] for t in (two, two + " end")) == 1 and got[three] == 1
+    assert {r["doc_id"] for r in kept if r["text"] is None} == {3}
