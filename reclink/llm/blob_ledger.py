@@ -2,7 +2,8 @@
 
 A blob is a text named by its SHA-256. The ledger is a Parquet table with a row for each blob and rule version that was
 scanned. A scan reads only blobs with a rule version that the ledger lacks, appends what it found, and joins the findings
-of the ledger back to every path, old and new.
+of the ledger back to the documents it was given. The ledger holds no paths: documents of earlier scans are not returned,
+and after a change of rules only blobs of the given documents are scanned again.
 """
 
 from __future__ import annotations
