@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from reclink.llm import cross_parsing, fm_quality, line_crf
+from reclink.llm import cross_parsing, dialogue_repair, fm_quality, line_crf
 from reclink.llm.blob_ledger import scan_secrets
 from reclink.llm.circulant_minhash import near_duplicates
 from reclink.llm.common import table
@@ -99,6 +99,13 @@ def op10_circulant_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), size=4, percent=80)
 
 
+@query
+def op11_checkpointed_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults and cheapest repair of every conversation after damage."""
+    rows = table(spark, sf_dir, "conversations")
+    return dialogue_repair.repair_report(dialogue_repair.repaired(dialogue_repair.damaged(rows)), rows)
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of the pipeline, from documents to piece ids."""
