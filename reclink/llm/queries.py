@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from reclink.llm import cross_parsing, dialogue_repair, fm_quality, line_crf
+from reclink.llm import cross_parsing, dialogue_repair, fm_quality, line_crf, repeated_bytes
 from reclink.llm.blob_ledger import scan_secrets
 from reclink.llm.circulant_minhash import near_duplicates
 from reclink.llm.common import table
@@ -106,6 +106,12 @@ def op11_checkpointed_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dialogue_repair.repair_report(dialogue_repair.repaired(dialogue_repair.damaged(rows)), rows)
 
 
+@query
+def op12_induced_sorting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text without the strings of 400 bytes that it shares with itself or another one."""
+    return repeated_bytes.repeat_report(repeated_bytes.without_repeats(table(spark, sf_dir, "documents")))
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of the pipeline, from documents to piece ids."""
