@@ -16,6 +16,7 @@ from reclink.llm.permutation_index import search
 from reclink.llm.piece_viterbi import encode_texts
 from reclink.llm.pivotal_mix import mixed_sizes
 from reclink.llm.token_histogram import length_histogram, token_lengths
+from reclink.llm.token_pairs import aligned
 from reclink.llm.warc import archive_round_trip
 from reclink.session import configure, scratch
 
@@ -112,6 +113,12 @@ def op12_induced_sorting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_bytes.repeat_report(repeated_bytes.without_repeats(table(spark, sf_dir, "documents")))
 
 
+@query
+def op13_spill_counting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of two vocabularies that share bytes in every text, with counts over all texts."""
+    return aligned(table(spark, sf_dir, "documents"))
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of the pipeline, from documents to piece ids."""
