@@ -383,37 +383,6 @@ STEPS["every_unique"] = (
 )
 
 
-def canonical(t):
-    part = entity_rows(t).where(~(F.substring("employer_record_id", 2, 12).cast("bigint") % 8).isin(4, 5))
-    return canonicalize_all(t("linked_employers"), part, uniques(t))
-
-
-@query("canonicalize_all", unique_sql("every_unique"))
-def canonicalize_all_query(t):
-    return canonical(t).uniques
-
-
-@query(
-    "canonicalize_all_links",
-    "select e.id, coalesce(h.unique_employer_id, p.unique_employer_id, e.unique_employer_id, s.id) as unique_employer_id "
-    "from {linked_employers} e left join {part_hits} h on h.employer_record_id = e.id "
-    "left join {part_partly_hits} p on p.employer_record_id = e.id left join {all_singles} s on s.employer_id = e.id",
-)
-def canonicalize_all_links(t):
-    return canonical(t).employers.select("id", "unique_employer_id")
-
-
-@query(
-    "canonicalize_all_map",
-    "select m.employer_record_id, m.canon_id, m.processed or h.employer_record_id is not null "
-    "or p.employer_record_id is not null as processed from {part_map} m "
-    "left join {part_hits} h on h.employer_record_id = m.employer_record_id "
-    "left join {part_partly_hits} p on p.employer_record_id = m.employer_record_id",
-)
-def canonicalize_all_map(t):
-    return canonical(t).entity_map.select("employer_record_id", "canon_id", "processed")
-
-
 # The whole map, and beside it employers that no row of it names: copies of every fourth employer under other ids.
 STEPS["more_employers"] = """
 select * from {linked_employers} union all
@@ -439,27 +408,27 @@ def canonical_whole(t):
     return canonicalize_all(linked.unionByName(copies), entity_rows(t), uniques(t))
 
 
-@query("canonicalize_all_whole", unique_sql("every_unique_whole"))
-def canonicalize_all_whole(t):
+@query("canonicalize_all", unique_sql("every_unique_whole"))
+def canonicalize_all_query(t):
     return canonical_whole(t).uniques
 
 
 @query(
-    "canonicalize_all_whole_links",
+    "canonicalize_all_links",
     "select e.id, coalesce(h.unique_employer_id, p.unique_employer_id, e.unique_employer_id, s.id) as unique_employer_id "
     "from {more_employers} e left join {hits} h on h.employer_record_id = e.id "
     "left join {partly_hits} p on p.employer_record_id = e.id left join {whole_singles} s on s.employer_id = e.id",
 )
-def canonicalize_all_whole_links(t):
+def canonicalize_all_links(t):
     return canonical_whole(t).employers.select("id", "unique_employer_id")
 
 
 @query(
-    "canonicalize_all_whole_map",
+    "canonicalize_all_map",
     "select m.employer_record_id, m.canon_id, m.processed or h.employer_record_id is not null "
     "or p.employer_record_id is not null as processed from {entity_map} m "
     "left join {hits} h on h.employer_record_id = m.employer_record_id "
     "left join {partly_hits} p on p.employer_record_id = m.employer_record_id",
 )
-def canonicalize_all_whole_map(t):
+def canonicalize_all_map(t):
     return canonical_whole(t).entity_map.select("employer_record_id", "canon_id", "processed")

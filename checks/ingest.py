@@ -230,7 +230,7 @@ def write_snapshot(t):
     return t.spark.read.parquet(S.write_snapshot(rows, scratch(t.spark, "snapshot")))
 
 
-# Two header years in another order each, an unknown column, and imports that were interrupted.
+# The files of all years: headers in other orders, an unknown column, and imports that were interrupted.
 YEARS = {
     "H-2A_Disclosure_Data.csv": ["CASE_NO", "employer_name", "EMPLOYER_CITY", "employer_state", "Received_Date", "trade_name_dba",
                                  "employer_address1", "employer_phone"],
@@ -242,25 +242,26 @@ YEARS = {
 SAME_NAME = {"case_no": "case_number", "case_received_date": "received_date", "employer_address1": "employer_address_1"}
 SHOWN_ROWS = ["file_name", "file_row", "case_number", "employer_name", "employer_city", "employer_state", "employer_country",
               "employer_phone", "visa_class", "source"]
-
-
-# The files of all years.
-ALL_YEARS = YEARS | {
+YEARS |= {
     "PERM.csv": ["employer_name", "CASE_NO", "received_date", "employer_state", "EMPLOYER_CITY", "employer_phone",
                  "trade_name_dba", "employer_address_1"],
     "H-2B_late.csv": YEARS["h-2b_disclosure_data.csv"],
 }
 
 
-def delivered(t, years: dict[str, list[str]] = YEARS) -> list[str]:
+def parts_of(spark, root: str) -> list[str]:
+    parts = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").load(root)
+    return sorted(r["path"] for r in parts.select("path").collect())
+
+
+def delivered(t) -> tuple[str, list[str]]:
     """One CSV file for each delivery, as they land in storage: a folder per file name with a single part file."""
     root = scratch(t.spark, "delivered")
-    for name, headers in years.items():
+    for name, headers in YEARS.items():
         rows = broken_lines(t).where(F.col("file_name") == name).coalesce(1).sortWithinPartitions("position")
         cells = [F.col(SAME_NAME.get(h.lower(), h.lower())).cast("string").alias(h) for h in headers]
         rows.select(*cells, F.col("phone_to_apply").alias("CALL_HERE")).write.options(**KEEP_SPACE).csv(f"{root}/{name}")
-    parts = t.spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").load(root)
-    return sorted(r["path"] for r in parts.select("path").collect())
+    return root, parts_of(t.spark, root)
 
 
 STEPS["delivered_raw"] = """
@@ -268,7 +269,7 @@ select *, cast(row_number() over (partition by file_name order by position) as i
   select id, position, file_name, case_number, received_date, employer_name, trade_name_dba, employer_address_1,
     cast(null as varchar) as employer_address_2, employer_city, employer_state, cast(null as varchar) as employer_country,
     cast(null as varchar) as employer_postal_code, employer_phone, cast(null as varchar) as phone_to_apply
-  from {broken_lines} where file_name in ('H-2A_Disclosure_Data.csv', 'h-2b_disclosure_data.csv', 'H-2A_and_H-2B.csv')) x
+  from {broken_lines}) x
 """
 STEPS["delivered_cleaned"] = clean_disclosure_sql("delivered_raw")
 IMPORTED = (
@@ -282,44 +283,40 @@ IMPORTED = (
 def import_disclosure_query(t):
     # The second file was imported up to its third row.
     before = t.spark.createDataFrame([("h-2b_disclosure_data.csv", 2), ("h-2b_disclosure_data.csv", 3)], "file_name string, file_row int")
-    return import_disclosure(t.spark, delivered(t), before, folder_names=True).rows.select(*SHOWN_ROWS)
+    root, paths = delivered(t)
+    return import_disclosure(t.spark, paths, before, folder_names=True, root=root).rows.select(*SHOWN_ROWS)
 
 
-@query(
-    "import_disclosure_unknown",
-    "select 'call_here' as header, count(phone_to_apply) as filled from {disclosures} "
-    "where file_name in ('H-2A_Disclosure_Data.csv', 'h-2b_disclosure_data.csv', 'H-2A_and_H-2B.csv')",
-)
+@query("import_disclosure_unknown", "select 'call_here' as header, count(phone_to_apply) as filled from {disclosures}")
 def import_disclosure_unknown(t):
-    return import_disclosure(t.spark, delivered(t), folder_names=True).unknown
+    root, paths = delivered(t)
+    return import_disclosure(t.spark, paths, folder_names=True, root=root).unknown
 
 
-STEPS["whole_raw"] = """
-select *, cast(row_number() over (partition by file_name order by position) as int) as file_row from (
-  select id, position, file_name, case_number, received_date, employer_name, trade_name_dba, employer_address_1,
-    cast(null as varchar) as employer_address_2, employer_city, employer_state, cast(null as varchar) as employer_country,
-    cast(null as varchar) as employer_postal_code, employer_phone, cast(null as varchar) as phone_to_apply
-  from {broken_lines}) x
+# Folders of equal last names, one name ending like another; in each a delivery of the same name, in two part files.
+FOLDERS = ["ab", "b", "year1/b", "year2/b"]
+FOLDER_OF = "list_extract([" + ", ".join(f"'{f}'" for f in FOLDERS) + "], cast(position % 4 as int) + 1) || '/H-2A.csv'"
+STEPS["folders_raw"] = f"""
+select file_name, case_number, employer_name,
+  cast(row_number() over (partition by file_name order by position) as int) as file_row
+from (select {FOLDER_OF} as file_name, position, case_number, employer_name from {{disclosures}}) x
 """
-STEPS["whole_cleaned"] = clean_disclosure_sql("whole_raw")
 
 
 @query(
-    "import_disclosure_whole",
-    f"select d.file_name, d.file_row, c.case_number, c.employer_name, c.employer_city, c.employer_state, c.employer_country, "
-    f"c.employer_phone, {VISA.replace('file_name', 'd.file_name')} as visa_class, "
-    "'DoL annual or quarterly disclosure data' as source from {whole_cleaned} c join {whole_raw} d on d.id = c.id "
-    "where d.file_name != 'h-2b_disclosure_data.csv' or d.file_row > 3",
+    "import_folders",
+    "select file_name, file_row, case_number from {folders_raw} where file_name != 'b/H-2A.csv' or file_row > 5",
 )
-def import_disclosure_whole(t):
-    # The second file was imported up to its third row.
-    before = t.spark.createDataFrame([("h-2b_disclosure_data.csv", 2), ("h-2b_disclosure_data.csv", 3)], "file_name string, file_row int")
-    return import_disclosure(t.spark, delivered(t, ALL_YEARS), before, folder_names=True).rows.select(*SHOWN_ROWS)
-
-
-@query("import_disclosure_unknown_whole", "select 'call_here' as header, count(phone_to_apply) as filled from {disclosures}")
-def import_disclosure_unknown_whole(t):
-    return import_disclosure(t.spark, delivered(t, ALL_YEARS), folder_names=True).unknown
+def import_folders(t):
+    """Deliveries of one name in four folders; that of one folder was imported up to its fifth row."""
+    root = scratch(t.spark, "folders")
+    for i, folder in enumerate(FOLDERS):
+        # One task for each part file; the files of a folder follow each other by name.
+        rows = t("disclosures").where(F.col("position") % 4 == i).repartitionByRange(2, "position").sortWithinPartitions("position")
+        rows.select(F.col("case_number").alias("CASE_NO"), "employer_name").write.options(**KEEP_SPACE).csv(f"{root}/{folder}/H-2A.csv")
+    before = t.spark.createDataFrame([("b/H-2A.csv", 5)], "file_name string, file_row int")
+    found = import_disclosure(t.spark, parts_of(t.spark, root), before, folder_names=True, root=root).rows
+    return found.select("file_name", "file_row", "case_number")
 
 
 # -------------------------------------------------------------------------------------------------------------- queue

@@ -125,10 +125,10 @@ LIFTED = {column: D.clean(f"json_extract_string(scraped_data, '$.{field}')") for
 
 @query(
     "json_fields",
-    "select dol_id, " + ", ".join(f"{text} as {c}" for c, text in LIFTED.items()) + " from {payload_listings}",
+    "select dol_id, " + ", ".join(f"{text} as {c}" for c, text in LIFTED.items()) + " from {response_payloads}",
 )
 def json_fields(t):
-    return t("payload_listings").select("dol_id", *[v.alias(c) for c, v in P.json_fields("scraped_data").items()])
+    return t("response_payloads").select("dol_id", *[v.alias(c) for c, v in P.json_fields("scraped_data").items()])
 
 
 FIXED_URL = (
@@ -140,10 +140,10 @@ FIXED_URL = (
 @query(
     "fix_apply_url",
     f"select dol_id, {FIXED_URL} as apply_url, json_extract_string(scraped_data, '$.case_number') as case_number, "
-    "cast(json_extract(scraped_data, '$.workers') as varchar) as workers from {payload_listings}",
+    "cast(json_extract(scraped_data, '$.workers') as varchar) as workers from {response_payloads}",
 )
 def fix_apply_url(t):
-    return fixed_urls(t("payload_listings"))
+    return fixed_urls(t("response_payloads"))
 
 
 def fixed_urls(payloads):
@@ -153,23 +153,6 @@ def fixed_urls(payloads):
     )
 
 
-@query(
-    "json_fields_whole",
-    "select dol_id, " + ", ".join(f"{text} as {c}" for c, text in LIFTED.items()) + " from {response_payloads}",
-)
-def json_fields_whole(t):
-    return t("response_payloads").select("dol_id", *[v.alias(c) for c, v in P.json_fields("scraped_data").items()])
-
-
-@query(
-    "fix_apply_url_whole",
-    f"select dol_id, {FIXED_URL} as apply_url, json_extract_string(scraped_data, '$.case_number') as case_number, "
-    "cast(json_extract(scraped_data, '$.workers') as varchar) as workers from {response_payloads}",
-)
-def fix_apply_url_whole(t):
-    return fixed_urls(t("response_payloads"))
-
-
 @query("affine_gap")
 def affine_gap_query(t):
     names = t("employers").select("id", "name")
@@ -226,7 +209,7 @@ HAS = "coalesce(trim(scraped_data) not in ('', '{{}}', 'null'), false)"
 STEPS["lifted_listings"] = (
     "select * replace ("
     + ", ".join(f"case when {HAS} then {text} else {c} end as {c}" for c, text in LIFTED.items())
-    + f"), case when {HAS} then {FIXED_URL} end as apply_url from {{payload_listings}}"
+    + f"), case when {HAS} then {FIXED_URL} end as apply_url from {{response_payloads}}"
 )
 STEPS["cleaned_listings"] = f"""
 select * replace (case when {HAS} then {D.state('employer_state')} else employer_state end as employer_state,
@@ -238,7 +221,7 @@ LISTED = ["dol_id", *P.PAYLOAD_FIELDS.values(), "employer_country"]
 
 @query("clean_listing", f"select {', '.join(LISTED)}, apply_url from {{cleaned_listings}}")
 def clean_listing(t):
-    return cleaned_payloads(t("payload_listings"))
+    return cleaned_payloads(t("response_payloads"))
 
 
 def cleaned_payloads(payloads):
@@ -246,16 +229,6 @@ def cleaned_payloads(payloads):
     return cleaned.select(*LISTED, F.get_json_object("scraped_data", "$.apply_url").alias("apply_url"))
 
 
-# The same steps over the payload of every response.
-STEPS["lifted_payloads"] = STEPS["lifted_listings"].replace("{payload_listings}", "{response_payloads}")
-STEPS["cleaned_payloads"] = STEPS["cleaned_listings"].replace("{lifted_listings}", "{lifted_payloads}")
-
-
-@query("clean_listing_whole", f"select {', '.join(LISTED)}, apply_url from {{cleaned_payloads}}")
-def clean_listing_whole(t):
-    return cleaned_payloads(t("response_payloads"))
-
-
 def clean_address_sql(source: str) -> str:
     """The address cleaner over a table with the six parts."""
     parts = {c: D.clean(D.title(c)) for c in ("address_1", "address_2", "city")}

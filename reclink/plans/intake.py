@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 from multiprocessing.pool import ThreadPool
 from typing import NamedTuple
 
@@ -29,43 +30,88 @@ class Imported(NamedTuple):
     unknown: DataFrame
 
 
-def file_label(path: str, folder_names: bool = False) -> str:
-    """The name a file is known by: its own, or that of its folder if a delivery is a folder of part files."""
-    return path.rstrip("/").split("/")[-2 if folder_names else -1]
+class Listed(NamedTuple):
+    """A file: its path, the way rows name it, the name it is imported under, and its place among the files of that name."""
 
+    path: str
+    own: str
+    label: str
+    number: int
 
-def header_groups(spark: SparkSession, paths: list[str]) -> dict[tuple[str, ...], list[str]]:
-    """Paths by their header row. Only the start of each file is read, by a short job for each of them, several at a time."""
-    groups: dict[tuple[str, ...], list[str]] = {}
-    ordered = sorted(paths)
+
+def _qualified(spark: SparkSession, path: str) -> str:
+    """A path as Spark lists it, with scheme and without marks of a closing folder."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(place).toString()
+
+
+def list_files(spark: SparkSession, paths: list[str], root: str | None = None, folder_names: bool = False) -> list[Listed]:
+    """What lies at the paths. A file is known by its whole path under `root`, or by its whole path where no root is given.
+
+    With `folder_names` a delivery is a folder of part files, known by the path of the folder; its files follow each other
+    by path. Files of the same last name in different folders are different files.
+    """
+    found = spark.read.format("binaryFile").load(sorted(paths)).select("path", F.col("_metadata.file_path").alias("own")).distinct()
+    above = None if root is None else _qualified(spark, root).rstrip("/") + "/"
+    listed, counts = [], {}
+    for path, own in sorted((r["path"], r["own"]) for r in found.collect()):
+        label = path
+        if above is not None:
+            if not path.startswith(above):
+                raise ValueError(f"{path} does not lie under {root}")
+            label = path[len(above) :]
+        if folder_names:
+            label = label.rpartition("/")[0] or label
+        counts[label] = counts.get(label, 0) + 1
+        listed.append(Listed(path, own, label, counts[label] - 1))
+    return listed
+
+
+def _header(spark: SparkSession, path: str) -> tuple[str, ...]:
+    """Cells of the first record of a CSV file. Only its start is read; quoted cells may hold line breaks."""
+    jvm = spark._jvm
+    conf, place = spark._jsc.hadoopConfiguration(), jvm.org.apache.hadoop.fs.Path(path)
+    stream = place.getFileSystem(conf).open(place)
+    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(place)
+    stream = stream if codec is None else codec.createInputStream(stream)
+    lines = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
+    try:
+        return tuple(next(csv.reader(f"{line}\n" for line in iter(lines.readLine, None)), ()))
+    finally:
+        lines.close()
+
+
+def header_groups(spark: SparkSession, files: list[Listed]) -> dict[tuple[str, ...], list[Listed]]:
+    """Files by their header row. The driver reads the first line of each file, several at a time, without a Spark job."""
     with ThreadPool(READERS) as pool:
-        headers = pool.map(lambda path: tuple(spark.read.options(**S.CSV).csv(path).columns), ordered)
-    for path, header in zip(ordered, headers):
-        groups.setdefault(header, []).append(path)
+        headers = pool.map(lambda file: _header(spark, file.path), files)
+    groups: dict[tuple[str, ...], list[Listed]] = {}
+    for file, header in zip(files, headers):
+        groups.setdefault(header, []).append(file)
     return groups
 
 
-def read_files(spark: SparkSession, paths: list[str], folder_names: bool = False) -> tuple[DataFrame, DataFrame]:
+def read_files(spark: SparkSession, paths: list[str], folder_names: bool = False, root: str | None = None) -> tuple[DataFrame, DataFrame]:
     """All cells of CSV files under their declared names, with file label and place; and the unknown headers.
 
     Files of any header order and year are mixed: those of one header are read together, and columns are bound by name.
-    The place comes from the read: a file is read by one task, whose row numbers rise, and part files of a folder follow
-    each other by name. Nothing is sorted.
+    Label and number of a file come from a table of the files, joined on the path that the rows carry. The place comes from
+    the read: a file is read by one task, whose row numbers rise, and part files of a folder follow each other by path.
+    Nothing is sorted.
     """
-    numbers = {path: i for i, path in enumerate(sorted(paths))}
+    files = list_files(spark, paths, root, folder_names)
+    known = spark.createDataFrame([(f.own, f.label, f.number) for f in files], "own string, label string, number long")
     tables, unknown = [], []
-    for header, group in header_groups(spark, paths).items():
-        cells = S.read_disclosure(spark, group)
-        own = F.col("_metadata.file_path")
-        cases = F.lit(None).cast("long")
-        for path in group:
-            cases = F.when(_same_path(own, path), F.lit(numbers[path]).cast("long")).otherwise(cases)
-        label = F.element_at(F.split(own, "/"), -2 if folder_names else -1)
+    for group in header_groups(spark, files).values():
+        cells = S.read_disclosure(spark, [f.path for f in group])
         inside = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << ROW_BITS) - 1))
-        placed = cells.select(
-            "*",
-            F.coalesce(F.try_url_decode(F.replace(label, F.lit("+"), F.lit("%2B"))), label).alias(FILE),
-            (cases * F.lit(1 << ROW_BITS) + inside).alias(PLACE),
+        own = cells.select("*", F.col("_metadata.file_path").alias(FILE), inside.alias(PLACE))
+        met = own.join(known, own[FILE] == known["own"], "left")
+        strange = F.raise_error(F.concat(F.lit("rows of an unlisted file: "), FILE))
+        placed = met.select(
+            *[own[f"`{c}`"] for c in cells.columns],
+            F.coalesce("label", strange).alias(FILE),
+            (F.col("number") * F.lit(1 << ROW_BITS) + F.col(PLACE)).alias(PLACE),
         )
         named = S.normalize_headers(placed, keep=(FILE, PLACE))
         missing = [c for c in DISCLOSURE_KINDS if c not in named.columns]
@@ -79,22 +125,16 @@ def read_files(spark: SparkSession, paths: list[str], folder_names: bool = False
     return rows, dropped.groupBy("header").agg(F.sum("filled").alias("filled"))
 
 
-def _same_path(own: Column, path: str) -> Column:
-    """Whether a row's file is the listed one; the two may write the scheme and special characters differently."""
-    tail = "/".join(path.rstrip("/").split("/")[-2:])
-    return own.endswith(tail) | F.coalesce(F.try_url_decode(F.replace(own, F.lit("+"), F.lit("%2B"))), own).endswith(tail)
-
-
 def import_disclosure(
-    spark: SparkSession, paths: list[str], loaded: DataFrame | None = None, folder_names: bool = False
+    spark: SparkSession, paths: list[str], loaded: DataFrame | None = None, folder_names: bool = False, root: str | None = None
 ) -> Imported:
     """Typed, numbered, tagged and cleaned rows of CSV files, from their headers on.
 
-    Rows are numbered over the whole file, header apart; those up to the last row of the file in `loaded` (file_name,
+    file_name is the whole path of a file under `root` (see list_files). Rows are numbered over the whole file, header apart; those up to the last row of the file in `loaded` (file_name,
     file_row) are left out, so an interrupted import goes on where it ended. Refused cells and unknown headers are tables of
     their own.
     """
-    cells, unknown = read_files(spark, paths, folder_names)
+    cells, unknown = read_files(spark, paths, folder_names, root)
     typed, rejects = S.cast_to_schema(cells.withColumnRenamed(FILE, "file_name"))
     numbered = S.add_provenance(typed.withColumn("visa_class", visa_class("file_name")), "file_name", PLACE).drop(PLACE)
     if loaded is not None:
@@ -111,14 +151,15 @@ class ImportRun(NamedTuple):
 def process_imports(spark: SparkSession, waiting: DataFrame, loaded: DataFrame, root: str, now: Column, n: int = 1) -> ImportRun:
     """Import the first n waiting files of the queue, append their rows, and mark the files as finished.
 
-    A file lies at root/bucket/object, or at root/object without a bucket. The n file names come to the driver.
+    A file lies at root/bucket/object, or at root/object without a bucket, and is known by its path under root. The n file
+    names come to the driver.
     """
     chosen = cut(queue.pending_imports(waiting, n), "pending")
     names = chosen.collect()
     if not names:
         return ImportRun(loaded, waiting, spark.createDataFrame([], "file_name string, case_number string, column string, value string"))
     paths = ["/".join(part for part in (root, r["bucket"], r["object"]) if part) for r in names]
-    found = import_disclosure(spark, paths, loaded.select("file_name", "file_row"))
+    found = import_disclosure(spark, paths, loaded.select("file_name", "file_row"), root=root)
     rows = cut(found.rows, "imported")
     grown = loaded.unionByName(rows, allowMissingColumns=True)
     return ImportRun(grown, queue.finish_imports(waiting, chosen, now), found.rejects)

@@ -7,6 +7,7 @@ changes nothing. compact_batches merges the folders so far into one, `upto=<id>`
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -86,20 +87,25 @@ def stream_files(
     folder_names: bool = False,
     once: bool = True,
     every: str = "30 minutes",
+    root: str | None = None,
 ) -> StreamingQuery:
     """Load each new CSV file once, by import_disclosure: its own headers, casts, row numbers, tags and cleaning.
 
+    A file is known by its path under `root`, which is the part of `source` without wildcards if none is given.
+
     The stream carries file names, at most `per_batch` at a time, and the checkpoint remembers them. With `folder_names` a
     delivery is a folder of part files, whose name counts as the file name; a delivery should then fit a batch, because its
     rows are numbered in the batch.
     """
     names = spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length bigint, content binary")
+    fixed = re.split(r"[*?\[{]", source)[0]
+    above = root or (source if fixed == source else fixed.rpartition("/")[0])
     names = names.option("maxFilesPerTrigger", per_batch).option("pathGlobFilter", "*.csv")
 
     def write(batch: DataFrame, batch_id: int) -> None:
         paths = [row["path"] for row in batch.collect()]
         if paths:
-            rows = import_disclosure(spark, paths, folder_names=folder_names).rows
+            rows = import_disclosure(spark, paths, folder_names=folder_names, root=above).rows
             rows.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
     return _start(names.load(source).select("path").writeStream.foreachBatch(write), checkpoint, once, every)

@@ -196,7 +196,7 @@ def test_files_of_several_years(spark, tmp_path):
     two = [[{**row, "CASE_NO": f"b{i}", "Received_Date": "soon" if i else row["Received_Date"]}[h] for h in turned] for i in range(3)]
     paths = [csv_file(tmp_path / "H-2A one.csv", HEADERS, one), csv_file(tmp_path / "h-2b_two.csv", turned, two)]
     loaded = spark.createDataFrame([("H-2A one.csv", 1), ("H-2A one.csv", 2)], "file_name string, file_row int")
-    out = import_disclosure(spark, paths, loaded)
+    out = import_disclosure(spark, paths, loaded, root=str(tmp_path))
     rows = sorted(
         (r.file_name, r.file_row, r.case_number, r.employer_name, r.employer_city, r.employer_state, r.visa_class) for r in out.rows.collect()
     )
@@ -210,6 +210,31 @@ def test_files_of_several_years(spark, tmp_path):
     assert [(r.header, r.filled) for r in out.unknown.collect()] == [("odd", 7)]
 
 
+def test_files_of_one_name_are_apart(spark, tmp_path):
+    """Equal names in folders, also where one path ends like another, a resume, and names with odd characters."""
+    paths = []
+    for folder, count in (("year1", 3), ("year2", 2), ("ab", 2), ("b", 1), ("x y+z%41", 1)):
+        (tmp_path / folder).mkdir()
+        rows = [[f"{folder}{i}", "2022-01-02 00:00:00", "Acme", "r", "Ames", "NC", "1", "z"] for i in range(count)]
+        paths.append(csv_file(tmp_path / folder / "H-2A.csv", HEADERS, rows))
+    root = str(tmp_path)
+    first = import_disclosure(spark, paths[:1], root=root).rows
+    rest = import_disclosure(spark, paths, first, root=root).rows
+    got = sorted((r.file_name, r.file_row, r.case_number) for r in rest.collect())
+    assert got == [("ab/H-2A.csv", 1, "ab0"), ("ab/H-2A.csv", 2, "ab1"), ("b/H-2A.csv", 1, "b0")] + [
+        ("x y+z%41/H-2A.csv", 1, "x y+z%410"), ("year2/H-2A.csv", 1, "year20"), ("year2/H-2A.csv", 2, "year21")
+    ]
+    whole = import_disclosure(spark, paths[:2]).rows.select("file_name").distinct().collect()
+    assert {r.file_name for r in whole} == {f"file:{p}" for p in paths[:2]}
+
+
+def test_a_thousand_files_in_one_plan(spark, tmp_path):
+    paths = [csv_file(tmp_path / f"H-2A {i}.csv", HEADERS[:3], [[f"c{i}", "2022-01-02 00:00:00", "Acme"]]) for i in range(1000)]
+    rows = import_disclosure(spark, paths, root=str(tmp_path)).rows.select("file_name", "file_row", "case_number").collect()
+    assert sorted((r.file_name, r.case_number) for r in rows) == sorted((f"H-2A {i}.csv", f"c{i}") for i in range(1000))
+    assert {r.file_row for r in rows} == {1}
+
+
 def test_queue_to_rows(spark, tmp_path):
     """Files are imported in order of their arrival, marked, and not imported again."""
     (tmp_path / "bucket").mkdir()
