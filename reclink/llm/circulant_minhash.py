@@ -9,12 +9,12 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reclink.llm.common import map_rows
@@ -33,6 +33,9 @@ SLICE = 2048
 # Bytes of shingle sets that a task remembers while it tests pairs.
 SET_BYTES = 1 << 26
 
+# Numbers of 64 bits that hold the parities of a shingle set: each shingle turns one bit over.
+PARITY_WORDS = 16
+
 # Remaining candidate pairs per band row up to which all of them are tested at once. A pair counts once for each band it
 # shares. Beyond that, centres are tried, as long as each turn halves what remains.
 LINEAR = 4
@@ -101,20 +104,42 @@ def band_keys(least: np.ndarray, bands: int = BANDS) -> list[int]:
     return keys.astype(np.int64).tolist()
 
 
+def parities(shingles: np.ndarray) -> list[int]:
+    """Which of 64 * PARITY_WORDS bins hold an odd number of the shingles. Shingles of both of two sets cancel out."""
+    bins = (shingles >> np.uint64(40)).astype(np.int64) % (64 * PARITY_WORDS)
+    odd = (np.bincount(bins, minlength=64 * PARITY_WORDS) & 1).astype(np.uint8)
+    return np.packbits(odd).view(np.int64).tolist()
+
+
+def _apart(left: str, right: str) -> Column:
+    """Bins whose parities differ: at most as many as shingles that only one of the two sets has."""
+    words = [F.bit_count(F.col(left)[i].bitwiseXOR(F.col(right)[i])) for i in range(PARITY_WORDS)]
+    return reduce(lambda a, b: a + b, words)
+
+
+def _may_link(apart: Column, shingles: Column, percent: int) -> Column:
+    """Whether sets with so many shingles together, and at least so many in only one of them, can be linked.
+
+    Of s shingles in both lists, d of them in one set only, the union has (s + d) / 2 and the intersection (s - d) / 2.
+    """
+    return apart * (100 + percent) <= shingles * (100 - percent)
+
+
 def sketches(docs: DataFrame, size: int, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """(doc_id, n_shingles, set_key, bands) of every document; set_key names the shingle set, null if it is empty."""
+    """(doc_id, n_shingles, set_key, bands, parity) of every document; set_key names the shingle set, null if it is empty."""
 
     def run(read: Iterator[dict]) -> Iterator[dict]:
         memo = WordHashes()
         for row in read:
             found = shingle_set(row["text"], size, memo)
-            key = bands_of = None
+            key = bands_of = parity = None
             if len(found) and row["doc_id"] is not None:
                 key = hashlib.blake2b(found.tobytes(), digest_size=16).digest()
                 bands_of = band_keys(signature(found, bands * rows), bands)
-            yield {"doc_id": row["doc_id"], "n_shingles": len(found), "set_key": key, "bands": bands_of}
+                parity = parities(found)
+            yield {"doc_id": row["doc_id"], "n_shingles": len(found), "set_key": key, "bands": bands_of, "parity": parity}
 
-    schema = "doc_id long, n_shingles long, set_key binary, bands array<long>"
+    schema = "doc_id long, n_shingles long, set_key binary, bands array<long>, parity array<long>"
     return map_rows(_texts(docs), run, schema)
 
 
@@ -189,23 +214,49 @@ def _star_pairs(open_rows: DataFrame, turn: int) -> DataFrame:
     copied from shares more with them than they share with each other. Later it is any class, by its hash.
     """
     order = F.struct("met", -F.col("id")) if turn == 0 else F.struct(F.xxhash64("id", F.lit(turn)), "id")
-    centre = F.max_by(F.struct("id", "comp", "n"), order).alias("_centre")
+    centre = F.max_by(F.struct("id", "comp", "n", "parity"), order).alias("_centre")
     found = open_rows.join(open_rows.groupBy("band").agg(centre), "band").where("comp != _centre.comp")
-    return found.select("id", "n", F.col("_centre.id").alias("id2"), F.col("_centre.n").alias("n2"))
+    return found.select(
+        "id", "n", "parity", F.col("_centre.id").alias("id2"), F.col("_centre.n").alias("n2"), F.col("_centre.parity").alias("parity2")
+    )
+
+
+def _all_pairs(open_rows: DataFrame, percent: int) -> DataFrame:
+    """Classes of different components that share a bucket and whose parities allow a link.
+
+    Components meet first, so none is paired with itself. A component stands in a bucket by the parities of one class and
+    the largest number of bins by which those of its others differ; by the triangle inequality two components that differ
+    by more than that and a link allow hold no linked classes. Every bound is a condition inside its join: what it rules
+    out is never a row.
+    """
+    base = open_rows.groupBy("band", "comp").agg(F.min("parity").alias("base"), F.max("n").alias("most"))
+    parts = (
+        open_rows.join(base, ["band", "comp"])
+        .groupBy("band", "comp")
+        .agg(F.min("base").alias("base"), F.max("most").alias("most"), F.max(_apart("parity", "base")).alias("radius"))
+    )
+    others = parts.select("band", *[F.col(c).alias(f"{c}2") for c in ("comp", "base", "most", "radius")])
+    near = _may_link(_apart("base", "base2") - F.col("radius") - F.col("radius2"), F.col("most") + F.col("most2"), percent)
+    meets = parts.join(others, "band").where((F.col("comp") < F.col("comp2")) & near)
+    meets = meets.select("band", "comp", "comp2", "base2", "most2", "radius2")
+    near = _may_link(_apart("parity", "base2") - F.col("radius2"), F.col("n") + F.col("most2"), percent)
+    first = meets.join(open_rows.select("band", "comp", "id", "n", "parity"), ["band", "comp"]).where(near)
+    first = first.select("band", "comp2", F.col("id").alias("id2"), F.col("n").alias("n2"), F.col("parity").alias("parity2"))
+    second = open_rows.select("band", F.col("comp").alias("comp2"), "id", "n", "parity")
+    found = first.join(second, ["band", "comp2"]).where(_possible(percent))
+    return found.select("id", "n", "parity", "id2", "n2", "parity2")
 
 
-def _all_pairs(open_rows: DataFrame) -> DataFrame:
-    """Classes of different components that share a bucket; components meet first, so none is paired with itself."""
-    parts = open_rows.select("band", "comp").distinct()
-    meets = parts.join(parts.withColumnRenamed("comp", "comp2"), "band").where("comp < comp2")
-    first = meets.join(open_rows, ["band", "comp"]).select("band", F.col("comp2").alias("comp"), F.col("id").alias("id2"), F.col("n").alias("n2"))
-    return first.join(open_rows, ["band", "comp"]).select("id", "n", "id2", "n2")
+def _possible(percent: int) -> Column:
+    """Whether sizes and parities of (n, parity) and (n2, parity2) allow a link."""
+    sizes = F.least("n", "n2") * 100 >= F.greatest("n", "n2") * percent
+    return sizes & _may_link(_apart("parity", "parity2"), F.col("n") + F.col("n2"), percent)
 
 
 def _oriented(found: DataFrame, percent: int) -> DataFrame:
-    """Distinct pairs with the larger id left, without those whose set sizes rule a link out."""
-    near = F.least("n", "n2") * 100 >= F.greatest("n", "n2") * percent
-    return found.where(near).select(F.greatest("id", "id2").alias("left_id"), F.least("id", "id2").alias("right_id")).distinct()
+    """Distinct pairs with the larger id left, without those that sizes or parities rule out."""
+    met = found.where(_possible(percent))
+    return met.select(F.greatest("id", "id2").alias("left_id"), F.least("id", "id2").alias("right_id")).distinct()
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
@@ -219,7 +270,9 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, bands: in
     - where buckets are large, every class of a bucket is first tested against one centre, not against each other;
     - then only classes of the same bucket that are still in different components can add anything. New centres are tried
       while that halves them; what is left is tested in full, so no candidate pair goes untested that could join two
-      components.
+      components;
+    - a pair is tested on its texts only if the parities of its shingles in 1,024 bins allow a link. Bins of different
+      parity are at most as many as the shingles that one of the two sets lacks, so no link is lost.
     With 40 bands of 6 coordinates a pair of similarity 0.8 shares no band with a probability of about 5e-6, one of 0.85
     with 1e-8.
 
@@ -231,17 +284,17 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, bands: in
     sketch = cut(sketches(docs, size, bands, rows), "sketches")
     named = sketch.where("set_key is not null")
     classes = cut(
-        named.groupBy("set_key").agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")),
+        named.groupBy("set_key").agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"), F.first("parity").alias("parity")),
         "classes",
     )
     members = cut(named.select("doc_id", "set_key").join(classes.select("set_key", "id"), "set_key").select("doc_id", "id"), "members")
     lowest = members.groupBy("doc_id").agg(F.min("id").alias("_low"), F.max("id").alias("_high")).where("_low < _high")
     links = cut(members.join(lowest, "doc_id").where("id != _low").select(F.col("id").alias("left_id"), F.col("_low").alias("right_id")), "links")
 
-    banded = classes.select("id", "n", F.explode("bands").alias("band"))
+    banded = classes.select("id", "n", "parity", F.explode("bands").alias("band"))
     full = banded.groupBy("band").agg(F.count("*").alias("_n")).where("_n > 1")
     # A class has at most `bands` of them, so the lists are short.
-    nodes = banded.join(full, "band").groupBy("id", "n").agg(F.collect_list("band").alias("bands"), F.sum("_n").alias("met"))
+    nodes = banded.join(full, "band").groupBy("id", "n", "parity").agg(F.collect_list("band").alias("bands"), F.sum("_n").alias("met"))
     nodes = cut(nodes, "nodes")
     texts = cut(_packed(docs, nodes.select("id")), "texts")
 
@@ -249,17 +302,17 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, bands: in
     tested, before, last = None, float("inf"), False
     while not last:
         if labels is None:
-            open_rows = nodes.select("id", "n", "met", F.col("id").alias("comp"), F.explode("bands").alias("band"))
+            open_rows = nodes.select("id", "n", "parity", "met", F.col("id").alias("comp"), F.explode("bands").alias("band"))
         else:
             placed = nodes.join(labels, "id", "left").withColumn("comp", F.coalesce("canon_id", "id"))
-            open_rows = placed.select("id", "n", "met", "comp", F.explode("bands").alias("band"))
+            open_rows = placed.select("id", "n", "parity", "met", "comp", F.explode("bands").alias("band"))
             mixed = open_rows.groupBy("band").agg(F.min("comp").alias("_a"), F.max("comp").alias("_b")).where("_a < _b")
             open_rows = cut(open_rows.join(mixed.select("band"), "band"), "open")
         left, crossing = _crossings(open_rows)
         if not crossing:
             break
         last = crossing <= LINEAR * left or crossing > before / 2
-        pairs = _oriented(_all_pairs(open_rows) if last else _star_pairs(open_rows, 0 if tested is None else crossing), percent)
+        pairs = _oriented(_all_pairs(open_rows, percent) if last else _star_pairs(open_rows, 0 if tested is None else crossing), percent)
         if tested is not None:
             pairs = pairs.join(tested, ["left_id", "right_id"], "left_anti")
         pairs = cut(pairs, "pairs")

@@ -123,3 +123,34 @@ def test_signatures_estimate_similarity():
     same = (signature(a, 1024) == signature(b, 1024)).mean()
     exact = len(np.intersect1d(a, b)) / len(np.union1d(a, b))
     assert abs(same - exact) < 0.05
+
+
+def test_parities_rule_out_no_link():
+    """The bound is never under the shingles that only one set has, and tells unlike sets apart."""
+    memo, chooser = WordHashes(), random.Random(5)
+    words = prose(11, 300, 10**6)
+    for share in (0.0, 0.01, 0.03, 0.1, 0.3, 1.0):
+        a, b = (shingle_set(" ".join(edited(words, chooser, share)), 4, memo) for _ in range(2))
+        apart = sum((x ^ y).bit_count() for x, y in zip(*[np.array(m.parities(z)).view(np.uint64).tolist() for z in (a, b)]))
+        lone = len(np.setxor1d(a, b))
+        assert apart <= lone and (apart - lone) % 2 == 0
+        if share >= 0.1:
+            assert apart * 180 > (len(a) + len(b)) * 20
+
+
+def test_near_but_unlinked_group(spark, monkeypatch):
+    """Texts that share many bands but no link are ruled out before their texts meet."""
+    tested = []
+    real = m.linked
+
+    def counted(docs, pairs, size, percent):
+        tested.append(pairs.count())
+        return real(docs, pairs, size, percent)
+
+    monkeypatch.setattr(m, "linked", counted)
+    chooser = random.Random(4)
+    words = prose(6, 200, 10**6)
+    rows = [(i, " ".join(edited(words, chooser, 0.055))) for i in range(150)]
+    got = near_duplicates(documents(spark, rows), 4).collect()
+    assert plain_classes(rows, 4) == {r["doc_id"]: r["component_id"] for r in got}
+    assert sum(tested) < 150 * 149 / 2 / 4

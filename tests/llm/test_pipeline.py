@@ -4,9 +4,11 @@ import re
 from collections import Counter
 from pathlib import Path
 
+import sentencepiece
+
 import corpus_pipeline
 from reclink.llm import line_crf
-from reclink.llm.piece_viterbi import Encoder, Pieces
+from reclink.llm.piece_viterbi import MODEL
 from reclink.llm.queries import ORACLES, QUERIES
 from reclink.session import cut
 from tests.llm.helpers import MIDDLE, SMALL, documents, prose
@@ -81,8 +83,8 @@ def test_stages_against_plain_code(spark):
     assert abs(mixed - 1.5 * words) < 0.1 * words
 
     _, encoded = step("piece_encoding", four)
-    encoder = Encoder(Pieces.load())
-    ids = {r[0]: encoder.encode(r[1]) for r in taken}
+    library = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    ids = {r[0]: library.encode(r[1]) for r in taken}
     assert Counter(r["doc_id"] for r in encoded) == Counter(r[0] for r in taken)
     assert all(r["intact"] and r["ids"] == ids[r["doc_id"]] for r in encoded)
 
