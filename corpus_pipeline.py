@@ -57,8 +57,8 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def piece_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Piece ids of the greatest total score of each row, and whether they decode to its text."""
-    return encode_texts(docs, merges=False)
+    """Piece ids of each row by the merges of the model, and whether they decode to its text."""
+    return encode_texts(docs)
 
 
 STAGES = [
