@@ -214,11 +214,17 @@ def _star_pairs(open_rows: DataFrame, turn: int) -> DataFrame:
     copied from shares more with them than they share with each other. Later it is any class, by its hash.
     """
     order = F.struct("met", -F.col("id")) if turn == 0 else F.struct(F.xxhash64("id", F.lit(turn)), "id")
-    centre = F.max_by(F.struct("id", "comp", "n", "parity"), order).alias("_centre")
+    centre = F.max_by(F.struct("id", "comp", "n"), order).alias("_centre")
     found = open_rows.join(open_rows.groupBy("band").agg(centre), "band").where("comp != _centre.comp")
-    return found.select(
-        "id", "n", "parity", F.col("_centre.id").alias("id2"), F.col("_centre.n").alias("n2"), F.col("_centre.parity").alias("parity2")
-    )
+    return found.select("id", "n", F.col("_centre.id").alias("id2"), F.col("_centre.n").alias("n2"))
+
+
+def _with_parities(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Distinct pairs of classes whose sizes allow a link, with their parities, which few rows of a band carry."""
+    met = pairs.where(F.least("n", "n2") * 100 >= F.greatest("n", "n2") * percent).distinct()
+    left = classes.select("id", "n", "parity")
+    right = classes.select(*[F.col(c).alias(f"{c}2") for c in ("id", "n", "parity")])
+    return met.join(left, ["id", "n"]).join(right, ["id2", "n2"])
 
 
 def _all_pairs(open_rows: DataFrame, percent: int) -> DataFrame:
@@ -291,28 +297,35 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, bands: in
     lowest = members.groupBy("doc_id").agg(F.min("id").alias("_low"), F.max("id").alias("_high")).where("_low < _high")
     links = cut(members.join(lowest, "doc_id").where("id != _low").select(F.col("id").alias("left_id"), F.col("_low").alias("right_id")), "links")
 
-    banded = classes.select("id", "n", "parity", F.explode("bands").alias("band"))
+    banded = classes.select("id", "n", F.explode("bands").alias("band"))
     full = banded.groupBy("band").agg(F.count("*").alias("_n")).where("_n > 1")
     # A class has at most `bands` of them, so the lists are short.
-    nodes = banded.join(full, "band").groupBy("id", "n", "parity").agg(F.collect_list("band").alias("bands"), F.sum("_n").alias("met"))
+    nodes = banded.join(full, "band").groupBy("id", "n").agg(F.collect_list("band").alias("bands"), F.sum("_n").alias("met"))
     nodes = cut(nodes, "nodes")
+    # Rows of one id have one parity for each of its texts.
+    parities_of = classes.select("id", "n", "parity")
     texts = cut(_packed(docs, nodes.select("id")), "texts")
 
     labels = None if links.isEmpty() else components(links)
     tested, before, last = None, float("inf"), False
     while not last:
         if labels is None:
-            open_rows = nodes.select("id", "n", "parity", "met", F.col("id").alias("comp"), F.explode("bands").alias("band"))
+            open_rows = nodes.select("id", "n", "met", F.col("id").alias("comp"), F.explode("bands").alias("band"))
         else:
             placed = nodes.join(labels, "id", "left").withColumn("comp", F.coalesce("canon_id", "id"))
-            open_rows = placed.select("id", "n", "parity", "met", "comp", F.explode("bands").alias("band"))
+            open_rows = placed.select("id", "n", "met", "comp", F.explode("bands").alias("band"))
             mixed = open_rows.groupBy("band").agg(F.min("comp").alias("_a"), F.max("comp").alias("_b")).where("_a < _b")
             open_rows = cut(open_rows.join(mixed.select("band"), "band"), "open")
         left, crossing = _crossings(open_rows)
         if not crossing:
             break
         last = crossing <= LINEAR * left or crossing > before / 2
-        pairs = _oriented(_all_pairs(open_rows, percent) if last else _star_pairs(open_rows, 0 if tested is None else crossing), percent)
+        if last:
+            shown = cut(open_rows.drop("met").join(parities_of, ["id", "n"]), "shown")
+            pairs = _oriented(_all_pairs(shown, percent), percent)
+        else:
+            stars = _star_pairs(open_rows, 0 if tested is None else crossing)
+            pairs = _oriented(_with_parities(stars, parities_of, percent), percent)
         if tested is not None:
             pairs = pairs.join(tested, ["left_id", "right_id"], "left_anti")
         pairs = cut(pairs, "pairs")
