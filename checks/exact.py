@@ -12,8 +12,10 @@ from reclink.operators import addresses as A
 from reclink.operators import employers as E
 from reclink.operators.clean import clean_disclosure, clean_listing
 from reclink.plans.linkage import link_table, update_addresses, update_employers
+from reclink.plans.stored import run_employers
 from reclink.schemas import ADDRESS, EMPLOYER, EMPLOYER_ADDRESS_LINK, JOBSITE, OFFICE, ORDER_ADDRESS_LINK
-from reclink.session import cut
+from reclink.session import cut, scratch
+from reclink.sources.store import Store
 
 # Orders received before this date were linked by an earlier run.
 EARLIER = "1998-01-01"
@@ -176,6 +178,23 @@ def update_employers_second_run(t):
     return out.employers.select(*SHOWN)
 
 
+@query(
+    "store_difference",
+    "select coalesce(s.id, a.id) as id, case when s.id is null then 'added' when a.id is null then 'removed' else 'changed' end as change "
+    f"from (select {shown()} from {{stored}}) s full join (select {shown()} from {{all_second}}) a on a.id = s.id where s.id is null or a.id is null or "
+    + " or ".join(f"s.{c} is distinct from a.{c}" for c in SHOWN if c != "id"),
+)
+def store_difference(t):
+    """Employers before a run and after it, as two stored versions."""
+    store = Store(t.spark, scratch(t.spark, "store"))
+    first = store.commit({"disclosures": cleaned(t), "listings": clean_listing(t("payload_listings")), "employers": stored(t)})
+    second = run_employers(store)
+    shown_only = Store(t.spark, scratch(t.spark, "shown"))
+    shown_only.commit({"employers": store.read("employers", first).select(*SHOWN)})
+    shown_only.commit({"employers": store.read("employers", second).select(*SHOWN)}, base=1)
+    return shown_only.difference("employers", 1, 2, "id")
+
+
 # A later round: rows up to a date were linked by the first round, the rest are new.
 LATER = "1998-03-01"
 

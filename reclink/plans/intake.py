@@ -146,12 +146,13 @@ class ImportRun(NamedTuple):
     loaded: DataFrame
     queue: DataFrame
     rejects: DataFrame
+    rows: DataFrame | None = None
 
 
 def process_imports(spark: SparkSession, waiting: DataFrame, loaded: DataFrame, root: str, now: Column, n: int = 1) -> ImportRun:
     """Import the first n waiting files of the queue, append their rows, and mark the files as finished.
 
-    A file lies at root/bucket/object, or at root/object without a bucket, and is known by its path under root. The n file
+    `rows` are the new ones alone, None if no file waits. A file lies at root/bucket/object, or at root/object without a bucket, and is known by its path under root. The n file
     names come to the driver.
     """
     chosen = cut(queue.pending_imports(waiting, n), "pending")
@@ -162,7 +163,7 @@ def process_imports(spark: SparkSession, waiting: DataFrame, loaded: DataFrame,
     found = import_disclosure(spark, paths, loaded.select("file_name", "file_row"), root=root)
     rows = cut(found.rows, "imported")
     grown = loaded.unionByName(rows, allowMissingColumns=True)
-    return ImportRun(grown, queue.finish_imports(waiting, chosen, now), found.rejects)
+    return ImportRun(grown, queue.finish_imports(waiting, chosen, now), found.rejects, rows)
 
 
 class FeedRun(NamedTuple):

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -46,12 +49,26 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{_own_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+_SCOPE: ContextVar[str] = ContextVar("scope", default="")
+
+
 def _own_dir(spark: SparkSession) -> str:
-    return f"{shared_dir(spark)}/reclink/{spark.sparkContext.applicationId}"
+    return f"{shared_dir(spark)}/reclink/{spark.sparkContext.applicationId}{_SCOPE.get()}"
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """What scratch and cut write inside goes when the block ends; the block must store the results that read it."""
+    before = _SCOPE.set(f"{_SCOPE.get()}/run-{uuid.uuid4().hex}")
+    try:
+        yield
+    finally:
+        release(spark)
+        _SCOPE.reset(before)
 
 
 def release(spark: SparkSession) -> None:
-    """Delete what this application wrote by scratch and cut. Call it when the last result that reads them is stored."""
+    """Delete what this application, or the open scope, wrote by scratch and cut, when the last result that reads it is stored."""
     path = spark._jvm.org.apache.hadoop.fs.Path(_own_dir(spark))
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
