@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from checks.base import STEPS, query
 from reclink.operators import blocking as B
 from reclink.operators import clusters as C
 from reclink.operators import pairs as P
 from reclink.operators import training as L
+from reclink.plans.arrivals import run_arrivals, stored_links
 from reclink.plans.resolution import link_pipeline, link_records
 from reclink.schemas import CLUSTER_THRESHOLD, ENTITY_MAP, IDENTITY, TRAINING_RECALL
+from reclink.session import scratch
+from reclink.sources.store import Store
 
 RULES = (*B.EMPLOYER_RULES, B.Rule("rare", (B.Part("name", "rare", 4), B.Part("country"))))
 SIMILARITY = P.least_name_similarity()
@@ -377,6 +382,52 @@ def link_pipeline_query(t):
     return link_pipeline(t("employers"), entity_rows(t), refresh=True, rules=RULES)
 
 
+# Average linkage: each step merges, in every component, the two clusters of the highest mean score.
+STEPS["average_clusters"] = f"""
+with recursive steps(step, id, part, comp) as (
+  select 0, id, id, canon_id from {{clusters}}
+  union all
+  select s.step + 1, s.id, case when s.part = b.high then b.low else s.part end, s.comp
+  from steps s join (
+    select comp, low, high from (
+      select w.comp, w.low, w.high, round(w.total / (x.n * y.n), 9) as mean from (
+        select l.comp, least(l.part, r.part) as low, greatest(l.part, r.part) as high, sum(e.score) as total
+        from {{links}} e join steps l on l.id = e.left_id join steps r on r.id = e.right_id
+        where l.part != r.part group by 1, 2, 3) w
+      join (select part, count(*) as n from steps group by part) x on x.part = w.low
+      join (select part, count(*) as n from steps group by part) y on y.part = w.high) z
+    where mean > {CLUSTER_THRESHOLD}
+    qualify row_number() over (partition by comp order by mean desc, low, high) = 1) b on b.comp = s.comp
+)
+select id, arg_max(part, step) as canon_id from steps group by id
+"""
+
+
+@query("average_linkage", "select id, canon_id from {average_clusters}")
+def average_linkage(t):
+    return C.average_linkage(scored(t))
+
+
+# Rules without rare words, whose blocks do not change as records arrive.
+PLAIN = ["candidates", "vectors", "scored", "links", "ends", "clusters", "member_scores"]
+STEPS["plain_blocks"] = "select * from {blocks} where block_key not like 'rare:%'"
+for _name in PLAIN:
+    _text = STEPS[_name]
+    for _other in ["blocks", *PLAIN]:
+        _text = _text.replace(f"{{{_other}}}", f"{{plain_{_other}}}")
+    STEPS[f"plain_{_name}"] = _text
+
+
+@query("link_arrivals", f"select {SCORES} from {{plain_member_scores}}")
+def link_arrivals(t):
+    """Three arrivals, each linked against the stored state; the result is that of one run over all records."""
+    store = Store(t.spark, scratch(t.spark, "arrivals"))
+    third = F.pmod(F.crc32(F.col("id").cast("binary")), F.lit(3))
+    for number in range(3):
+        run_arrivals(store, t("employers").where(third == number), rules=B.EMPLOYER_RULES)
+    return stored_links(store)
+
+
 # Records in groups that agree on name, city and state, some large, with outsiders near one member.
 OF_GROUPS = [
     "rare_words", "blocks", "candidates", "vectors", "scored", "links", "ends", "clusters", "member_scores"

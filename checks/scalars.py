@@ -209,17 +209,20 @@ HAS = "coalesce(trim(scraped_data) not in ('', '{{}}', 'null'), false)"
 STEPS["lifted_listings"] = (
     "select * replace ("
     + ", ".join(f"case when {HAS} then {text} else {c} end as {c}" for c, text in LIFTED.items())
-    + f"), case when {HAS} then {FIXED_URL} end as apply_url from {{response_payloads}}"
+    + f"), case when {HAS} then {FIXED_URL} end as apply_url from {{payload_listings}}"
 )
 STEPS["cleaned_listings"] = f"""
 select * replace (case when {HAS} then {D.state('employer_state')} else employer_state end as employer_state,
   case when {HAS} then {D.phone('employer_phone', 'employer_country')} else employer_phone end as employer_phone)
 from {{lifted_listings}}
 """
+# The same steps over the payload of every response.
+STEPS["lifted_payloads"] = STEPS["lifted_listings"].replace("{payload_listings}", "{response_payloads}")
+STEPS["cleaned_payloads"] = STEPS["cleaned_listings"].replace("{lifted_listings}", "{lifted_payloads}")
 LISTED = ["dol_id", *P.PAYLOAD_FIELDS.values(), "employer_country"]
 
 
-@query("clean_listing", f"select {', '.join(LISTED)}, apply_url from {{cleaned_listings}}")
+@query("clean_listing", f"select {', '.join(LISTED)}, apply_url from {{cleaned_payloads}}")
 def clean_listing(t):
     return cleaned_payloads(t("response_payloads"))
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import heapq
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -90,3 +92,95 @@ def build_entity_map(scores: DataFrame, old: DataFrame, refresh: bool = False) -
 
 def _kept_or(processed: Column, added: Column) -> Column:
     return F.when(added, F.lit(False)).otherwise(processed)
+
+
+# Records of a component that one task takes; edges of larger ones are cut first.
+MAX_MEMBERS = 2000
+
+
+def _merged(ids: list, left: list, right: list, scores: list, threshold: float) -> dict:
+    """Smallest id of the cluster of each id: the two clusters of the highest mean score are merged while it is above.
+
+    The mean runs over all pairs of the two clusters; a pair without a score counts 0. Means are compared to nine decimal
+    places, and ties go to the smaller ids.
+    """
+
+    def mean(a, b) -> float:
+        return round(sums[a][b] / (len(members[a]) * len(members[b])), 9)
+
+    sums: dict = {i: {} for i in ids}
+    for a, b, score in zip(left, right, scores):
+        sums[a][b] = sums[b][a] = sums[a].get(b, 0.0) + score
+    members = {i: [i] for i in ids}
+    waiting = [(-mean(a, b), a, b) for a, near in sums.items() for b in near if a < b]
+    heapq.heapify(waiting)
+    while waiting and -waiting[0][0] > threshold:
+        minus, a, b = heapq.heappop(waiting)
+        # A pair whose clusters have changed since stands in the heap again under its new mean.
+        if a not in members or b not in members or -minus != mean(a, b):
+            continue
+        members[a] += members.pop(b)
+        for c, total in sums.pop(b).items():
+            del sums[c][b]
+            if c != a:
+                sums[a][c] = sums[c][a] = sums[a].get(c, 0.0) + total
+        for c in sums[a]:
+            heapq.heappush(waiting, (-mean(a, c), min(a, c), max(a, c)))
+    return {i: root for root, of in members.items() for i in of}
+
+
+def average_linkage(scored: DataFrame, threshold: float = CLUSTER_THRESHOLD, max_members: int = MAX_MEMBERS) -> DataFrame:
+    """Clusters (id, canon_id) of (left_id, right_id, score) rows by average linkage inside connected components.
+
+    A chain of links is one connected component, however unlike its ends are. Here two clusters become one only while the
+    mean score of all pairs between them is above the threshold; pairs that were not scored count 0. Every id with a pair
+    above the threshold gets a row; a cluster is named by its smallest id. Pairs between clusters of different components
+    have no score, so components are clustered apart, each in one task.
+
+    A component of more than `max_members` records is first cut: only its pairs above a higher threshold, half-way to 1,
+    connect it, and what comes apart is clustered apart, again and again until every part fits. Equal pairs count once,
+    with their highest score. Components that no threshold takes apart, as all their scores are 1, are one cluster.
+    """
+    ends = F.struct(F.least("left_id", "right_id").alias("left_id"), F.greatest("left_id", "right_id").alias("right_id"))
+    pairs = scored.where((F.col("score") > threshold) & (F.col("left_id") != F.col("right_id"))).select(ends.alias("p"), "score")
+    pairs = cut(pairs.groupBy("p").agg(F.max("score").alias("score")).select("p.*", "score"), "pairs")
+    waiting, floor, done = pairs, threshold, []
+    everyone = pairs.select(F.explode(F.array("left_id", "right_id")).alias("id")).distinct()
+    while True:
+        found = cut(components(waiting.where(F.col("score") > floor)), "parts")
+        sizes = found.groupBy("canon_id").agg(F.count("*").alias("n"))
+        large = cut(sizes.where(F.col("n") > max_members).select("canon_id"), "large")
+        settled = found.join(large, "canon_id", "left_anti")
+        if large.isEmpty() or floor >= 1 - 1e-9:
+            if not large.isEmpty():
+                done.append(found.join(large, "canon_id", "left_semi").select("id", "canon_id"))
+            done.append(_clustered(settled, waiting, threshold))
+            break
+        done.append(_clustered(settled, waiting, threshold))
+        inside = found.join(large, "canon_id", "left_semi")
+        left = inside.select(F.col("id").alias("left_id"), F.col("canon_id").alias("_part"))
+        right = inside.select(F.col("id").alias("right_id"), F.col("canon_id").alias("_other"))
+        met = waiting.join(left, "left_id").join(right, "right_id").where("_part = _other")
+        waiting, floor = cut(met.select("left_id", "right_id", "score"), "pairs"), (1 + floor) / 2
+    clustered = done[0]
+    for part in done[1:]:
+        clustered = clustered.unionByName(part)
+    # Records that only weaker pairs held in a large component are clusters of their own.
+    alone = everyone.join(clustered, "id", "left_anti").select("id", F.col("id").alias("canon_id"))
+    return clustered.unionByName(alone)
+
+
+def _clustered(parts: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
+    """Average linkage of each part (id, canon_id) over the pairs inside it."""
+    left = parts.select(F.col("id").alias("left_id"), F.col("canon_id").alias("part"))
+    right = parts.select(F.col("id").alias("right_id"), F.col("canon_id").alias("_other"))
+    inside = pairs.join(left, "left_id").join(right, "right_id").where("part = _other").select("part", "left_id", "right_id", "score")
+
+    def cluster(frame):
+        frame = frame.sort_values(["left_id", "right_id"])
+        a, b = frame["left_id"].tolist(), frame["right_id"].tolist()
+        found = _merged(sorted({*a, *b}), a, b, frame["score"].tolist(), threshold)
+        return type(frame)({"id": list(found), "canon_id": list(found.values())})
+
+    kind = parts.schema["id"].dataType.simpleString()
+    return inside.groupBy("part").applyInPandas(cluster, f"id {kind}, canon_id {kind}")

@@ -78,9 +78,11 @@ def _within_reach(left: Column, right: Column, similarity: float) -> Column:
     return F.call_function("levenshtein", left, right, budget) >= 0
 
 
-def _segment_pairs(members: DataFrame, similarity: float) -> DataFrame:
+def _segment_pairs(members: DataFrame, similarity: float, others: DataFrame | None = None) -> DataFrame:
     """Pairs inside large blocks, joined on (block, length, segment) rather than on the block alone.
 
+    With `others` the longer name of a pair is one of members and the shorter one of others, else both are of members.
+
     The longer name is cut into one more segment than its edit budget, so a name within the budget holds one of the
     segments unchanged, moved by a bounded distance (partition filter for edit distance, Li et al. 2011). The shorter
     name offers its substrings for every length it could match. No pair within reach is lost.
@@ -99,7 +101,7 @@ def _segment_pairs(members: DataFrame, similarity: float) -> DataFrame:
     )
 
     longest_match = F.floor(F.length("name") / F.lit(similarity) + F.lit(1e-9)).cast("int")
-    probe = members.withColumn("size", F.explode(F.sequence(F.length("name"), longest_match)))
+    probe = (members if others is None else others).withColumn("size", F.explode(F.sequence(F.length("name"), longest_match)))
     probe = probe.withColumn("budget", edit_budget(F.col("size"), similarity))
     probe = probe.withColumn("segment", F.explode(F.sequence(F.lit(0), F.col("budget"))))
     grown = F.length("name") - F.col("size")
@@ -153,6 +155,36 @@ def block_pairs(
     return met.select("block_key", "left_id", "right_id").unionByName(_segment_pairs(large, similarity).distinct())
 
 
+def arrival_pairs(
+    new: DataFrame, old: DataFrame, records: DataFrame, similarity: float, name_field: str = "name", id_col: str = "id", max_block: int = MAX_BLOCK
+) -> DataFrame:
+    """Distinct pairs (left id < right id) of which at least one stands in `new`; both sides hold (block_key, id).
+
+    Same pairs as block_pairs over both, without those of two old records, which no join here can meet: new ones meet new
+    ones, and new ones meet old ones. Only blocks that hold a new record are read on.
+    """
+    names = records.select(F.col(id_col).alias("id"), name_key(name_field).alias("name")).where("name is not null")
+    touched = new.select("block_key").distinct()
+    fresh = new.withColumn("fresh", F.lit(True)).unionByName(old.join(touched, "block_key", "left_semi").withColumn("fresh", F.lit(False)))
+    marks = fresh.select("block_key", "id", "fresh")
+    members = cut(cap_blocks(marks.drop("fresh"), max_block).join(marks, ["block_key", "id"]).join(names, "id"), "arrival-members")
+
+    def side(of_new: bool, large: bool) -> DataFrame:
+        return members.where((F.col("fresh") == of_new) & (F.col("oversized") == large)).select("block_key", "id", "name")
+
+    def small_pairs(of_new: bool) -> DataFrame:
+        a = side(True, False).select("block_key", F.col("id").alias("a_id"), F.col("name").alias("a_name"))
+        b = side(of_new, False).select("block_key", F.col("id").alias("b_id"), F.col("name").alias("b_name"))
+        apart = F.col("a_id") < F.col("b_id") if of_new else F.col("a_id") != F.col("b_id")
+        met = a.join(b, "block_key").where(apart & _within_reach(F.col("a_name"), F.col("b_name"), similarity))
+        return met.select(F.least("a_id", "b_id").alias("left_id"), F.greatest("a_id", "b_id").alias("right_id"))
+
+    found = small_pairs(True).unionByName(small_pairs(False))
+    for one, other in ((True, True), (True, False), (False, True)):
+        found = found.unionByName(_segment_pairs(side(one, True), similarity, side(other, True)).drop("block_key"))
+    return found.distinct()
+
+
 def candidate_pairs(
     blocks: DataFrame,
     records: DataFrame,
