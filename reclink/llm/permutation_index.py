@@ -22,11 +22,10 @@ PIVOTS = 256
 SAMPLE = 2000
 PREFIX = 128
 
-# Share of the vectors of a block that are reranked, at least so many of them; vectors and queries of a block.
+# Share of the vectors of a block that are reranked, at least so many of them; vectors of a block.
 RERANK = 0.25
 LEAST = 256
 BLOCK = 8192
-QUERY_BLOCK = 512
 
 
 def usable(vectors: DataFrame, id_column: str = "vec_id", vector: str = "embedding") -> DataFrame:
@@ -38,18 +37,21 @@ def usable(vectors: DataFrame, id_column: str = "vec_id", vector: str = "embeddi
     return found.where(F.col("_whole") & F.exists("v", lambda x: x != 0)).select("vec_id", "v")
 
 
-def choose_pivots(found: DataFrame, pivots: int = PIVOTS, sample: int = SAMPLE) -> np.ndarray:
-    """Pivots that lie far apart, from the `sample` vectors of the smallest hashes; a row for each.
+def choose_pivots(found: DataFrame, pivots: int = PIVOTS, sample: int = SAMPLE) -> dict[int, np.ndarray]:
+    """For each length of vectors, pivots that lie far apart, from the `sample` vectors of the smallest hashes.
 
     Equal vectors have one hash and are drawn once. The sample comes to the driver; its size is fixed. Starting from the
-    vector nearest to the mean, the next pivot is the one farthest from all so far.
+    vector nearest to the mean, the next pivot is the one farthest from all so far. Lengths that the sample lacks get none.
     """
     marked = found.select(F.xxhash64("v").alias("mark"), "v").groupBy("mark").agg(F.min("v").alias("v"))
     rows = marked.orderBy("mark").limit(sample).collect()
-    if not rows:
-        return np.empty((0, 0))
-    width = max(len(r["v"]) for r in rows)
-    data = np.array([r["v"] for r in rows if len(r["v"]) == width])
+    lengths: dict[int, list] = {}
+    for row in rows:
+        lengths.setdefault(len(row["v"]), []).append(row["v"])
+    return {length: _far_apart(np.array(drawn), pivots) for length, drawn in lengths.items()}
+
+
+def _far_apart(data: np.ndarray, pivots: int) -> np.ndarray:
     chosen = [int(np.argmin(((data - data.mean(0)) ** 2).sum(1)))]
     apart = ((data - data[chosen[0]]) ** 2).sum(1)
     while len(chosen) < min(pivots, len(data)) and apart.max() > 0:
@@ -119,41 +121,40 @@ def search(
 
     Equal vectors are one entry of the index, with its k + 1 smallest ids, of which no more can be among k neighbours; they
     are cut down in each task before the shuffle. The entries are indexed in blocks of about BLOCK, each of which holds its
-    inverted files in one task; blocks of queries are copied to all of them, as a stated query set against all rows. A
-    block returns its k nearest rows for each query, so nothing larger is shuffled or sorted later.
+    inverted files in one task; all queries, a hundredth of the rows, are copied to each of them, as a stated query set
+    against all rows. Vectors of each length are an index of their own: no distance joins different lengths. A block returns its k nearest rows for each query, so nothing larger is shuffled or sorted later.
 
     Edge cases: vectors that are null, zero, or hold a null or non-finite component take no part, nor do rows with a null
-    id. Vectors of another length than the pivots take no part. Repeated rows (one id, one vector) count once; an id with
+    id. A vector is compared with those of its own length; a length that the sample of pivots lacks takes pivots from each
+    block. Repeated rows (one id, one vector) count once; an id with
     several vectors takes part with each, and never is its own neighbour. If there are fewer candidates, all are returned.
     Other columns are not read; an empty table gives an empty result.
     """
     spark = vectors.sparkSession
     found = cut(usable(vectors, id_column, vector).distinct(), "vectors")
     chosen = choose_pivots(found, pivots)
-    width = chosen.shape[1] if len(chosen) else 0
-    found = found.where(F.size("v") == width)
     first = Window.partitionBy("v").orderBy("vec_id")
     kept = found.withColumn("_rank", F.row_number().over(first)).where(F.col("_rank") <= k + 1)
     entries = kept.select("vec_id", "v")
     asked = found.where(F.col("vec_id") % every == 0)
     blocks = max(1, -(-found.count() // BLOCK))
-    query_blocks = F.pmod(F.xxhash64("vec_id", F.lit(3)), F.lit(max(1, -(-asked.count() // QUERY_BLOCK))))
     placed = entries.select(F.pmod(F.xxhash64("v", F.lit(5)), F.lit(blocks)).alias("block"), "vec_id", "v")
     every_block = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long")))
-    copied = asked.select(query_blocks.alias("turn"), "vec_id", "v", every_block.alias("block"))
+    copied = asked.select("vec_id", "v", every_block.alias("block"))
     shared = spark.sparkContext.broadcast(chosen)
 
     def meet(index: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         out = pd.DataFrame(columns=["query_id", "vec_id", "score"])
         if len(index) and len(queries):
             data = np.array(index["v"].tolist(), float)
+            known = shared.value.get(data.shape[1])
             order = np.argsort(queries["vec_id"].to_numpy(), kind="stable")
             rows = nearest_in_block(
                 index["vec_id"].to_numpy(),
                 data,
                 queries["vec_id"].to_numpy()[order],
                 np.array(queries["v"].tolist(), float)[order],
-                shared.value,
+                known if known is not None else _far_apart(data[:SAMPLE], pivots),
                 k,
                 prefix,
                 share,
@@ -162,8 +163,8 @@ def search(
         return out.astype({"query_id": "int64", "vec_id": "int64", "score": "float64"})
 
     best = (
-        placed.groupBy("block")
-        .cogroup(copied.groupBy("block"))
+        placed.groupBy(F.size("v").alias("size"), "block")
+        .cogroup(copied.groupBy(F.size("v").alias("size"), "block"))
         .applyInPandas(meet, "query_id long, vec_id long, score double")
         .groupBy("query_id", "vec_id")
         .agg(F.min("score").alias("score"))

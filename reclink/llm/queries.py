@@ -87,6 +87,18 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_round_trip(table(spark, sf_dir, "pages"))
 
 
+# The first page of each payload of at least 100 bytes is its response.
+ORACLES["op8_warc"] = """
+with payloads as (
+  select page_id, octet_length(encode(coalesce(html, ''))) as payload_bytes, sha256(coalesce(html, '')) as payload_digest from pages),
+firsts as (select payload_digest, min(page_id) as first from payloads where payload_bytes >= 100 group by 1)
+select p.page_id, cast(p.payload_bytes as bigint) as payload_bytes, p.payload_digest,
+  case when f.first < p.page_id then 'revisit' else 'response' end as record_type,
+  case when f.first < p.page_id then f.first end as refers_to
+from payloads p left join firsts f on f.payload_digest = p.payload_digest and p.payload_bytes >= 100
+"""
+
+
 @query
 def op9_cross_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every text by cross-parsing against samples of the rows that are not held out."""

@@ -64,9 +64,8 @@ def test_recall_on_the_table(spark):
 
 
 def test_blocks_agree_with_brute_force(spark, monkeypatch):
-    """Several blocks of entries and queries; reranking everything makes the search exact."""
+    """Several blocks of entries; reranking everything makes the search exact."""
     monkeypatch.setattr(p, "BLOCK", 50)
-    monkeypatch.setattr(p, "QUERY_BLOCK", 7)
     random = np.random.Generator(np.random.PCG64(5))
     rows = [(i, random.normal(size=8).tolist()) for i in range(300)]
     assert listed(search(frame(spark, rows), every=10, share=1.0)) == plain(rows, 10, 10)
@@ -83,3 +82,19 @@ def test_hot_vector_and_edge_cases(spark):
     few = [(0, [1.0, 0.0]), (5, [0.0, 1.0]), (100, [1.0, 1.0])]
     assert listed(search(frame(spark, few), every=100)) == plain(few, 100, 10)
     assert search(frame(spark, few).limit(0)).count() == 0
+
+
+def test_each_length_is_an_index(spark, monkeypatch):
+    """Vectors of other lengths, also one that the sample lacks, leave the results of the others alone."""
+    random = np.random.Generator(np.random.PCG64(9))
+    rows = [(i, random.normal(size=4).tolist()) for i in range(300)]
+    alone = listed(search(frame(spark, rows), every=100))
+    odd = [(300 + i, random.normal(size=5).tolist()) for i in range(1, 4)]
+    assert listed(search(frame(spark, rows + odd[:1]), every=100)) == alone
+    monkeypatch.setattr(p, "SAMPLE", 40)
+    more = odd + [(700, random.normal(size=5).tolist()), (800, random.normal(size=7).tolist())]
+    got = listed(search(frame(spark, rows + more), every=100, share=1.0))
+    wanted = plain(rows, 100, 10)
+    assert {q: got[q] for q in wanted} == wanted
+    assert got[700] == plain(more[:-1], 700, 10)[700]
+    assert set(got) == {*wanted, 700}
