@@ -354,35 +354,6 @@ def canonicalize_clusters_errors(t):
     return clustered(t).errors.select("canon_id", *IDENTITY)
 
 
-# Employers that no map row names stand alone: here those of every fourth employer.
-STEPS["part_map"] = "select * from {entity_map} where cast(substr(employer_record_id, 2) as bigint) % 8 not in (4, 5)"
-PART = {"{entity_map}": "{part_map}"} | {
-    f"{{{name}}}": f"{{part_{name}}}"
-    for name in ("eligible", "waiting_clusters", "fresh_members", "cells", "medoids", "canon", "matched", "assigned", "hits",
-                 "partly", "partly_hits", "spans", "created")
-}
-
-
-def of_part(text: str) -> str:
-    """A step over the smaller map."""
-    for name, other in PART.items():
-        text = text.replace(name, other)
-    return text
-
-
-for _name in list(PART)[1:]:
-    STEPS[f"part_{_name[1:-1]}"] = of_part(STEPS[_name[1:-1]])
-STEPS["all_singles"] = """
-select e.id as employer_id, md5(concat('employer:', e.id)) as id, e.name, e.trade_name_dba, e.city, e.state, e.country,
-  e.phone, e.source as sources, e.first_seen, e.last_seen
-from {linked_employers} e where e.unique_employer_id is null and e.id not in (select employer_record_id from {part_map})
-"""
-STEPS["every_unique"] = (
-    f"select {COLUMNS} from {{uniques}} union all select {COLUMNS} from {{part_created}} "
-    f"union all select {COLUMNS} from {{all_singles}}"
-)
-
-
 # The whole map, and beside it employers that no row of it names: copies of every fourth employer under other ids.
 STEPS["more_employers"] = """
 select * from {linked_employers} union all
