@@ -93,17 +93,19 @@ def length_histogram(lengths: DataFrame) -> DataFrame:
 def truncated_totals(histogram: DataFrame, limits: list[int]) -> DataFrame:
     """(context_limit, documents_cut, truncated_total) for any limits: documents longer than a limit, and the tokens left.
 
-    Between two lengths the total grows by the documents longer than both, so the next longer length answers.
+    The suffix sums at the next longer length answer: they count the documents that are cut, and the tokens in them. One row
+    for each different limit, also over an empty histogram, where all counts are 0. The histogram is read once.
     """
-    spark = histogram.sparkSession
-    wanted = spark.createDataFrame([(int(x),) for x in limits], "context_limit long")
-    longer = F.col("n_tokens") > F.col("context_limit")
-    per = F.broadcast(wanted)
-    met = histogram.join(per, F.lit(True)).groupBy("context_limit").agg(
-        F.coalesce(F.sum(F.when(longer, F.col("documents"))), F.lit(0)).alias("documents_cut"),
-        F.sum(F.least("n_tokens", "context_limit") * F.col("documents")).alias("truncated_total"),
-    )
-    return met
+    wanted = sorted({int(x) for x in limits})
+    sums = F.struct("n_tokens", "at_least", "tokens_at_least")
+    longer = [F.min(F.when(F.col("n_tokens") > limit, sums)).alias(f"_{i}") for i, limit in enumerate(wanted)]
+    whole = histogram.agg(F.coalesce(F.sum("tokens"), F.lit(0)).alias("_all"), *longer)
+    rows = []
+    for i, limit in enumerate(wanted):
+        cut_off, inside = (F.coalesce(F.col(f"_{i}.{name}"), F.lit(0)) for name in ("at_least", "tokens_at_least"))
+        total = F.col("_all") - inside + cut_off * F.lit(limit).cast("long")
+        rows.append(F.struct(F.lit(limit).cast("long").alias("context_limit"), cut_off.alias("documents_cut"), total.alias("truncated_total")))
+    return whole.select(F.inline(F.array(*rows)))
 
 
 def length_quantiles(histogram: DataFrame, shares: list[float]) -> DataFrame:

@@ -39,3 +39,14 @@ def test_edge_cases(spark):
     histogram = length_histogram(token_lengths(docs))
     assert sum(r["documents"] for r in histogram.collect()) == 7
     assert length_histogram(token_lengths(docs.limit(0))).count() == 0
+
+
+def test_limits_over_any_histogram(spark):
+    """Limits between, at, under and over the lengths, repeated ones, and an empty histogram."""
+    lengths = [0, 3, 3, 7, 20]
+    table = spark.createDataFrame([(i, n) for i, n in enumerate(lengths)], "doc_id long, n_tokens long")
+    limits = [0, 1, 3, 5, 7, 19, 20, 50, 5]
+    got = {r["context_limit"]: (r["documents_cut"], r["truncated_total"]) for r in truncated_totals(length_histogram(table), limits).collect()}
+    assert got == {x: (sum(n > x for n in lengths), sum(min(n, x) for n in lengths)) for x in limits}
+    none = truncated_totals(length_histogram(table.limit(0)), [4, 9]).collect()
+    assert sorted(tuple(r) for r in none) == [(4, 0, 0), (9, 0, 0)]
