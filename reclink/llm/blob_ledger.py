@@ -2,8 +2,11 @@
 
 A blob is a text named by its SHA-256. The ledger is a Parquet table with a row for each blob and rule version that was
 scanned. A scan reads only blobs with a rule version that the ledger lacks, appends what it found, and joins the findings
-of the ledger back to the documents it was given. The ledger holds no paths: documents of earlier scans are not returned,
-and after a change of rules only blobs of the given documents are scanned again.
+of the ledger back to the documents it was given.
+
+Beside the ledger lies a table of paths: which document held which blob in which version. `history` joins the findings to
+every path of every version, old and new. After a change of rules only blobs of the given documents are scanned again,
+since the ledger keeps addresses and no texts; `history` says how many rule versions a blob still waits for.
 """
 
 from __future__ import annotations
@@ -15,7 +18,7 @@ from dataclasses import dataclass
 
 import zstandard
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reclink.llm.common import map_rows
@@ -148,6 +151,53 @@ def update_ledger(docs: DataFrame, path: str, rules: tuple[Rule, ...] = RULES) -
     return open_ledger(spark, path)
 
 
+def open_paths(spark: SparkSession, path: str, id_type: str = "bigint") -> DataFrame:
+    """(doc_id, version, blob) of every document that was scanned through the ledger at a path."""
+    try:
+        return spark.read.schema(f"doc_id {id_type}, version bigint, blob binary").parquet(f"{path}-paths")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], f"doc_id {id_type}, version bigint, blob binary")
+
+
+def record_paths(docs: DataFrame, path: str, version: int | None = None) -> int:
+    """Note which blob each document holds in a version, by default the one after the last; returns the version.
+
+    Equal rows are noted once. A version that is noted again, as after a run that failed, adds only what it lacks.
+    """
+    spark = docs.sparkSession
+    known = open_paths(spark, path, docs.schema["doc_id"].dataType.simpleString())
+    if version is None:
+        version = 1 + (known.agg(F.max("version")).first()[0] or 0)
+    noted = known.where(F.col("version") == version).select(F.col("doc_id").alias("_id"), F.col("blob").alias("_blob"))
+    held = blobs(docs).distinct()
+    lacking = held.join(noted, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("blob") == F.col("_blob")), "left_anti")
+    lacking.select("doc_id", F.lit(version).cast("long").alias("version"), "blob").write.mode("append").parquet(f"{path}-paths")
+    return version
+
+
+def history(spark: SparkSession, path: str, rules: tuple[Rule, ...] = RULES, id_type: str = "bigint") -> DataFrame:
+    """Findings of every document in every version that was scanned through the ledger at a path.
+
+    Returns doc_id, version, blob, n_<kind> for the base kinds, base, spans (see findings), and pending: how many of the
+    rules, in their versions, were never applied to the blob. Paths of one hot blob meet one row of findings each.
+    """
+    ledger = open_ledger(spark, path)
+    current = ledger.where(F.col("rule").isin([r.key for r in rules]))
+    applied = current.select("blob", "rule").distinct().groupBy("blob").agg(F.count("*").alias("applied"))
+    paths = open_paths(spark, path, id_type).distinct()
+    joined = paths.join(applied, "blob", "left").join(findings(ledger, rules), "blob", "left")
+    pending = F.lit(len(rules)) - F.coalesce("applied", F.lit(0))
+    return joined.select("doc_id", "version", "blob", *_filled(rules), pending.alias("pending"))
+
+
+def _filled(rules: tuple[Rule, ...]) -> list[Column]:
+    """Counts and lists of a blob; zeros and empty lists for one without findings."""
+    zero = [F.coalesce(f"n_{r.kind}", F.lit(0)).alias(f"n_{r.kind}") for r in rules if r.base]
+    return [*zero, F.coalesce("base", F.lit("")).alias("base"), F.coalesce("spans", F.lit("")).alias("spans")]
+
+
 def findings(ledger: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """(blob, n_<kind> of the base kinds, base, spans) of blobs in which a current rule version found something.
 
@@ -184,8 +234,8 @@ def findings(ledger: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     )
 
 
-def scan_secrets(docs: DataFrame, path: str, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """Findings of each row of docs by doc_id, after an update of the ledger at `path`.
+def scan_secrets(docs: DataFrame, path: str, rules: tuple[Rule, ...] = RULES, version: int | None = None) -> DataFrame:
+    """Findings of each row of docs by doc_id, after an update of the ledger and the paths at `path`.
 
     Returns doc_id, n_<kind> for the base kinds, base and spans (see findings); rows without a finding have zeros and empty
     lists. Findings are few next to paths, and each path meets at most one row of them, so copies cost one join row each;
@@ -195,10 +245,9 @@ def scan_secrets(docs: DataFrame, path: str, rules: tuple[Rule, ...] = RULES) ->
     results, other columns are not read, and an empty table gives an empty result. The spans of one text are collected in
     one row, which the text itself bounds.
     """
+    record_paths(docs, path, version)
     found = findings(update_ledger(docs, path, rules), rules)
-    joined = blobs(docs).join(found, "blob", "left")
-    zero = [F.coalesce(f"n_{r.kind}", F.lit(0)).alias(f"n_{r.kind}") for r in rules if r.base]
-    return joined.select("doc_id", *zero, F.coalesce("base", F.lit("")).alias("base"), F.coalesce("spans", F.lit("")).alias("spans"))
+    return blobs(docs).join(found, "blob", "left").select("doc_id", *_filled(rules))
 
 
 def redact(docs: DataFrame, path: str, rules: tuple[Rule, ...] = RULES) -> DataFrame:

@@ -6,7 +6,7 @@ import re
 import string
 from dataclasses import replace
 
-from reclink.llm.blob_ledger import RULES, open_ledger, redact, scan, scan_secrets, unseen, update_ledger
+from reclink.llm.blob_ledger import RULES, history, open_ledger, open_paths, record_paths, redact, scan, scan_secrets, unseen, update_ledger
 from reclink.session import scratch
 from tests.llm.helpers import MIDDLE, documents, prose, texts
 
@@ -93,6 +93,32 @@ def test_second_scan_reads_only_what_is_new(spark):
     assert rows == {1: "assign:0:18", 5: "", 6: "access:0:5"}
 
 
+def test_findings_reach_every_path_of_every_version(spark):
+    path = scratch(spark, "ledger")
+    one, two = "token = abcdefghij", "plain words"
+    scan_secrets(documents(spark, [(1, one), (2, two), (2, two), (None, None)]), path).collect()
+    # In the second version a secret is taken out of 1 and copied to 3; in the third 1 holds it again.
+    scan_secrets(documents(spark, [(1, two), (3, one)]), path).collect()
+    scan_secrets(documents(spark, [(1, one)]), path).collect()
+    assert open_ledger(spark, path).count() == 3 * len(RULES)
+    found = {(r["doc_id"], r["version"]): (r["n_assign"], r["spans"], r["pending"]) for r in history(spark, path).collect()}
+    hit, none = (1, "assign:0:18", 0), (0, "", 0)
+    assert found == {(1, 1): hit, (2, 1): none, (None, 1): none, (1, 2): none, (3, 2): hit, (1, 3): hit}
+
+    # A new rule version reaches the blobs that are given again; the others wait for it.
+    newer = tuple(replace(r, version=9) if r.kind == "assign" else r for r in RULES)
+    scan_secrets(documents(spark, [(1, one)]), path, newer).collect()
+    waiting = {(r["doc_id"], r["version"]): r["pending"] for r in history(spark, path, newer).collect()}
+    assert waiting == {(1, 1): 0, (2, 1): 1, (None, 1): 1, (1, 2): 1, (3, 2): 0, (1, 3): 0, (1, 4): 0}
+
+    # A version that is noted again adds what it lacks.
+    before = open_paths(spark, path).count()
+    assert record_paths(documents(spark, [(1, one), (7, two)]), path, version=3) == 3
+    assert open_paths(spark, path).count() == before + 1
+    assert open_paths(spark, scratch(spark, "ledger")).count() == 0
+    assert history(spark, scratch(spark, "ledger")).count() == 0
+
+
 def test_repeated_append_changes_nothing(spark):
     path = scratch(spark, "ledger")
     docs = documents(spark, [(1, "token = abcdefghij")])
