@@ -72,24 +72,23 @@ def new_employer_keys(raw: DataFrame, employers: DataFrame, slug_mode: str = "lo
 def new_employers(raw: DataFrame, employers: DataFrame, slug_mode: str = "lower") -> DataFrame:
     """An employer for every new key, over all rows that carry the key.
 
-    New keys are found among the unlinked rows alone. Only rows with one of those keys are aggregated, linked ones too:
-    their dates and texts count. They are first reduced to distinct spellings with their dates, by a hash aggregation in
-    their own tasks; slugs, keys and text maxima, whose buffers need a sort, are computed for the spellings only.
+    The rows are read once. They are reduced to distinct spellings with their dates, and whether some row of the spelling
+    waits for an employer, by a hash aggregation in their own tasks; keys, slugs and text maxima, whose buffers need a
+    sort, are computed for the spellings only. A key is new if a waiting row carries it and no employer holds it; linked
+    rows with the key count too, by their dates and texts.
     """
     slug = SLUGS[slug_mode]
     columns = list(RAW_COLUMNS.values())
     named = raw.where(F.col("employer_name").isNotNull())
-    open_spellings = named.where(F.col("employer_record_id").isNull()).select(*columns).distinct()
-    fresh = (
-        open_spellings.select(raw_key(slug_mode).alias("id"))
-        .distinct()
-        .join(_known_keys(employers), F.col("id") == F.col("_key"), "left_anti")
-    )
     spellings = (
-        named.select(*columns, "source", "first_seen", "last_seen", raw_key(slug_mode).alias("id"))
-        .join(fresh, "id", "left_semi")
-        .groupBy("id", *columns, "source")
-        .agg(F.min("first_seen").alias("first_seen"), F.max("last_seen").alias("last_seen"))
+        named.groupBy(*columns, "source")
+        .agg(
+            F.min("first_seen").alias("first_seen"),
+            F.max("last_seen").alias("last_seen"),
+            F.bool_or(F.col("employer_record_id").isNull()).alias("_waits"),
+        )
+        .withColumn("id", raw_key(slug_mode))
+        .join(_known_keys(employers), F.col("id") == F.col("_key"), "left_anti")
     )
     merged = spellings.groupBy("id").agg(
         *[F.max(column).alias(field) for field, column in RAW_COLUMNS.items()],
@@ -98,8 +97,9 @@ def new_employers(raw: DataFrame, employers: DataFrame, slug_mode: str = "lower"
         F.min("first_seen").alias("first_seen"),
         F.max("last_seen").alias("last_seen"),
         F.max("source").alias("source"),
+        F.bool_or("_waits").alias("_waits"),
     )
-    return merged.withColumn("unique_employer_id", F.lit(None).cast("string"))
+    return merged.where("_waits").drop("_waits").withColumn("unique_employer_id", F.lit(None).cast("string"))
 
 
 def link_employers(raw: DataFrame, employers: DataFrame, slug_mode: str = "lower") -> DataFrame:
