@@ -308,6 +308,77 @@ def choose_block_rules(t):
     return L.choose_block_rules(t("employers"), t("labels_true"), RULES)
 
 
+# The search for conjunctions of parts, one level after the other.
+def part_sql(p: B.Part) -> str:
+    text = f"lower(trim({p.field}))"
+    key = {"whole": text, "prefix": f"substr({text}, 1, {p.size})", "tokens": f"array_to_string(list_sort({words(p.field)}), ' ')"}
+    return f"select id, {{number}} as p, {key[p.kind]} as k from {{{{employers}}}} where {text} != ''"
+
+
+STEPS["rule_parts"] = " union all ".join(part_sql(p).format(number=i) for i, p in enumerate(L.RULE_PARTS))
+STEPS["part_names"] = "select * from (values " + ", ".join(f"({i}, '{L.part_name(p)}')" for i, p in enumerate(L.RULE_PARTS)) + ") v(p, name)"
+STEPS["agreed"] = """
+select l.left_id, l.right_id, a.p from {labels_true} l join {rule_parts} a on a.id = l.left_id
+join {rule_parts} b on b.id = l.right_id and b.p = a.p and b.k = a.k
+"""
+# Two of them are beginnings of one field.
+NESTED = [(i, j) for i, a in enumerate(L.RULE_PARTS) for j, b in enumerate(L.RULE_PARTS) if i < j and L._nested([a, b])]
+BOUND = f"{L.PAIRS_PER_RECORD} * (select count(*) from {{employers}})"
+
+
+def level_sql(combos: str, size: int) -> str:
+    """Names, matches and pairs of combinations p1, p2, ... of parts."""
+    at = range(1, size + 1)
+    ps, ks = ", ".join(f"c.p{i}" for i in at), ", ".join(f"x{i}.k" for i in at)
+    same = " and ".join(f"c.p{i} = o.p{i}" for i in at)
+    keyed = " ".join(f"join {{rule_parts}} x{i} on x{i}.p = c.p{i}" + (" and x1.id = x%d.id" % i if i > 1 else "") for i in at)
+    met = " ".join(
+        f"join {{agreed}} a{i} on a{i}.p = c.p{i}"
+        + (f" and a{i}.left_id = a1.left_id and a{i}.right_id = a1.right_id" if i > 1 else "")
+        for i in at
+    )
+    names = " || '&' || ".join(f"n{i}.name" for i in at)
+    named = " ".join(f"join {{part_names}} n{i} on n{i}.p = c.p{i}" for i in at)
+    grouped = ps.replace("c.", "")
+    return f"""
+select {ps}, {names} as rule, coalesce(m.covered, 0) as covered, coalesce(o.n_pairs, 0) as n_pairs from {combos} c {named}
+left join (select {grouped}, cast(sum(n * (n - 1) // 2) as bigint) as n_pairs
+  from (select {ps}, {ks}, count(*) as n from {combos} c {keyed} group by {ps}, {ks}) z group by {grouped}) o on {same}
+left join (select {ps}, count(*) as covered from {combos} c {met} group by {ps}) m on {same.replace("o.", "m.")}
+"""
+
+
+STEPS["combos_1"] = "select p as p1 from {part_names}"
+STEPS["searched_1"] = level_sql("{combos_1}", 1)
+STEPS["combos_2"] = f"""
+select a.p1, b.p1 as p2 from {{searched_1}} a join {{searched_1}} b on a.p1 < b.p1
+where least(a.covered, b.covered) > 0 and least(a.n_pairs, b.n_pairs) > {BOUND}
+  and (a.p1, b.p1) not in ({", ".join(map(str, NESTED))})
+"""
+STEPS["searched_2"] = level_sql("{combos_2}", 2)
+STEPS["combos_3"] = f"""
+select a.p1, a.p2, b.p2 as p3 from (select * from {{searched_2}} where covered > 0 and n_pairs > {BOUND}) a
+join (select * from {{searched_2}} where covered > 0 and n_pairs > {BOUND}) b on a.p1 = b.p1 and a.p2 < b.p2
+join (select * from {{searched_2}} where covered > 0 and n_pairs > {BOUND}) c on c.p1 = a.p2 and c.p2 = b.p2
+"""
+STEPS["searched_3"] = level_sql("{combos_3}", 3)
+STEPS["searched"] = " union all ".join(
+    f"select rule, {i} as n_parts, covered, n_pairs, covered > 0 and n_pairs <= {BOUND} as admitted from {{searched_{i}}}" for i in (1, 2, 3)
+)
+
+
+@query("search_rules", "select rule, n_parts, covered, n_pairs, admitted from {searched}")
+def search_rules(t):
+    found, _ = L.search_rules(t("employers"), t("labels_true"))
+    rows = [(f.rule.name, len(f.rule.parts), f.covered, f.n_pairs, f.admitted) for f in found]
+    return t.spark.createDataFrame(rows, "rule string, n_parts int, covered bigint, n_pairs bigint, admitted boolean")
+
+
+@query("learn_block_rules")
+def learn_block_rules(t):
+    return L.learn_block_rules(t("employers"), t("labels_true"))[1]
+
+
 HIT = f"coalesce(s.score > {CLUSTER_THRESHOLD}, false)"
 STEPS["quality"] = f"""
 select count(*) filter (where {HIT} and is_match) as tp, count(*) filter (where {HIT} and not is_match) as fp,

@@ -75,6 +75,11 @@ def _joined(rule: Rule, keys: list[Column]) -> Column:
     return F.when(complete, F.concat(F.lit(rule.name + ":"), F.concat_ws("|", *keys)))
 
 
+def plain_keys(rules) -> Column:
+    """Keys of a record under each rule without rare words; null where a part is missing."""
+    return F.array(*[_joined(r, [part_key(p) for p in r.parts]) for r in rules])
+
+
 def shares_a_block(rules, same: list[str]) -> bool:
     """Whether records that agree on the fields, none of them empty, always meet in a block of some rule."""
     return any(all(p.field in same and p.kind != "rare" for p in rule.parts) for rule in rules)
@@ -99,8 +104,7 @@ def block_keys(df: DataFrame, rules=EMPLOYER_RULES, id_col: str = "id") -> DataF
     rare = [r for r in rules if r.parts[0].kind == "rare"]
     out = None
     if plain:
-        keys = F.array(*[_joined(r, [part_key(p) for p in r.parts]) for r in plain])
-        out = df.select(F.col(id_col).alias("id"), F.explode(keys).alias("block_key")).select("block_key", "id")
+        out = df.select(F.col(id_col).alias("id"), F.explode(plain_keys(plain)).alias("block_key")).select("block_key", "id")
     for rule in rare:
         found = _rare_keys(df, id_col, rule)
         out = found if out is None else out.unionByName(found)
