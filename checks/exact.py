@@ -12,7 +12,7 @@ from reclink.operators import addresses as A
 from reclink.operators import employers as E
 from reclink.operators.clean import clean_disclosure, clean_listing
 from reclink.plans.linkage import link_table, update_addresses, update_employers
-from reclink.plans.stored import run_employers
+from reclink.plans.stored import run_added_employers, run_employers
 from reclink.schemas import ADDRESS, EMPLOYER, EMPLOYER_ADDRESS_LINK, JOBSITE, OFFICE, ORDER_ADDRESS_LINK
 from reclink.session import cut, scratch
 from reclink.sources.store import Store
@@ -235,6 +235,38 @@ def update_employers_rounds_links(t):
     return employer_rounds(t)[0].select("id", "employer_record_id")
 
 
+# Four arrivals by date. Ids and dates are those of all rows, texts those of the arrival that made the employer.
+ARRIVE = ["1900-01-01", "1996-09-01", "1998-04-25", "1999-12-19", "2100-01-01"]
+PARTS_OF_TIME = [f"received_date >= date '{a}' and received_date < date '{b}'" for a, b in zip(ARRIVE, ARRIVE[1:])]
+for _n, _when in enumerate(PARTS_OF_TIME):
+    STEPS[f"merged_arrival_{_n}"] = merged_sql("keyed", _when)
+STEPS["merged_arrivals"] = (
+    "select * replace (min(first_seen) over (partition by id) as first_seen, max(last_seen) over (partition by id) as last_seen) from ("
+    + " union all ".join(f"select *, {n} as arrival from {{merged_arrival_{n}}}" for n in range(len(PARTS_OF_TIME)))
+    + ") a qualify row_number() over (partition by id order by arrival) = 1"
+)
+
+
+def arrivals_store(t) -> Store:
+    """A store in which the rows of each time were appended and collapsed, one after the other."""
+    store = Store(t.spark, scratch(t.spark, "arrivals"))
+    store.commit({"employers": no_employers(t)})
+    for when in PARTS_OF_TIME:
+        store.commit(append={"disclosures": cleaned(t).where(when)})
+        run_added_employers(store)
+    return store
+
+
+@query("employer_arrivals", f"select {shown()} from {{merged_arrivals}}")
+def employer_arrivals(t):
+    return arrivals_store(t).read("employers").select(*SHOWN)
+
+
+@query("employer_arrivals_links", "select id, employer_key as employer_record_id from {keyed}")
+def employer_arrivals_links(t):
+    return arrivals_store(t).read("linked_disclosures").select("id", "employer_record_id")
+
+
 @query("update_employers_disclosures", "select id, employer_key as employer_record_id from {keyed}")
 def update_employers_disclosures(t):
     return updated(t).disclosures.select("id", "employer_record_id")

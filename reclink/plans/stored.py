@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import Column
+from pyspark.sql import functions as F
 
 from reclink.plans.intake import process_imports
-from reclink.plans.linkage import update_employers
+from reclink.plans.linkage import link_table, update_employers
 from reclink.plans.resolution import canonicalize_all
 from reclink.session import scratch_scope
 from reclink.sources.store import Store
@@ -34,6 +35,30 @@ def run_employers(store: Store, **options) -> int:
         return store.commit({"disclosures": made.disclosures, "listings": made.listings, "employers": made.employers}, base=base)
 
 
+def run_added_employers(store: Store, table: str = "disclosures", linked: str = "linked_disclosures", slug_mode: str = "lower") -> int:
+    """Collapse only the rows that were appended to `table` since the last call; earlier rows are not read.
+
+    New rows with an unknown key make an employer, rows with a known one take its id and widen its seen dates, as smallest
+    and largest dates of parts can be merged. The linked rows are appended to `linked`, and `progress` notes the version
+    up to which `table` is done, all in one version with the employers. Ids and dates are those of one run over all rows;
+    the texts of an employer are those of the arrival that made it. A date that is missing where an employer is made stays
+    missing. Without new rows nothing is written. Raises ValueError if `table` was replaced since, and KeyError if the
+    noted version has expired.
+    """
+    base = store.current()
+    known = store.tables(base)
+    progress = store.read("progress", base) if "progress" in known else store.spark.createDataFrame([], "name string, done bigint")
+    noted = progress.where(F.col("name") == table).agg(F.max("done")).first()[0]
+    arrived = store.added(table, noted or 0, base)
+    if arrived.isEmpty():
+        return base
+    with scratch_scope(store.spark):
+        rows, employers = link_table(arrived, store.read("employers", base), slug_mode)
+        done = store.spark.createDataFrame([(table, base + 1)], "name string, done bigint")
+        done = progress.where(F.col("name") != table).unionByName(done)
+        return store.commit({"employers": employers, "progress": done}, {linked: rows}, base)
+
+
 def run_canonical(store: Store, distance=None) -> int:
     """Canonical records of the clusters in `entity_map`, stored with links, marks and errors in one version."""
     base = store.current()
