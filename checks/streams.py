@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 
 from checks import dialect as D
 from checks.base import ORACLES, query
-from checks.exact import cleaned, orders
+from checks.exact import ADDRESS_SHOWN, cleaned, first_round, orders
 from checks.ingest import LISTING_SHOWN, VISA, now
 from checks.scalars import SHOWN
+from reclink.plans.stored import run_streamed_addresses
 from reclink.session import scratch
+from reclink.sources.store import Store
 from reclink.streaming import jobs
 
 FILES_PER_BATCH = 3
@@ -103,3 +105,40 @@ def stream_addresses_order_links(t):
 @query("stream_addresses_employer_links", ORACLES["employer_address_links"])
 def stream_addresses_employer_links(t):
     return streamed_addresses(t)[2]
+
+
+def merged_addresses(t) -> Store:
+    """Addresses of an earlier run are stored under ids of their own; all orders are streamed, and the batches merged."""
+    addresses, order_links, employer_links = first_round(t)
+    kept = F.concat(F.lit("kept-"), F.col("address_record_id"))
+    store = Store(t.spark, scratch(t.spark, "addresses"))
+    store.commit(
+        {
+            "addresses": addresses.withColumn("id", F.concat(F.lit("kept-"), F.col("id"))),
+            "order_links": order_links.withColumn("address_record_id", kept),
+            "employer_links": employer_links.withColumn("address_record_id", kept),
+        }
+    )
+    out = run(t.spark, lambda o, c: jobs.stream_addresses(stream_of(orders(t), "addresses"), o, c))
+    version = run_streamed_addresses(store, out)
+    assert run_streamed_addresses(store, out) == version
+    return store
+
+
+@query(
+    "stream_addresses_stored",
+    f"select 'kept-' || {ADDRESS_SHOWN.replace('id', 'id as id', 1)} from {{stored_addresses}} "
+    f"union all select {ADDRESS_SHOWN} from {{all_addresses}} "
+    "where normalized_address not in (select normalized_address from {stored_addresses})",
+)
+def stream_addresses_stored(t):
+    return merged_addresses(t).read("addresses").select(*[c.strip() for c in ADDRESS_SHOWN.split(",")])
+
+
+@query(
+    "stream_addresses_stored_links",
+    "select distinct m.disclosure_id, coalesce('kept-' || s.id, md5(m.normalized_address)) as address_record_id "
+    "from {mentions} m left join {stored_addresses} s on s.normalized_address = m.normalized_address",
+)
+def stream_addresses_stored_links(t):
+    return merged_addresses(t).read("order_links").select("disclosure_id", "address_record_id")

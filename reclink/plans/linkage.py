@@ -47,6 +47,13 @@ def update_addresses(
     """Link the orders that have no address yet; unknown addresses become records."""
     # Four tables are made from the mentions; written once, the cleaning runs once.
     mentions = cut(A.address_mentions(A.orders_without_address(orders, order_links, n)), "mentions")
+    return link_mentions(mentions, addresses, order_links, employer_links)
+
+
+def link_mentions(
+    mentions: DataFrame, addresses: DataFrame, order_links: DataFrame, employer_links: DataFrame
+) -> AddressTables:
+    """Link mentions, which are read several times, to the stored addresses; unknown ones become records."""
     grown = addresses.select(*A.ADDRESS_PARTS, "id", "normalized_address").unionByName(
         A.new_addresses(mentions, addresses).select(*A.ADDRESS_PARTS, "id", "normalized_address")
     )

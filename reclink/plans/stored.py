@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reclink.plans.intake import process_imports
-from reclink.plans.linkage import link_table, update_employers
+from reclink.plans.linkage import link_mentions, link_table, update_employers
 from reclink.plans.resolution import canonicalize_all
-from reclink.session import scratch_scope
+from reclink.session import cut, scratch_scope
 from reclink.sources.store import Store
+from reclink.streaming.jobs import latest_batch, read_batches
 
 
 def run_imports(store: Store, root: str, now: Column, n: int = 1) -> int:
@@ -46,17 +47,51 @@ def run_added_employers(store: Store, table: str = "disclosures", linked: str =
     noted version has expired.
     """
     base = store.current()
-    known = store.tables(base)
-    progress = store.read("progress", base) if "progress" in known else store.spark.createDataFrame([], "name string, done bigint")
-    noted = progress.where(F.col("name") == table).agg(F.max("done")).first()[0]
-    arrived = store.added(table, noted or 0, base)
+    arrived = store.added(table, _done(store, base, table) or 0, base)
     if arrived.isEmpty():
         return base
     with scratch_scope(store.spark):
         rows, employers = link_table(arrived, store.read("employers", base), slug_mode)
-        done = store.spark.createDataFrame([(table, base + 1)], "name string, done bigint")
-        done = progress.where(F.col("name") != table).unionByName(done)
-        return store.commit({"employers": employers, "progress": done}, {linked: rows}, base)
+        return store.commit({"employers": employers, "progress": _noted(store, base, table, base + 1)}, {linked: rows}, base)
+
+
+def run_streamed_addresses(store: Store, out: str) -> int:
+    """Take the batches that `stream_addresses` wrote to `out` into `addresses`, `order_links` and `employer_links`.
+
+    A text that is stored keeps its id, whatever that is; unknown texts become records. Each batch is taken once: its number
+    is noted in `progress` under the path, in the same version as the tables, so a call that is repeated, or that died, adds
+    nothing twice. Orders that have an address already are passed by, as in update_addresses. Without new batches nothing
+    is written.
+    """
+    base = store.current()
+    done, latest = _done(store, base, out), latest_batch(store.spark, out)
+    if latest is None or (done is not None and done >= latest):
+        return base
+    fresh = read_batches(store.spark, out).where(F.col("batch").between((-1 if done is None else done) + 1, latest))
+    names = ("addresses", "order_links", "employer_links")
+    stored = [store.read(name, base) for name in names]
+    with scratch_scope(store.spark):
+        linked = stored[1].select("disclosure_id").distinct()
+        mentions = cut(fresh.drop("batch", "address_record_id").join(linked, "disclosure_id", "left_anti"), "mentions")
+        made = link_mentions(mentions, *stored)
+        return store.commit({**dict(zip(names, made)), "progress": _noted(store, base, out, latest)}, base=base)
+
+
+PROGRESS = "name string, done bigint"
+
+
+def _progress(store: Store, base: int) -> DataFrame:
+    """What each input was last read up to: a version of a table, or a batch of a stream."""
+    return store.read("progress", base) if "progress" in store.tables(base) else store.spark.createDataFrame([], PROGRESS)
+
+
+def _done(store: Store, base: int, name: str) -> int | None:
+    return _progress(store, base).where(F.col("name") == name).agg(F.max("done")).first()[0]
+
+
+def _noted(store: Store, base: int, name: str, done: int) -> DataFrame:
+    others = _progress(store, base).where(F.col("name") != name)
+    return others.unionByName(store.spark.createDataFrame([(name, done)], PROGRESS))
 
 
 def run_canonical(store: Store, distance=None) -> int:

@@ -66,6 +66,12 @@ def read_batches(spark: SparkSession, out: str) -> DataFrame:
     return rows
 
 
+def latest_batch(spark: SparkSession, out: str) -> int | None:
+    """Number of the latest finished batch; none before the first one."""
+    found = _folders(spark, out)
+    return max(found["batch"] + found["upto"], default=None)
+
+
 def compact_batches(spark: SparkSession, out: str, merge: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> int:
     """Merge everything up to the latest finished batch into one folder; returns the batch. The old folders stay unread.
 
@@ -167,7 +173,11 @@ def read_seen(spark: SparkSession, out: str) -> DataFrame:
 
 
 def stream_addresses(orders: DataFrame, out: str, checkpoint: str, once: bool = True, every: str = "30 minutes"):
-    """Address mentions of new job orders, batch by batch. Address ids come from the text itself, so no lookup is needed."""
+    """Address mentions of new job orders, batch by batch.
+
+    Address ids come from the text itself, so no lookup is needed; run_streamed_addresses takes the batches into stored tables,
+    whose ids win.
+    """
 
     def step(batch: DataFrame) -> DataFrame:
         return A.address_mentions(batch).withColumn("address_record_id", F.md5("normalized_address"))

@@ -81,3 +81,42 @@ def test_files_with_other_header_orders(spark, tmp_path):
     rows = jobs.read_batches(spark, out).collect()
     assert sorted((r.file_name, r.file_row) for r in rows) == [(f"H-2A_{i}.csv", n) for i in range(3) for n in (1, 2)]
     assert {(r.employer_city, r.employer_name, r.visa_class, r.batch < 3) for r in rows} == {("Ames", "Acme", "H-2A", True)}
+
+
+def test_streamed_addresses_meet_the_stored_ones(spark):
+    """Batches that are merged one by one, also when compacted, give the tables of one run over all orders."""
+    from reclink.plans.linkage import update_addresses
+    from reclink.plans.stored import run_streamed_addresses
+    from reclink.schemas import ADDRESS, EMPLOYER_ADDRESS_LINK, ORDER_ADDRESS_LINK
+    from reclink.sources.store import Store
+    from tests.test_linkage import D1, D2, D3, D4, DISCLOSURE
+
+    def orders(*rows):
+        return spark.createDataFrame([(*r[:-1], "e1") for r in rows], DISCLOSURE)
+
+    first = update_addresses(orders(D1), *[spark.createDataFrame([], s) for s in (ADDRESS, ORDER_ADDRESS_LINK, EMPLOYER_ADDRESS_LINK)])
+    # The stored addresses have ids that no text gives.
+    renamed = [
+        first.addresses.withColumn("id", F.concat(F.lit("old-"), "id")),
+        *[df.withColumn("address_record_id", F.concat(F.lit("old-"), "address_record_id")) for df in first[1:]],
+    ]
+    whole = update_addresses(orders(D1, D2, D3, D4), *renamed)
+
+    names = ("addresses", "order_links", "employer_links")
+    store = Store(spark, scratch(spark, "store"))
+    store.commit(dict(zip(names, renamed)))
+    source, out, checkpoint = (scratch(spark, n) for n in ("orders-in", "orders-out", "orders-check"))
+    assert run_streamed_addresses(store, out) == 1
+    for i, row in enumerate((D2, D1, D3, D4)):
+        orders(row).write.mode("append").parquet(source)
+        jobs.stream_addresses(spark.readStream.schema(DISCLOSURE).parquet(source), out, checkpoint).awaitTermination()
+        if i == 2:
+            jobs.compact_batches(spark, out)
+        if i != 1:
+            version = store.current()
+            assert run_streamed_addresses(store, out) == version + 1
+            assert run_streamed_addresses(store, out) == version + 1
+    for name, wanted in zip(names, whole):
+        got = store.read(name).select(*wanted.columns)
+        assert sorted(map(str, got.collect())) == sorted(map(str, wanted.collect())), name
+    assert any(r["id"].startswith("old-") for r in store.read("addresses").collect())
