@@ -8,6 +8,7 @@ from checks.base import STEPS, query
 from reclink.operators import blocking as B
 from reclink.operators import clusters as C
 from reclink.operators import pairs as P
+from reclink.operators import retrieval as R
 from reclink.operators import training as L
 from reclink.plans.arrivals import run_arrivals, stored_links
 from reclink.plans.resolution import link_pipeline, link_records
@@ -119,6 +120,55 @@ def field_values(t):
     return B.field_values(t("employers"), IDENTITY)
 
 
+STEPS["word_sets"] = f"""
+select distinct array_to_string(list_sort({words('name')}), ' ') as words from {{employers}} where trim(name) != ''
+"""
+STEPS["set_tokens"] = "select words, unnest(string_split(words, ' ')) as token from {word_sets}"
+STEPS["token_weights"] = """
+select words, token, raw / sqrt(sum(raw * raw) over (partition by words)) as weight from (
+  select s.words, s.token, ln(1 + (select count(*) from {word_sets})::double / d.df) as raw from {set_tokens} s
+  join (select token, count(*) as df from {set_tokens} group by token) d on d.token = s.token) x
+"""
+# All pairs of sets with a common word.
+STEPS["cosine_pairs"] = f"""
+select a.words as left_words, b.words as right_words, sum(a.weight * b.weight) as cosine
+from {{token_weights}} a join {{token_weights}} b on a.token = b.token and a.words < b.words
+group by 1, 2 having sum(a.weight * b.weight) >= {R.LEAST_COSINE}
+"""
+STEPS["cosine_blocks"] = f"""
+with named as (select id, array_to_string(list_sort({words('name')}), ' ') as words from {{employers}} where trim(name) != '')
+select 'cosine:' || words as block_key, id from named
+union all
+select 'cosine:' || p.left_words || '|' || p.right_words, n.id from {{cosine_pairs}} p
+join named n on n.words in (p.left_words, p.right_words)
+"""
+
+
+@query("token_weights", "select words, token, round(weight, 6) as weight from {token_weights}")
+def token_weights(t):
+    return R.token_weights(t("employers"), "name")
+
+
+@query("cosine_pairs", "select left_words, right_words, round(cosine, 6) as cosine from {cosine_pairs}")
+def cosine_pairs(t):
+    return R.cosine_pairs(t("employers"), "name")
+
+
+@query("cosine_blocks", "select block_key, id from {cosine_blocks}")
+def cosine_blocks(t):
+    return R.cosine_blocks(t("employers"), "name")
+
+
+@query(
+    "candidate_pairs_cosine",
+    "select distinct x.id as left_id, y.id as right_id from {cosine_blocks} x join {cosine_blocks} y "
+    "on x.block_key = y.block_key and x.id < y.id join {employers} a on a.id = x.id join {employers} b on b.id = y.id "
+    f"where {REACH}",
+)
+def candidate_pairs_cosine(t):
+    return P.candidate_pairs(R.cosine_blocks(t("employers"), "name"), t("employers"))
+
+
 @query("token_index", "select token, df from {rare_words}")
 def token_index(t):
     return B.token_index(t("employers"), "name", 4)
