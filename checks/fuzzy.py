@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from checks.base import STEPS, query
+from checks.gap import gap_distances
 from reclink.operators import blocking as B
 from reclink.operators import clusters as C
 from reclink.operators import pairs as P
@@ -263,7 +264,19 @@ def compare_pairs(t):
     return vectors(t)
 
 
-@query("compare_pairs_gap")
+STEPS["candidate_names"] = f"""
+select p.left_id, p.right_id, least({cell('a', 'name')}, {cell('b', 'name')}) as a, greatest({cell('a', 'name')}, {cell('b', 'name')}) as b
+from {{candidates}} p join {{employers}} a on a.id = p.left_id join {{employers}} b on b.id = p.right_id
+"""
+STEPS["candidate_gaps"] = gap_distances("{candidate_names}")
+
+
+@query(
+    "compare_pairs_gap",
+    f"select v.left_id, v.right_id, {VECTOR}, round(g.distance, 6) as name_gap from {{vectors}} v "
+    "join {candidate_names} n on n.left_id = v.left_id and n.right_id = v.right_id "
+    "left join {candidate_gaps} g on g.a = n.a and g.b = n.b",
+)
 def compare_pairs_gap(t):
     return P.compare_pairs(P.pair_records(candidates(t), t("employers")), gap=True)
 

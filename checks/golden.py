@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from checks import dialect as D
 from checks.base import STEPS, query
+from checks.gap import gap_distances
 from reclink.functions.distance import affine_gap
 from reclink.operators import canonical as K
 from reclink.operators import review as R
@@ -195,7 +196,21 @@ def canonical_values(t):
     return K.canonical_values(fresh_members(t))
 
 
-@query("canonical_values_gap")
+STEPS["cell_pairs"] = """
+select distinct a.value as a, b.value as b from {cells} a join {cells} b on a.canon_id = b.canon_id and a.field = b.field
+"""
+STEPS["cell_gaps"] = gap_distances("{cell_pairs}")
+STEPS["gap_medoids"] = """
+select canon_id, field, value from (
+  select a.canon_id, a.field, a.value, a.first_id, round(sum(g.distance * b.copies), 9) as total
+  from {cells} a join {cells} b on a.canon_id = b.canon_id and a.field = b.field
+  join {cell_gaps} g on g.a = a.value and g.b = b.value group by 1, 2, 3, 4) x
+qualify row_number() over (partition by canon_id, field order by total, first_id) = 1
+"""
+STEPS["gap_canon"] = STEPS["canon"].replace("{medoids}", "{gap_medoids}")
+
+
+@query("canonical_values_gap", f"select canon_id, {', '.join(IDENTITY)} from {{gap_canon}}")
 def canonical_values_gap(t):
     return K.canonical_values(fresh_members(t), distance=affine_gap)
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from checks import dialect as D
 from checks.base import STEPS, query
+from checks.gap import gap_distances
 from reclink.functions import payload as P
 from reclink.functions import text as X
 from reclink.functions.distance import affine_gap
@@ -153,7 +154,14 @@ def fixed_urls(payloads):
     )
 
 
-@query("affine_gap")
+STEPS["gap_names"] = """
+select distinct a.name as a, b.name as b from {labels_true} l
+join {employers} a on a.id = l.left_id join {employers} b on b.id = l.right_id
+"""
+STEPS["name_gaps"] = gap_distances("{gap_names}")
+
+
+@query("affine_gap", "select a, b, round(distance, 6) as distance from {name_gaps}")
 def affine_gap_query(t):
     names = t("employers").select("id", "name")
     pairs = (

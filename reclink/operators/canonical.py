@@ -83,9 +83,9 @@ def _medoids(cells: DataFrame, contenders: DataFrame, distance: Callable[[Column
     others = cells.join(sizes, key).select(*key, F.col("value").alias("_other"), "copies", part.alias("part"))
     tried = contenders.join(sizes, key).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     met = tried.drop("parts").join(others, [*key, "part"])
-    totals = met.groupBy(*key, "value", "first_id").agg(
-        F.sum(distance(F.col("value"), F.col("_other")) * F.col("copies")).alias("total")
-    )
+    # Sums of fractions differ in their last digits with the order of the rows; rounded, ties stay ties.
+    total = F.round(F.sum(distance(F.col("value"), F.col("_other")) * F.col("copies")), 9)
+    totals = met.groupBy(*key, "value", "first_id").agg(total.alias("total"))
     return totals.groupBy(*key).agg(F.min_by("value", F.struct("total", "first_id")).alias("value"))
 
 
