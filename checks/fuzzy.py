@@ -8,13 +8,15 @@ from checks.base import STEPS, query
 from checks.gap import gap_distances
 from reclink.operators import blocking as B
 from reclink.operators import clusters as C
+from reclink.operators import committee as M
 from reclink.operators import pairs as P
 from reclink.operators import retrieval as R
 from reclink.operators import training as L
 from reclink.plans.arrivals import run_arrivals, stored_links
+from reclink.plans.labelling import next_questions, stored_committee, take_answers
 from reclink.plans.resolution import link_pipeline, link_records
 from reclink.schemas import CLUSTER_THRESHOLD, ENTITY_MAP, IDENTITY, TRAINING_RECALL
-from reclink.session import scratch
+from reclink.session import cut, scratch
 from reclink.sources.store import Store
 
 RULES = (*B.EMPLOYER_RULES, B.Rule("rare", (B.Part("name", "rare", 4), B.Part("country"))))
@@ -313,6 +315,58 @@ def train_pair_model(t):
     return weights
 
 
+# A committee of which one member doubts the starting weights and one is surer of them.
+STANCES = (0.5, 1.0, 1.5)
+
+
+def stance_score(stance: float) -> str:
+    total = " + ".join(f"{w * stance!r} * {f}" if f != "bias" else f"({w * stance!r})" for f, w in P.DEFAULT_WEIGHTS.items())
+    return f"1 / (1 + exp(-({total})))"
+
+
+STEPS["stances"] = f"""
+select min(struct_pack(l := left_id, r := right_id)) as pair, count(*) as n_alike, {', '.join(P.FEATURES)},
+  [{', '.join(stance_score(k) for k in STANCES)}] as scores
+from {{doubt_vectors}} v
+where not exists (select 1 from {{labels_true}} l where l.left_id = v.left_id and l.right_id = v.right_id)
+group by {', '.join(P.FEATURES)}
+"""
+STEPS["doubts"] = """
+select pair.l as left_id, pair.r as right_id, n_alike, list_avg(scores) as score, list_var_pop(scores) as disagreement from {stances}
+"""
+
+
+@query(
+    "committee_queue",
+    "select left_id, right_id, n_alike, round(score, 6) as score, round(disagreement, 6) as disagreement from {doubts} "
+    "order by round(n_alike * disagreement, 9) desc, left_id, right_id limit 20",
+)
+def committee_queue(t):
+    pairs = L.label_candidates(blocks(t), t("employers"))
+    members = [(i, f, w * stance) for i, stance in enumerate(STANCES) for f, w in P.DEFAULT_WEIGHTS.items()]
+    committee = t.spark.createDataFrame(members, M.COMMITTEE)
+    return M.committee_queue(P.compare_pairs(P.pair_records(pairs, t("employers"))), committee, t("labels_true"), 20)
+
+
+@query(
+    "label_weights",
+    "select left_id, right_id, member, round(-ln((('0x' || substr(md5(member || ':' || left_id || ':' || right_id), 1, 13))::bigint "
+    f"+ 0.5) / {1 << 52}), 6) as weight from {{pair_labels}}, (select unnest(range(0, {M.MEMBERS}))::int as member) m",
+)
+def label_weights(t):
+    return M.label_weights(t("pair_labels"))
+
+
+@query("label_loop")
+def label_loop(t):
+    store = Store(t.spark, scratch(t.spark, "sittings"))
+    vectors = cut(labelled_vectors(t), "pool")
+    for _ in range(2):
+        asked = next_questions(store, vectors, 20).select("left_id", "right_id")
+        take_answers(store, vectors, asked.join(t("pair_labels"), ["left_id", "right_id"]))
+    return stored_committee(store)
+
+
 @query(
     "rule_coverage",
     "select left_id, right_id, coalesce(array_to_string(list_sort(list_distinct(list(rule))), ','), '') as rules from ("
