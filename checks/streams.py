@@ -10,7 +10,7 @@ from checks.base import ORACLES, query
 from checks.exact import ADDRESS_SHOWN, cleaned, first_round, orders
 from checks.ingest import LISTING_SHOWN, VISA, now
 from checks.scalars import SHOWN
-from reclink.plans.stored import run_streamed_addresses
+from reclink.plans.stored import run_streamed_addresses, run_streamed_feed
 from reclink.session import scratch
 from reclink.sources.store import Store
 from reclink.streaming import jobs
@@ -74,6 +74,22 @@ def stream_feed(t):
     return jobs.read_feed(t.spark, out, t("listings")).select(*LISTING_SHOWN)
 
 
+@query("stream_feed_stored", ORACLES["upsert_listings"])
+def stream_feed_stored(t):
+    """Every second entry arrives first and the others later; each arrival is streamed and merged into the stored listings."""
+    entries = t("feed_entries")
+    source, out, checkpoint, place = (scratch(t.spark, n) for n in ("feed-in", "feed-out", "feed-check", "feed-store"))
+    store = Store(t.spark, place)
+    store.commit({"listings": t("listings")})
+    for arrival in (1, 0):
+        entries.where(F.col("position") % 2 == arrival).repartition(6).write.mode("append").parquet(source)
+        stream = t.spark.readStream.schema(entries.schema).option("maxFilesPerTrigger", FILES_PER_BATCH).parquet(source)
+        jobs.stream_feed(stream, out, checkpoint, now()).awaitTermination()
+        version = run_streamed_feed(store, out)
+        assert run_streamed_feed(store, out) == version
+    return store.read("listings").select(*LISTING_SHOWN)
+
+
 @query(
     "stream_seen",
     f"select employer_key, {D.day('min(first_seen)')} as first_seen, {D.day('max(last_seen)')} as last_seen "

@@ -9,8 +9,9 @@ from reclink.plans.intake import process_imports
 from reclink.plans.linkage import link_mentions, link_table, update_employers
 from reclink.plans.resolution import canonicalize_all
 from reclink.session import cut, scratch_scope
+from reclink.sources.feed import merge_offered
 from reclink.sources.store import Store
-from reclink.streaming.jobs import latest_batch, read_batches
+from reclink.streaming.jobs import latest_batch, merge_feed, read_batches
 
 
 def run_imports(store: Store, root: str, now: Column, n: int = 1) -> int:
@@ -77,6 +78,32 @@ def run_streamed_addresses(store: Store, out: str) -> int:
         return store.commit({**dict(zip(names, made)), "progress": _noted(store, base, out, latest)}, base=base)
 
 
+def run_streamed_feed(store: Store, out: str) -> int:
+    """Take the batches that `stream_feed` wrote to `out` into `listings`; returns the version that holds them.
+
+    `offered` keeps the last entry of each id with its place in the feed, so an entry that arrives late does not replace one
+    that stands after it: however the entries are dealt over batches and calls, the listings are those of one upsert of all.
+    Each batch is taken once, as in run_streamed_addresses. Only listings that new batches name are merged again; scraped
+    fields of the others, and all fields that the feed does not carry, stay as they are stored.
+    """
+    base = store.current()
+    done, latest = _done(store, base, out), latest_batch(store.spark, out)
+    if latest is None or (done is not None and done >= latest):
+        return base
+    fresh = read_batches(store.spark, out).where(F.col("batch").between((-1 if done is None else done) + 1, latest))
+    with scratch_scope(store.spark):
+        touched = merge_feed(fresh)
+        if "offered" in store.tables(base):
+            known = store.read("offered", base)
+            rows = fresh.unionByName(known.join(fresh.select("dol_id").distinct(), "dol_id", "left_semi"))
+            touched = cut(merge_feed(rows), "touched")
+            offered = touched.unionByName(known.join(touched.select("dol_id"), "dol_id", "left_anti"))
+        else:
+            touched = offered = cut(touched, "touched")
+        listings = merge_offered(store.read("listings", base), touched)
+        return store.commit({"listings": listings, "offered": offered, "progress": _noted(store, base, out, latest)}, base=base)
+
+
 PROGRESS = "name string, done bigint"
 
 

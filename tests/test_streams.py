@@ -5,9 +5,11 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from reclink.plans.stored import run_streamed_feed
 from reclink.schemas import LISTING
 from reclink.session import scratch
 from reclink.sources import feed
+from reclink.sources.store import Store
 from reclink.streaming import jobs
 
 
@@ -120,3 +122,29 @@ def test_streamed_addresses_meet_the_stored_ones(spark):
         got = store.read(name).select(*wanted.columns)
         assert sorted(map(str, got.collect())) == sorted(map(str, wanted.collect())), name
     assert any(r["id"].startswith("old-") for r in store.read("addresses").collect())
+
+
+def test_late_entries_do_not_replace_later_ones_in_the_stored_listings(spark):
+    """Merged after each arrival, with a repeated call, a change between the merges and a compaction."""
+    arrivals = [[entry(5, 1, "five"), entry(7, 2, "seven")], [entry(3, 1, "three"), entry(4, 3, "four")], [entry(8, 2, "eight")]]
+    source, out, checkpoint, place = (scratch(spark, n) for n in ("late-in", "late-out", "late-check", "late-store"))
+    store = Store(spark, place)
+    store.commit({"listings": stored(spark, "H-300-1")})
+    assert run_streamed_feed(store, out) == 1
+    for day, rows in enumerate(arrivals, 1):
+        spark.createDataFrame(rows, ENTRY).coalesce(1).write.mode("append").parquet(source)
+        jobs.stream_feed(spark.readStream.schema(ENTRY).parquet(source), out, checkpoint, at(day)).awaitTermination()
+        if day == 3:
+            jobs.compact_batches(spark, out, jobs.merge_feed)
+        version = run_streamed_feed(store, out)
+        assert run_streamed_feed(store, out) == version
+        if day == 1:
+            marked = store.read("listings").withColumn("scraped", F.col("scraped") | (F.col("dol_id") == "H-300-2"))
+            store.commit({"listings": marked})
+    rows = store.read("listings").collect()
+    assert sorted((r.dol_id, r.title, r.scraped, r.pdf, r.first_seen.day, r.last_seen.day) for r in rows) == [
+        ("H-300-1", "five", True, "kept.pdf", 1, 2),
+        ("H-300-2", "eight", True, None, 1, 3),
+        ("H-300-3", "four", False, None, 2, 2),
+    ]
+    assert store.read("offered").count() == 3
