@@ -68,7 +68,10 @@ def link_arrivals(
     blocks = cut(B.block_keys(records, rules), "new-blocks")
     similarity = P.least_name_similarity(weights, threshold)
     everyone = state.records.unionByName(records)
-    pairs = cut(P.arrival_pairs(blocks, state.blocks, everyone, similarity, max_block=max_block), "new-pairs")
+    marks = everyone.select("id", *P.value_marks())
+    sides = [side.join(marks, "id") for side in (blocks, state.blocks)]
+    met = P.arrival_pairs(*sides, everyone, similarity, max_block=max_block, bound=P.Bound(weights, threshold))
+    pairs = cut(met, "new-pairs")
     scored = P.score_pairs(P.compare_pairs(P.pair_records(pairs, everyone)), weights)
     links = cut(scored.where(F.col("score") > threshold).select("left_id", "right_id", "score"), "new-links")
     blocked = records.join(blocks.select("id").distinct(), "id", "left_semi")
