@@ -600,7 +600,7 @@ select id, arg_max(part, step) as canon_id from steps group by id
 
 @query("average_linkage", "select id, canon_id from {average_clusters}")
 def average_linkage(t):
-    return C.average_linkage(scored(t))
+    return C.average_linkage(strong(t))
 
 
 # Rules without rare words, whose blocks do not change as records arrive.

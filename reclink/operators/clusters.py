@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import heapq
+from itertools import groupby
+from operator import itemgetter
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -165,6 +168,8 @@ def average_linkage(scored: DataFrame, threshold: float = CLUSTER_THRESHOLD, max
     clustered = done[0]
     for part in done[1:]:
         clustered = clustered.unionByName(part)
+    # Read twice, so the parts are clustered once.
+    clustered = cut(clustered, "clustered")
     # Records that only weaker pairs held in a large component are clusters of their own.
     alone = everyone.join(clustered, "id", "left_anti").select("id", F.col("id").alias("canon_id"))
     return clustered.unionByName(alone)
@@ -176,11 +181,29 @@ def _clustered(parts: DataFrame, pairs: DataFrame, threshold: float) -> DataFram
     right = parts.select(F.col("id").alias("right_id"), F.col("canon_id").alias("_other"))
     inside = pairs.join(left, "left_id").join(right, "right_id").where("part = _other").select("part", "left_id", "right_id", "score")
 
-    def cluster(frame):
-        frame = frame.sort_values(["left_id", "right_id"])
-        a, b = frame["left_id"].tolist(), frame["right_id"].tolist()
-        found = _merged(sorted({*a, *b}), a, b, frame["score"].tolist(), threshold)
-        return type(frame)({"id": list(found), "canon_id": list(found.values())})
+    def cluster(frames):
+        for frame in _whole_parts(frames):
+            frame = frame.sort_values(["part", "left_id", "right_id"])
+            found: dict = {}
+            for _, rows in groupby(zip(frame["part"], frame["left_id"], frame["right_id"], frame["score"]), itemgetter(0)):
+                _, a, b, scores = zip(*rows)
+                found.update(_merged(sorted({*a, *b}), a, b, scores, threshold))
+            yield pd.DataFrame({"id": list(found), "canon_id": list(found.values())})
 
     kind = parts.schema["id"].dataType.simpleString()
-    return inside.groupBy("part").applyInPandas(cluster, f"id {kind}, canon_id {kind}")
+    # Parts are many and small: a task reads its parts one after the other.
+    return inside.repartition("part").sortWithinPartitions("part").mapInPandas(cluster, f"id {kind}, canon_id {kind}")
+
+
+def _whole_parts(frames):
+    """Frames sorted by part, cut anew so that none ends inside a part."""
+    waiting = None
+    for frame in frames:
+        if len(frame):
+            frame = frame if waiting is None else pd.concat([waiting, frame], ignore_index=True)
+            last = frame["part"] == frame["part"].iloc[-1]
+            waiting = frame[last]
+            if not last.all():
+                yield frame[~last]
+    if waiting is not None:
+        yield waiting
