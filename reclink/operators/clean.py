@@ -23,9 +23,9 @@ ADDRESS_PARTS = ["address_1", "address_2", "city", "state", "postal_code", "coun
 
 def clean_disclosure(df: DataFrame) -> DataFrame:
     """Clean the employer columns of disclosure rows."""
-    texts = {c: X.clean_string(X.strip_dba(c) if c == "trade_name_dba" else c) for c in DISCLOSURE_TEXTS}
     return (
-        df.withColumns(texts)
+        df.withColumn("trade_name_dba", X.strip_dba("trade_name_dba"))
+        .withColumns({c: X.clean_string(c) for c in DISCLOSURE_TEXTS})
         .withColumn("employer_state", X.state_abbrev("employer_state"))
         .withColumn("employer_country", X.default_country("employer_country", "employer_state"))
         .withColumns({c: X.clean_phone(c, "employer_country") for c in ("employer_phone", "phone_to_apply")})
@@ -45,12 +45,14 @@ def clean_listing(df: DataFrame) -> DataFrame:
 def clean_address(df: DataFrame, prefix: str = "") -> DataFrame:
     """Clean the six address parts and set the match key. `prefix` names another set of part columns."""
     name = {part: prefix + part for part in [*ADDRESS_PARTS, "normalized_address"]}
-    cleaned = {name[c]: X.clean_string(X.title_case(name[c])) for c in ("address_1", "address_2", "city")}
+    titled = {name[c]: X.title_case(name[c]) for c in ("address_1", "address_2", "city")}
+    cleaned = {c: X.clean_string(c) for c in titled}
     cleaned[name["postal_code"]] = X.clean_string(name["postal_code"])
     cleaned |= {name[c]: F.upper(X.clean_string(name[c])) for c in ("state", "country")}
     line = X.format_address(*[F.col(name[c]) for c in ADDRESS_PARTS])
     return (
-        df.withColumns(cleaned)
+        df.withColumns(titled)
+        .withColumns(cleaned)
         .withColumn(name["state"], X.state_abbrev(name["state"]))
         .withColumn(name["country"], X.default_country(name["country"], name["state"]))
         .withColumn(name["normalized_address"], X.normalize_address(line))
