@@ -84,14 +84,23 @@ def match_addresses(mentions: DataFrame, addresses: DataFrame) -> DataFrame:
     return mentions.join(address_ids(addresses), F.col("normalized_address") == F.col("_text"), "left").drop("_text")
 
 
+def first_mentions(mentions: DataFrame, *key: str) -> DataFrame:
+    """The parts of the first mention (office before jobsite) of each key, as the struct `first`.
+
+    Spellings of a key are found by a hash aggregation with the smallest order of each; min_by, whose buffer holds texts and
+    needs a sort, runs on the spellings only.
+    """
+    spellings = mentions.groupBy(*key, *ADDRESS_PARTS, "address_type").agg(
+        F.min("disclosure_id").alias("_order"), F.bool_or(F.col("disclosure_id").isNull()).alias("_unnumbered")
+    )
+    # A missing order comes first.
+    order = F.struct(F.when(~F.col("_unnumbered"), F.col("_order")), (F.col("address_type") != OFFICE))
+    return spellings.groupBy(*key).agg(F.min_by(F.struct(*ADDRESS_PARTS), order).alias("first"))
+
+
 def new_addresses(mentions: DataFrame, addresses: DataFrame) -> DataFrame:
     """A record for every normalised text that is not stored, from its first mention (office before jobsite)."""
-    order = F.struct("disclosure_id", (F.col("address_type") != OFFICE))
-    first = (
-        mentions.where(F.col("normalized_address").isNotNull())
-        .groupBy("normalized_address")
-        .agg(F.min_by(F.struct(*ADDRESS_PARTS), order).alias("first"))
-    )
+    first = first_mentions(mentions.where(F.col("normalized_address").isNotNull()), "normalized_address")
     stored = addresses.select("normalized_address")
     return first.join(stored, "normalized_address", "left_anti").select(
         F.md5("normalized_address").alias("id"), "first.*", "normalized_address"
@@ -110,8 +119,14 @@ def order_address_links(matched: DataFrame) -> DataFrame:
 
 
 def merge_employer_links(links: DataFrame) -> DataFrame:
-    """One row per employer, address and type: earliest first date, latest last date, source of the earliest entry."""
-    return links.groupBy(*LINK_KEY).agg(
+    """One row per employer, address and type: earliest first date, latest last date, source of the earliest entry.
+
+    Entries of one source are merged first, by a hash aggregation; the source of the earliest entry needs a sort.
+    """
+    sources = links.groupBy(*LINK_KEY, "source").agg(
+        F.min("first_seen").alias("first_seen"), F.max("last_seen").alias("last_seen"), F.min("_order").alias("_order")
+    )
+    return sources.groupBy(*LINK_KEY).agg(
         F.min("first_seen").alias("first_seen"),
         F.max("last_seen").alias("last_seen"),
         F.min_by("source", "_order").alias("source"),

@@ -57,8 +57,11 @@ def link_mentions(
     grown = addresses.select(*A.ADDRESS_PARTS, "id", "normalized_address").unionByName(
         A.new_addresses(mentions, addresses).select(*A.ADDRESS_PARTS, "id", "normalized_address")
     )
-    # Both link tables come from the matches.
-    matched = cut(A.match_addresses(mentions, grown), "matched")
+    # Read by the match and by the caller, so it is written once.
+    grown = cut(grown, "grown")
+    # Both link tables come from the matches, by these columns alone.
+    linking = ["disclosure_id", *A.ORDER_COLUMNS, "address_type", "normalized_address"]
+    matched = cut(A.match_addresses(mentions.select(*linking), grown).drop("normalized_address"), "matched")
     return AddressTables(
         grown,
         order_links.unionByName(A.order_address_links(matched)),

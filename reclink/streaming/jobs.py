@@ -188,9 +188,7 @@ def stream_addresses(orders: DataFrame, out: str, checkpoint: str, once: bool =
 def read_addresses(spark: SparkSession, out: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Addresses, order links and employer links from the batches so far."""
     mentions = read_batches(spark, out)
-    parts = F.struct(*A.ADDRESS_PARTS)
-    order = F.struct("disclosure_id", (F.col("address_type") != A.OFFICE))
-    first = mentions.groupBy("address_record_id", "normalized_address").agg(F.min_by(parts, order).alias("first"))
+    first = A.first_mentions(mentions, "address_record_id", "normalized_address")
     addresses = first.select(F.col("address_record_id").alias("id"), "first.*", "normalized_address")
     links = mentions.where(F.col("employer_record_id").isNotNull()).withColumn("_order", F.col("disclosure_id"))
     return addresses, A.order_address_links(mentions), A.merge_employer_links(links)
