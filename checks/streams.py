@@ -15,20 +15,24 @@ from reclink.session import scratch
 from reclink.sources.store import Store
 from reclink.streaming import jobs
 
+FILES = 8
 FILES_PER_BATCH = 3
 CSV_FILES_PER_BATCH = 12
 
 
 def files_of(df: DataFrame, name: str) -> str:
-    """The table as a folder of several files, for a file stream."""
+    """The table as a folder of FILES files or more, for a file stream. A table that lies in as many parts is not shuffled."""
     path = scratch(df.sparkSession, f"stream-{name}")
-    df.repartition(8).write.parquet(path)
+    (df if df.rdd.getNumPartitions() >= FILES else df.repartition(FILES)).write.parquet(path)
     return path
 
 
 def stream_of(df: DataFrame, name: str) -> DataFrame:
-    reader = df.sparkSession.readStream.schema(df.schema).option("maxFilesPerTrigger", FILES_PER_BATCH)
-    return reader.parquet(files_of(df, name))
+    """A stream of the table in three batches, whatever the number of its files."""
+    path = files_of(df, name)
+    files = len(df.sparkSession.read.parquet(path).inputFiles())
+    per_batch = max(FILES_PER_BATCH, -(-files * FILES_PER_BATCH // FILES))
+    return df.sparkSession.readStream.schema(df.schema).option("maxFilesPerTrigger", per_batch).parquet(path)
 
 
 def run(spark, start) -> str:
