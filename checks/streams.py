@@ -16,6 +16,7 @@ from reclink.sources.store import Store
 from reclink.streaming import jobs
 
 FILES = 8
+ROWS_IN_FILE = 100_000
 FILES_PER_BATCH = 3
 CSV_FILES_PER_BATCH = 12
 
@@ -23,7 +24,9 @@ CSV_FILES_PER_BATCH = 12
 def files_of(df: DataFrame, name: str) -> str:
     """The table as a folder of FILES files or more, for a file stream. A table that lies in as many parts is not shuffled."""
     path = scratch(df.sparkSession, f"stream-{name}")
-    (df if df.rdd.getNumPartitions() >= FILES else df.repartition(FILES)).write.parquet(path)
+    spread = df if df.rdd.getNumPartitions() >= FILES else df.repartition(FILES)
+    # Files of bounded size, so that a batch of them keeps all cores busy.
+    spread.write.option("maxRecordsPerFile", ROWS_IN_FILE).parquet(path)
     return path
 
 
