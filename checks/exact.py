@@ -206,8 +206,8 @@ def employer_rounds(t):
         rows = cleaned(t).where(F.col("received_date") < F.lit(LATER).cast("date"))
         return link_table(rows, no_employers(t))
 
-    linked = kept(t, "round-linked", lambda: first()[0])
-    employers = kept(t, "round-employers", lambda: first()[1])
+    tables = first() if not _is_kept(t, "round-employers") else (None,) * 2
+    linked, employers = [kept(t, name, lambda table=table: table) for name, table in zip(("round-linked", "round-employers"), tables)]
     new = cleaned(t).where(F.col("received_date") >= F.lit(LATER).cast("date"))
     return link_table(linked.unionByName(new), employers)
 
@@ -345,13 +345,13 @@ def no_order_links(t):
 def first_round(t):
     """The state an earlier run left."""
     empty = no_addresses(t), no_order_links(t), t.spark.createDataFrame([], EMPLOYER_ADDRESS_LINK)
-    tables = update_addresses(earlier(orders(t)), *empty) if not _kept_round(t) else (None,) * 3
+    tables = update_addresses(earlier(orders(t)), *empty) if not _is_kept(t, "first-employer-links") else (None,) * 3
     names = ("first-addresses", "first-order-links", "first-employer-links")
     return tuple(kept(t, name, lambda table=table: table) for name, table in zip(names, tables))
 
 
-def _kept_round(t) -> bool:
-    return (t.spark.sparkContext.applicationId, t.folder, "first-employer-links") in _kept
+def _is_kept(t, name: str) -> bool:
+    return (t.spark.sparkContext.applicationId, t.folder, name) in _kept
 
 
 @query("office_addresses", f"select {', '.join(MENTION_SHOWN)} from {{office}}")

@@ -108,11 +108,26 @@ def link_employers(raw: DataFrame, employers: DataFrame, slug_mode: str = "lower
     Rows that are linked already pass by; on all runs but the first they are nearly all rows, and in the join they would
     share one null key.
     """
-    linked = raw.where(F.col("employer_record_id").isNotNull())
-    waiting = raw.where(F.col("employer_record_id").isNull()).withColumn("_raw_key", raw_key(slug_mode))
+    waiting = unlinked_rows(raw).withColumn("_raw_key", raw_key(slug_mode))
     found = waiting.join(_known_keys(employers), F.col("_raw_key") == F.col("_key"), "left")
     found = found.withColumn("employer_record_id", F.col("_employer_id").cast(raw.schema["employer_record_id"].dataType))
-    return linked.unionByName(found.select(*raw.columns))
+    return linked_rows(raw).unionByName(found.select(*raw.columns))
+
+
+def foreign_ids(employers: DataFrame) -> DataFrame:
+    """Keys whose employer has another id than the key: those that new_employers did not make."""
+    return _known_keys(employers).where(~F.col("_employer_id").eqNullSafe(F.col("_key")))
+
+
+def link_held(waiting: DataFrame, foreign: DataFrame, slug_mode: str = "lower") -> DataFrame:
+    """link_employers for unlinked rows whose keys are all held by an employer, as after new_employers.
+
+    Only the ids that are not keys, `foreign` from foreign_ids, are looked up; the others are the keys of the rows.
+    """
+    found = waiting.withColumn("_raw_key", raw_key(slug_mode)).join(foreign, F.col("_raw_key") == F.col("_key"), "left")
+    held = F.when(F.col("_key").isNull(), F.col("_raw_key")).otherwise(F.col("_employer_id"))
+    found = found.withColumn("employer_record_id", held.cast(waiting.schema["employer_record_id"].dataType))
+    return found.select(*waiting.columns)
 
 
 def _extend(employers: DataFrame, raw: DataFrame, last: bool, first: bool) -> DataFrame:
@@ -145,5 +160,9 @@ def extend_seen(employers: DataFrame, raw: DataFrame) -> DataFrame:
     return _extend(employers, raw, last=True, first=True)
 
 
+def linked_rows(raw: DataFrame) -> DataFrame:
+    return raw.where(F.col("employer_record_id").isNotNull())
+
+
 def unlinked_rows(raw: DataFrame) -> DataFrame:
     return raw.where(F.col("employer_record_id").isNull())

@@ -19,9 +19,14 @@ class EmployerTables(NamedTuple):
 
 def link_table(raw: DataFrame, employers: DataFrame, slug_mode: str = "lower") -> tuple[DataFrame, DataFrame]:
     """Add the table's new employers, link its rows, widen the seen dates."""
+    # Read by the new employers, by the link and by the dates. What makes the waiting rows, cleaning for one, runs once.
+    waiting = cut(E.unlinked_rows(raw), "waiting")
+    rows = E.linked_rows(raw).unionByName(waiting)
     # Read by the link, by the dates and by the caller, so it is written once.
-    grown = cut(employers.unionByName(E.new_employers(raw, employers, slug_mode)), "employers")
-    linked = E.link_employers(raw, grown, slug_mode)
+    grown = cut(employers.unionByName(E.new_employers(rows, employers, slug_mode)), "employers")
+    # Every key that waits is held now, mostly by an employer whose id it is. The other ids are written, so that their size
+    # is known and a join with few of them does not shuffle the rows.
+    linked = E.linked_rows(raw).unionByName(E.link_held(waiting, cut(E.foreign_ids(grown), "foreign"), slug_mode))
     return linked, E.extend_seen(grown, linked)
 
 
