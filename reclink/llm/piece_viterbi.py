@@ -8,11 +8,13 @@ committed.
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
 from itertools import islice
 
+import numpy as np
 import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
@@ -39,7 +41,8 @@ PAIR_MEMO = 1 << 16
 
 @dataclass
 class Pieces:
-    """Piece scores and ids, the ids of the 256 bytes, and the pieces by id; tree leads letter by letter to the pieces."""
+    """Piece scores and ids, the ids of the 256 bytes, and the pieces by id; tree leads letter by letter to the pieces,
+    by_id holds their bytes for decoding many ids at once."""
 
     scores: dict[str, tuple[float, int]]
     byte_ids: list[int]
@@ -47,6 +50,7 @@ class Pieces:
     longest: int = field(init=False)
     worst: float = field(init=False)
     tree: dict = field(init=False)
+    by_id: pa.LargeBinaryArray = field(init=False)
 
     def __post_init__(self) -> None:
         self.longest = max(map(len, self.scores), default=1)
@@ -57,6 +61,7 @@ class Pieces:
             for letter in piece:
                 node = node.setdefault(letter, {})
             node[""] = found
+        self.by_id = pa.array([self.texts.get(i) for i in range(max(self.texts, default=-1) + 1)], pa.large_binary())
 
     @staticmethod
     def load(path: str = MODEL) -> Pieces:
@@ -235,33 +240,40 @@ class Encoder:
         self.merges = merges
         self.follows = lru_cache(maxsize=PAIR_MEMO)(self._follows)
         self.apart = pieces.words_apart
-        self.memo: dict[str, list[int]] = {}
-        self.older: dict[str, list[int]] = {}
+        self.memo: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def encode(self, text: str) -> list[int]:
         """Ids of a text, with a space put in front. Empty texts have none."""
+        return array("i", self.packed(text)).tolist()
+
+    def packed(self, text: str) -> bytes:
+        """The ids as the integers of `array("i")`, so that those of remembered words are joined without touching each."""
         if not text:
-            return []
+            return b""
         if SPACE in text:
             text = text.replace(SPACE, MARK)
         if not self.apart:
-            return self._search(SPACE + text.replace(" ", SPACE))
-        out: list[int] = []
-        memo = self.memo
+            return array("i", self._search(SPACE + text.replace(" ", SPACE))).tobytes()
         # No piece spans the start of a word, so all paths agree there. A run of spaces stays with the word after it.
-        for word in _spaced(text):
-            ids = memo.get(word)
+        words = _spaced(text)
+        found = list(map(self.memo.get, words))
+        if None in found:
+            found = [self._word(word) if ids is None else ids for word, ids in zip(words, found)]
+        return b"".join(found)
+
+    def _word(self, word: str) -> bytes:
+        """Ids of a word, remembered if it is short."""
+        ids = self.memo.get(word)
+        if ids is None:
+            ids = self.older.get(word)
             if ids is None:
-                ids = self.older.get(word)
-                if ids is None:
-                    ids = self._search(word)
-                if len(word) <= MEMO_LETTERS:
-                    if len(memo) >= WORD_MEMO:
-                        self.older, self.memo = memo, {}
-                        memo = self.memo
-                    memo[word] = ids
-            out += ids
-        return out
+                ids = array("i", self._search(SPACE + word)).tobytes()
+            if len(word) < MEMO_LETTERS:
+                if len(self.memo) >= WORD_MEMO:
+                    self.older, self.memo = self.memo, {}
+                self.memo[word] = ids
+        return ids
 
     def _search(self, letters: str) -> list[int]:
         if self.merges and len(letters) <= MEMO_LETTERS:
@@ -285,17 +297,19 @@ def _encoder(path: str, merges: bool) -> Encoder:
 
 
 def _spaced(text: str) -> list[str]:
-    """Words with the marks of the spaces before them; one space stands before the text."""
-    if "  " not in text and text[0] != " " and text[-1] != " ":
-        return [SPACE + word for word in text.split(" ")]
+    """Words with the marks of the spaces before them, but one; one space stands before the text."""
+    words = text.split(" ")
+    if "" not in words:
+        return words
     out, spaces = [], 0
-    for word in text.split(" "):
-        spaces += 1
+    for word in words:
         if word:
             out.append(SPACE * spaces + word)
             spaces = 0
+        else:
+            spaces += 1
     if spaces:
-        out.append(SPACE * spaces)
+        out.append(SPACE * (spaces - 1))
     return out
 
 
@@ -305,6 +319,16 @@ def decode(pieces: Pieces, ids: list[int]) -> str:
     return b"".join([texts[i] for i in ids])[1:].decode("utf-8", "replace") if ids else ""
 
 
+def decoded_equal(pieces: Pieces, values: np.ndarray, ends: np.ndarray, texts: list[str]) -> list[bool]:
+    """Whether the ids from each end to the next decode to the text; the pieces of all ids are gathered at once."""
+    joined = pieces.by_id.take(pa.array(values))
+    places = np.frombuffer(joined.buffers()[1], np.int64)[: len(values) + 1] if len(values) else np.zeros(1, np.int64)
+    whole = joined.buffers()[2].to_pybytes() if len(values) else b""
+    edges = places[ends].tolist()
+    # The first byte is the space put in front; a text without ids has none.
+    return [whole[a + 1 : b].decode("utf-8", "replace") == t for a, b, t in zip(edges, edges[1:], texts)]
+
+
 def encode_texts(docs: DataFrame, path: str = MODEL, check: bool = True, merges: bool = True) -> DataFrame:
     """(doc_id, n_tokens, ids, intact) of every row of docs. One scan, no shuffle; each worker loads the model file once.
 
@@ -323,10 +347,16 @@ def encode_texts(docs: DataFrame, path: str = MODEL, check: bool = True, merges:
         encoder = _encoder(path, merges)
         for batch in batches:
             texts = batch.column(1).to_pylist()
-            found = [None if t is None else encoder.encode(t) for t in texts]
-            intact = [None if t is None or not check else decode(encoder.pieces, f) == t for t, f in zip(texts, found)]
-            ids = pa.array(found, pa.list_(pa.int32()))
-            counts = pa.array([None if f is None else len(f) for f in found], pa.int64())
+            found = [encoder.packed(t or "") for t in texts]
+            values = np.frombuffer(b"".join(found), np.int32)
+            ends = np.cumsum([0] + [len(f) for f in found]) // values.itemsize
+            missing = np.array([t is None for t in texts], bool)
+            intact = [None] * len(texts)
+            if check:
+                same = decoded_equal(encoder.pieces, values, ends, [t or "" for t in texts])
+                intact = [None if t is None else s for t, s in zip(texts, same)]
+            ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values), mask=pa.array(missing))
+            counts = pa.array(np.diff(ends), pa.int64(), mask=missing)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), counts, ids, pa.array(intact, pa.bool_())], names=["doc_id", "n_tokens", "ids", "intact"]
             )

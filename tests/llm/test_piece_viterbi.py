@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import sentencepiece
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -143,3 +144,15 @@ def test_merges_stay_in_a_window_and_round_trip():
     assert done == 20_000
     for text in (" ", "  ", " a", "a ", "a  b", "▁", "▁ ▁a ▁", "\r\n\t\x00", "𐍈é한", " " * 5000, "\n" * 3000, "ab" * 20_000):
         assert decode(REAL, encoder.encode(text)) == text
+
+
+def test_ids_are_joined_and_decoded_for_many_texts_at_once():
+    given = ["", " ", "a  b ", "the cat\nthe cat", "é한 ▁x", " " * 70, "word " * 50]
+    encoder = Encoder(REAL, merges=True)
+    packed = [encoder.packed(t) for t in given]
+    assert [np.frombuffer(p, np.int32).tolist() for p in packed] == [Encoder(REAL, merges=True).encode(t) for t in given]
+    values = np.frombuffer(b"".join(packed), np.int32)
+    ends = np.cumsum([0] + [len(p) // 4 for p in packed])
+    assert pv.decoded_equal(REAL, values, ends, given) == [True] * len(given)
+    assert pv.decoded_equal(REAL, values, ends, ["x", *given[1:3], "the cat", *given[4:]]) == [False, True, True, False, True, True, True]
+    assert pv.decoded_equal(REAL, values[:0], np.zeros(2, int), [""]) == [True]
