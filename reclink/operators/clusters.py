@@ -97,24 +97,25 @@ def _kept_or(processed: Column, added: Column) -> Column:
     return F.when(added, F.lit(False)).otherwise(processed)
 
 
-# Records of a component that one task takes; edges of larger ones are cut first.
+# Records of a component that one task takes, whatever their pairs; larger ones with few pairs for each of these fit too.
 MAX_MEMBERS = 2000
+PAIRS_PER_MEMBER = 50
 
 
-def _merged(ids: list, left: list, right: list, scores: list, threshold: float) -> dict:
+def _merged(sizes: dict, left: list, right: list, totals: list, threshold: float) -> dict:
     """Smallest id of the cluster of each id: the two clusters of the highest mean score are merged while it is above.
 
-    The mean runs over all pairs of the two clusters; a pair without a score counts 0. Means are compared to nine decimal
-    places, and ties go to the smaller ids.
+    `sizes` holds the records of each id, `totals` the summed scores between two of them. The mean runs over all pairs of the
+    two clusters; a pair without a score counts 0. Means are compared to nine decimal places, and ties go to the smaller ids.
     """
 
     def mean(a, b) -> float:
-        return round(sums[a][b] / (len(members[a]) * len(members[b])), 9)
+        return round(sums[a][b] / (sizes[a] * sizes[b]), 9)
 
-    sums: dict = {i: {} for i in ids}
-    for a, b, score in zip(left, right, scores):
-        sums[a][b] = sums[b][a] = sums[a].get(b, 0.0) + score
-    members = {i: [i] for i in ids}
+    sums: dict = {i: {} for i in sizes}
+    for a, b, total in zip(left, right, totals):
+        sums[a][b] = sums[b][a] = sums[a].get(b, 0.0) + total
+    sizes, members = dict(sizes), {i: [i] for i in sizes}
     waiting = [(-mean(a, b), a, b) for a, near in sums.items() for b in near if a < b]
     heapq.heapify(waiting)
     while waiting and -waiting[0][0] > threshold:
@@ -123,6 +124,7 @@ def _merged(ids: list, left: list, right: list, scores: list, threshold: float)
         if a not in members or b not in members or -minus != mean(a, b):
             continue
         members[a] += members.pop(b)
+        sizes[a] += sizes.pop(b)
         for c, total in sums.pop(b).items():
             del sums[c][b]
             if c != a:
@@ -132,65 +134,140 @@ def _merged(ids: list, left: list, right: list, scores: list, threshold: float)
     return {i: root for root, of in members.items() for i in of}
 
 
+CLUSTER_PAIR = ["left_id", "right_id", "total", "n_left", "n_right"]
+
+
+def _mean() -> Column:
+    """Mean score of all pairs of two clusters, as it is compared."""
+    return F.bround(F.col("total") / (F.col("n_left") * F.col("n_right")), 9)
+
+
 def average_linkage(scored: DataFrame, threshold: float = CLUSTER_THRESHOLD, max_members: int = MAX_MEMBERS) -> DataFrame:
     """Clusters (id, canon_id) of (left_id, right_id, score) rows by average linkage inside connected components.
 
     A chain of links is one connected component, however unlike its ends are. Here two clusters become one only while the
     mean score of all pairs between them is above the threshold; pairs that were not scored count 0. Every id with a pair
     above the threshold gets a row; a cluster is named by its smallest id. Pairs between clusters of different components
-    have no score, so components are clustered apart, each in one task.
+    have no score, so components are clustered apart, each in one task. Equal pairs count once, with their highest score.
 
-    A component of more than `max_members` records is first cut: only its pairs above a higher threshold, half-way to 1,
-    connect it, and what comes apart is clustered apart, again and again until every part fits. Equal pairs count once,
-    with their highest score. Components that no threshold takes apart, as all their scores are 1, are one cluster.
+    A component of more than `max_members` records with many pairs is first contracted in rounds that keep all its pairs
+    (see _sure_merges). A mean is never above the means it is made of, so clusters that only pairs at or under the threshold
+    hold together never meet: as the rounds go on the component comes apart, and parts that fit go to one task each.
     """
     ends = F.struct(F.least("left_id", "right_id").alias("left_id"), F.greatest("left_id", "right_id").alias("right_id"))
     pairs = scored.where((F.col("score") > threshold) & (F.col("left_id") != F.col("right_id"))).select(ends.alias("p"), "score")
-    pairs = cut(pairs.groupBy("p").agg(F.max("score").alias("score")).select("p.*", "score"), "pairs")
-    waiting, floor, done = pairs, threshold, []
+    one = F.lit(1).cast("long")
+    pairs = pairs.groupBy("p").agg(F.max("score").alias("total")).select("p.*", "total", one.alias("n_left"), one.alias("n_right"))
+    waiting = pairs = cut(pairs, "pairs")
     everyone = pairs.select(F.explode(F.array("left_id", "right_id")).alias("id")).distinct()
+    # Ids that were merged into another one by the rounds, and that one.
+    moved = everyone.select("id", F.col("id").alias("cluster")).limit(0)
+    done, rounds = [], 1
     while True:
-        found = cut(components(waiting.where(F.col("score") > floor)), "parts")
-        sizes = found.groupBy("canon_id").agg(F.count("*").alias("n"))
-        large = cut(sizes.where(F.col("n") > max_members).select("canon_id"), "large")
-        settled = found.join(large, "canon_id", "left_anti")
-        if large.isEmpty() or floor >= 1 - 1e-9:
-            if not large.isEmpty():
-                done.append(found.join(large, "canon_id", "left_semi").select("id", "canon_id"))
-            done.append(_clustered(settled, waiting, threshold))
+        found = components(waiting.where(_mean() > threshold).select("left_id", "right_id"))
+        inside = cut(_inside(found, waiting), "parts")
+        many = found.groupBy(F.col("canon_id").alias("part")).agg(F.count("*").alias("n")).where(F.col("n") > max_members)
+        full = inside.join(many.select("part"), "part", "left_semi").groupBy("part").agg(F.count("*").alias("n"))
+        large = cut(full.where(F.col("n") > PAIRS_PER_MEMBER * max_members).select("part"), "large")
+        done.append(_clustered(inside.join(large, "part", "left_anti"), threshold))
+        if large.isEmpty():
             break
-        done.append(_clustered(settled, waiting, threshold))
-        inside = found.join(large, "canon_id", "left_semi")
-        left = inside.select(F.col("id").alias("left_id"), F.col("canon_id").alias("_part"))
-        right = inside.select(F.col("id").alias("right_id"), F.col("canon_id").alias("_other"))
-        met = waiting.join(left, "left_id").join(right, "right_id").where("_part = _other")
-        waiting, floor = cut(met.select("left_id", "right_id", "score"), "pairs"), (1 + floor) / 2
+        waiting = cut(inside.join(large, "part", "left_semi").select(*CLUSTER_PAIR), "pairs")
+        # Components are looked for after one round, two more, four more.
+        for number in range(rounds):
+            into = cut(_sure_merges(waiting, threshold), "merges")
+            if into.isEmpty():
+                if number == 0:
+                    raise RuntimeError("no two clusters of a component can be merged; are all scores numbers?")
+                break
+            waiting = cut(_contracted(waiting, into), "pairs")
+            gone = into.where("id != cluster").select("id", "cluster")
+            later = into.select(F.col("id").alias("cluster"), F.col("cluster").alias("_later"))
+            moved = moved.join(later, "cluster", "left").select("id", F.coalesce("_later", "cluster").alias("cluster"))
+            moved = cut(moved.unionByName(gone), "moved")
+        rounds *= 2
     clustered = done[0]
     for part in done[1:]:
         clustered = clustered.unionByName(part)
-    # Read twice, so the parts are clustered once.
+    # Read three times, so the parts are clustered once.
     clustered = cut(clustered, "clustered")
-    # Records that only weaker pairs held in a large component are clusters of their own.
+    roots = clustered.select(F.col("id").alias("cluster"), F.col("canon_id").alias("_root"))
+    placed = moved.join(roots, "cluster", "left").select("id", F.coalesce("_root", "cluster").alias("canon_id"))
+    clustered = clustered.unionByName(placed)
+    # The others met nothing but weaker pairs.
     alone = everyone.join(clustered, "id", "left_anti").select("id", F.col("id").alias("canon_id"))
     return clustered.unionByName(alone)
 
 
-def _clustered(parts: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
-    """Average linkage of each part (id, canon_id) over the pairs inside it."""
+def _sure_merges(waiting: DataFrame, threshold: float) -> DataFrame:
+    """(id, cluster, n): clusters that merge whatever the others do, the one they become and its records.
+
+    Two clusters of which each is the other's best partner, ties to the smaller ids, merge before either meets a third, as
+    the mean to a merged third is not above the means to what it is made of (nearest neighbour chains, Murtagh 1983).
+    Clusters with equal means to all others, none higher than those among themselves, all merge too: the first partner that
+    one of them takes has the same mean to the rest. So equal records go in one round, and not one in each.
+    """
+    ids = {"left": ("left_id", "n_left", "right_id"), "right": ("right_id", "n_right", "left_id")}
+    sides = [F.struct(F.col(a).alias("id"), F.col(n).alias("n"), F.col(b).alias("other")) for a, n, b in ids.values()]
+    best = F.struct((-F.col("mean")).alias("minus"), "left_id", "right_id")
+    ends = waiting.withColumn("mean", _mean()).select("mean", best.alias("best"), F.inline(F.array(*sides)))
+    marks = [F.xxhash64("other", "mean"), F.xxhash64("other", "mean", F.lit(1))]
+    nearest = ends.groupBy("id").agg(
+        F.min("best").alias("best"), F.first("n").alias("n"), *[F.bit_xor(m).alias(f"_{i}") for i, m in enumerate(marks)]
+    ).where(F.col("best.minus") < -threshold)
+    own = [F.xxhash64("id", -F.col("best.minus")), F.xxhash64("id", -F.col("best.minus"), F.lit(1))]
+    nearest = cut(nearest.select("id", "best", "n", *[F.col(f"_{i}").bitwiseXOR(o).alias(f"_{i}") for i, o in enumerate(own)]), "nearest")
+    alike = nearest.groupBy("_0", "_1").agg(F.min("id").alias("cluster"), F.sum("n").alias("n_all"), F.count("*").alias("_many"))
+    twins = nearest.join(alike.where("_many > 1"), ["_0", "_1"]).select("id", "cluster", F.col("n_all").alias("n"))
+    twins = cut(twins, "twins")
+    left = nearest.join(twins.select("id"), "id", "left_anti")
+    both = left.groupBy("best").agg(F.sum("n").alias("n"), F.count("*").alias("_many")).where("_many = 2")
+    return both.select(F.explode(F.array("best.left_id", "best.right_id")).alias("id"), F.col("best.left_id").alias("cluster"), "n").unionByName(twins)
+
+
+def _contracted(waiting: DataFrame, into: DataFrame) -> DataFrame:
+    """Pairs of the clusters after merges (id, cluster, n), with all scores between them."""
+    out = waiting
+    for side in ("left", "right"):
+        moves = into.select(F.col("id").alias(f"{side}_id"), F.col("cluster").alias("_into"), F.col("n").alias("_n"))
+        out = out.join(moves, f"{side}_id", "left").withColumns(
+            {f"{side}_id": F.coalesce("_into", f"{side}_id"), f"n_{side}": F.coalesce("_n", f"n_{side}")}
+        )
+        out = out.drop("_into", "_n")
+    swapped = F.col("left_id") > F.col("right_id")
+    out = out.where("left_id != right_id").select(
+        F.least("left_id", "right_id").alias("left_id"),
+        F.greatest("left_id", "right_id").alias("right_id"),
+        "total",
+        F.when(swapped, F.col("n_right")).otherwise(F.col("n_left")).alias("n_left"),
+        F.when(swapped, F.col("n_left")).otherwise(F.col("n_right")).alias("n_right"),
+    )
+    sizes = [F.first(n).alias(n) for n in ("n_left", "n_right")]
+    totals = out.groupBy("left_id", "right_id").agg(F.sum("total").alias("total"), *sizes)
+    return totals.select(*CLUSTER_PAIR)
+
+
+def _inside(parts: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Pairs with both ends in one part of (id, canon_id), and the part."""
     left = parts.select(F.col("id").alias("left_id"), F.col("canon_id").alias("part"))
     right = parts.select(F.col("id").alias("right_id"), F.col("canon_id").alias("_other"))
-    inside = pairs.join(left, "left_id").join(right, "right_id").where("part = _other").select("part", "left_id", "right_id", "score")
+    return pairs.join(left, "left_id").join(right, "right_id").where("part = _other").select("part", *CLUSTER_PAIR)
+
+
+def _clustered(inside: DataFrame, threshold: float) -> DataFrame:
+    """Average linkage of each part over the pairs inside it."""
 
     def cluster(frames):
         for frame in _whole_parts(frames):
             frame = frame.sort_values(["part", "left_id", "right_id"])
             found: dict = {}
-            for _, rows in groupby(zip(frame["part"], frame["left_id"], frame["right_id"], frame["score"]), itemgetter(0)):
-                _, a, b, scores = zip(*rows)
-                found.update(_merged(sorted({*a, *b}), a, b, scores, threshold))
+            for _, rows in groupby(zip(frame["part"], *[frame[c] for c in CLUSTER_PAIR]), itemgetter(0)):
+                _, a, b, totals, n_a, n_b = zip(*rows)
+                sizes = dict(sorted({**dict(zip(a, n_a)), **dict(zip(b, n_b))}.items()))
+                found.update(_merged(sizes, a, b, totals, threshold))
             yield pd.DataFrame({"id": list(found), "canon_id": list(found.values())})
 
-    kind = parts.schema["id"].dataType.simpleString()
+    kind = inside.schema["left_id"].dataType.simpleString()
     # Parts are many and small: a task reads its parts one after the other.
     return inside.repartition("part").sortWithinPartitions("part").mapInPandas(cluster, f"id {kind}, canon_id {kind}")
 

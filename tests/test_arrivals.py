@@ -124,3 +124,38 @@ def test_large_components_are_cut_first(spark):
     alike = spark.createDataFrame([(a, b, 1.0) for a, b in itertools.combinations(range(4), 2)], "left_id long, right_id long, score double")
     assert {r["canon_id"] for r in C.average_linkage(alike, 0.6, max_members=2).collect()} == {0}
     assert C.average_linkage(scored.limit(0), 0.6).count() == 0
+
+
+def weak_and_strong(seed):
+    """One component of 60 records: tight groups, some of equal records, that many weaker pairs join."""
+    chooser = random.Random(seed)
+    pairs = []
+    for a, b in itertools.combinations(range(60), 2):
+        if a // 5 == b // 5:
+            pairs.append((a, b, 0.95 if a // 5 % 3 == 0 else chooser.choice([0.7, 0.85, 0.9, 0.95])))
+        elif chooser.random() < 0.5:
+            pairs.append((b, a, chooser.choice([0.61, 0.65, 0.7, 0.9])))
+        elif a // 10 == b // 10:
+            pairs.append((a, b, 0.8))
+    return pairs
+
+
+def test_a_component_too_large_for_a_task_keeps_all_its_pairs(spark, monkeypatch):
+    monkeypatch.setattr(C, "PAIRS_PER_MEMBER", 1)
+    pairs = weak_and_strong(1)
+    scored = spark.createDataFrame(pairs, "left_id long, right_id long, score double")
+    wanted = plain_average(pairs, 0.6)
+    assert len(set(wanted.values())) > 1
+    assert {r["id"]: r["canon_id"] for r in C.average_linkage(scored, 0.6, max_members=4).collect()} == wanted
+
+
+def test_equal_records_of_a_large_component_merge_in_few_rounds(spark, monkeypatch):
+    monkeypatch.setattr(C, "PAIRS_PER_MEMBER", 1)
+    merged = []
+    real = C._sure_merges
+    monkeypatch.setattr(C, "_sure_merges", lambda *more: merged.append(1) or real(*more))
+    pairs = [(f"{a:02}", f"{b:02}", 0.97) for a, b in itertools.combinations(range(40), 2)]
+    pairs += [(f"{a:02}", f"{b:02}", 0.75) for a in range(40) for b in range(40, 44)]
+    scored = spark.createDataFrame(pairs, "left_id string, right_id string, score double")
+    assert {r["id"]: r["canon_id"] for r in C.average_linkage(scored, 0.6, max_members=2).collect()} == plain_average(pairs, 0.6)
+    assert len(merged) < 6
